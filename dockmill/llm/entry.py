@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dockmill.llm.bpe import op6_bpe
 from dockmill.llm.quality import op10_quality
 from dockmill.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op6_bpe": op6_bpe,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
