@@ -156,7 +156,7 @@ def logit(prior: float, accuracy: list[tuple[float, float]], votes: list[int]) -
     return math.log(prior / (1 - prior)) + sum(weights(a)[x < 0] for x, a in zip(votes, accuracy, strict=True) if x)
 
 
-def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
+def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, threshold: float = 0.8) -> DataFrame:
     """``df`` with the base measures, ``base_failed``, ``p_good`` and ``kept``.
 
     ``carry``: columns to go along (all by default); fewer make the table that
