@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from dockmill.llm.bpe import op6_bpe
+from dockmill.llm.langid import op8_langid
+from dockmill.llm.pii import op5_pii
 from dockmill.llm.quality import op10_quality
 from dockmill.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
+    "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
