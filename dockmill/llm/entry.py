@@ -7,12 +7,18 @@ from dockmill.llm.langid import op8_langid
 from dockmill.llm.pii import op5_pii
 from dockmill.llm.quality import op10_quality
 from dockmill.llm.sharding import op9_sharding
+from dockmill.llm.urls import op4_urls
+from dockmill.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op4_urls": op4_urls,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_warc": OP1_SQL,
+}
