@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dockmill.llm.bpe import op6_bpe
+from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
 from dockmill.llm.langid import op8_langid
 from dockmill.llm.pii import op5_pii
 from dockmill.llm.quality import op10_quality
@@ -15,10 +16,12 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
+    "op7_decontamination": op7_decontamination,
     "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
 ORACLES = {
     "op1_warc": OP1_SQL,
+    "op7_decontamination": OP7_SQL,
 }
