@@ -5,6 +5,7 @@ from __future__ import annotations
 from dockmill.llm.bpe import op6_bpe
 from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
 from dockmill.llm.langid import op8_langid
+from dockmill.llm.neardup import OP2_SQL, op2_neardup
 from dockmill.llm.pii import op5_pii
 from dockmill.llm.quality import op10_quality
 from dockmill.llm.sharding import op9_sharding
@@ -13,6 +14,7 @@ from dockmill.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_neardup": op2_neardup,
     "op4_urls": op4_urls,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_warc": OP1_SQL,
+    "op2_neardup": OP2_SQL,
     "op7_decontamination": OP7_SQL,
 }
