@@ -9,12 +9,14 @@ from dockmill.llm.neardup import OP2_SQL, op2_neardup
 from dockmill.llm.pii import op5_pii
 from dockmill.llm.quality import op10_quality
 from dockmill.llm.sharding import op9_sharding
+from dockmill.llm.substrings import OP3_SQL, op3_substrings
 from dockmill.llm.urls import op4_urls
 from dockmill.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_neardup": op2_neardup,
+    "op3_substrings": op3_substrings,
     "op4_urls": op4_urls,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
@@ -26,5 +28,6 @@ QUERIES = {
 ORACLES = {
     "op1_warc": OP1_SQL,
     "op2_neardup": OP2_SQL,
+    "op3_substrings": OP3_SQL,
     "op7_decontamination": OP7_SQL,
 }
