@@ -138,10 +138,10 @@ def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, ite
     """Columns ``carry`` (default all) with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``."""
     made = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in made]
-    found = hits(docs, doc_id, text, items, item_id, item_text, n=n)
+    found = hits(docs, doc_id, text, items, item_id, item_text, n=n).toDF("__f1", "__f2", "__n_hit", "__items")
     rows = docs.select(*keep, count_words(F.col(text)).alias("n_words"), F.col(doc_id).alias("__k1"), F.xxhash64(F.col(text)).alias("__k2"))
-    joined = rows.join(found.withColumnRenamed("items", "__items"), F.col("__k1").eqNullSafe(F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    joined = rows.join(found, F.col("__k1").eqNullSafe(F.col("__f1")) & (F.col("__k2") == F.col("__f2")), "left")
+    n_hit = F.coalesce("__n_hit", F.lit(0).cast("long"))
     found_items = F.coalesce("__items", F.array().cast("array<string>"))
     return joined.select(*keep, "n_words", n_hit.alias("n_hit"), F.size(found_items).cast("long").alias("n_items"), F.sha2(F.array_join(found_items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 

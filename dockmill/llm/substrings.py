@@ -254,7 +254,8 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
     # Texts that a pair needs; other documents' rows end here.
     as_doc, as_ref = pairs.select("doc").distinct().withColumn("__hit", F.lit(True)), pairs.select(F.col("ref").alias("doc")).distinct().withColumn("__ref", F.lit(True))
     wanted = as_doc.join(as_ref, "doc", "full").withColumnRenamed("doc", "__doc")
-    rows = df.select(*keep, order.alias("doc"), F.xxhash64(F.col(text)).alias("k2"), F.col(text).alias("__text"))
+    shield = [f"__c{i}" for i in range(len(keep))]  # the caller's columns may be named like ours
+    rows = df.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(keep, shield, strict=True)), order.alias("doc"), F.xxhash64(F.col(text)).alias("k2"), F.col(text).alias("__text"))
     rows = materialize(rows.join(wanted, F.col("doc") == F.col("__doc"), "left").drop("__doc"), "marked")
     release(spark)
     texts = rows.where("__hit").select("doc", "k2", F.col("__text").alias("text"))
@@ -283,11 +284,11 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
                 if keep_text:
                     columns["kept_text"].append(rest.decode())
             new = [pa.array(columns[k], pa.int64() if v == "long" else pa.string()) for k, v in made.items()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, names=[*keep, *made])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in shield] + new, names=[*keep, *made])
 
     none = F.lit(None).cast("array<int>")
-    plain = rows.where("__hit is null").select(*keep, "__text", none.alias("__start"), none.alias("__stop"))
-    hit = rows.where("__hit").join(spans, (F.col("doc") == F.col("__d")) & (F.col("k2") == F.col("__k")), "left").select(*keep, "__text", "__start", "__stop")
+    plain = rows.where("__hit is null").select(*shield, "__text", none.alias("__start"), none.alias("__stop"))
+    hit = rows.where("__hit").join(spans, (F.col("doc") == F.col("__d")) & (F.col("k2") == F.col("__k")), "left").select(*shield, "__text", "__start", "__stop")
     return plain.mapInArrow(finish, fields).unionAll(hit.mapInArrow(finish, fields))
 
 
