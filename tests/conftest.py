@@ -11,11 +11,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     os.environ["PYTHONPATH"] = os.pathsep.join(sys.path[:1] + [os.environ.get("PYTHONPATH", "")])
     session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[2]")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g")
+        .config("spark.driver.memory", "3g")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
