@@ -170,6 +170,8 @@ def read_records(index: DataFrame, *, payload: bool = True, max_gap: int = MAX_G
     """The records that the rows of ``index`` (any selection) name."""
     block = F.floor(F.col("offset") / block_bytes)
     plan = index.groupBy("file", block.alias("block")).agg(F.collect_list(F.struct("offset", "length")).alias("parts"))
+    # A plan row is small but stands for a block to read, so tasks are not merged by the plan's bytes.
+    plan = plan.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
