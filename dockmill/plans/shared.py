@@ -10,6 +10,7 @@ does a temporary folder stand in.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -60,6 +61,12 @@ def delete(spark: SparkSession, path: str) -> None:
     _made.discard(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no plan refers to any more, now rather than at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @atexit.register
 def _clean() -> None:
     spark = SparkSession.getActiveSession() if _made else None
