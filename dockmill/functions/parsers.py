@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmill.functions.text import level_of, parent_of
+from dockmill.functions.text import level_of, parent_of, trim_space
 
 # Abbreviations whose full stop does not end a sentence.
 ABBREVIATIONS = ["U.S.", "U.K.", "Dr.", "Mr.", "Mrs.", "Ms.", "Prof.", "Inc.", "Ltd.", "Corp.", "vs.", "e.g.", "i.e.", "etc."]
@@ -81,7 +81,7 @@ def theme_segments(outlines: DataFrame, text: str) -> DataFrame:
     parts = F.filter(F.split(F.regexp_replace(text, r"(?m)^(\d+(?:\.\d+)*)\.\s+", "\u0001$1\u0002"), "\u0001"), lambda p: F.contains(p, F.lit("\u0002")))
     rows = outlines.select(F.explode(parts).alias("p")).select(F.split("p", "\u0002").alias("s"))
     code = F.get("s", F.lit(0))
-    return rows.select(code.alias("code"), level_of(code).alias("level"), parent_of(code).alias("parent_code"), F.trim(F.get("s", F.lit(1))).alias("body"))
+    return rows.select(code.alias("code"), level_of(code).alias("level"), parent_of(code).alias("parent_code"), trim_space(F.get("s", F.lit(1))).alias("body"))
 
 
 @dataclass

@@ -498,3 +498,53 @@ def attachment_texts(v: Views) -> DataFrame:
     part = F.concat(F.lit("--- "), F.col("l_linenumber").cast("string"), F.lit(" ---\n"), F.col("l_returnflag"))
     per = v.table("lineitem").groupBy(F.col("l_orderkey").alias("comment_id")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("o"), part.alias("t")))).alias("x"))
     return per.select("comment_id", F.array_join(F.transform("x", lambda e: e.t), "\n\n").alias("content"))
+
+
+# ---------------------------------------------------------------- smaller operators
+
+
+@query("SELECT category, cast(count(*) AS bigint) AS entities, cast(sum(n) AS bigint) AS mentions FROM (SELECT category, entity_label, count(*) AS n FROM fx_comment_entities GROUP BY 1, 2) GROUP BY 1")
+def entity_totals(v: Views) -> DataFrame:
+    per = v.comment_entities().groupBy("category", "entity_label").agg(F.count("*").alias("n"))
+    return per.groupBy("category").agg(F.count("*").alias("entities"), F.sum("n").alias("mentions"))
+
+
+@query("SELECT theme_code, cast(sum(cluster_size) AS bigint) AS submissions, count(*) AS perspectives, CASE WHEN sum(cluster_size) <> count(*) THEN concat(cast(sum(cluster_size) AS bigint), ' submissions with ', count(*), ' distinct texts') END AS note FROM fx_extracts GROUP BY 1")
+def represented_totals(v: Views) -> DataFrame:
+    from dockmill.operators.stages import represented
+
+    return represented(v.extracts(), "theme_code")
+
+
+@query("SELECT region, list_aggregate(list(c ORDER BY ord), 'string_agg', '') AS text FROM (SELECT region, ord, concat(ord, ';') AS c FROM fx_comments WHERE ord < 200) GROUP BY 1")
+def ordered_texts(v: Views) -> DataFrame:
+    rows = v.comments().where("ord < 200").groupBy("region").agg(F.array_sort(F.collect_list("ord")).alias("o"))
+    return rows.select("region", F.array_join(F.transform("o", lambda x: F.concat(x.cast("string"), F.lit(";"))), "").alias("text"))
+
+
+@query("SELECT code, level, parent_code, description AS body FROM fx_themes")
+def theme_segments(v: Views) -> DataFrame:
+    from dockmill.functions.parsers import theme_segments as segments
+
+    outline = v.themes().agg(F.array_join(F.array_sort(F.collect_list(F.concat("code", F.lit(". "), "description"))), "\n").alias("text"))  # themes of one collection
+    return segments(outline, "text")
+
+
+@query("SELECT ord, split_part(comment, '. ', 1) AS sentence FROM fx_comments WHERE regexp_matches(comment, '^[a-z ]+\\. ', 'i') AND NOT regexp_matches(comment, '^[a-z ]+ (vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)\\. ')")
+def first_sentences(v: Views) -> DataFrame:
+    rows = v.comments().where(F.col("comment").rlike(r"(?i)^[a-z ]+\. ") & ~F.col("comment").rlike(r"^[a-z ]+ (vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)\. "))
+    return rows.select("ord", t.first_sentence(F.col("comment")).alias("sentence"))
+
+
+@query(r"WITH w AS (SELECT ord, list_distinct(list_filter(string_split_regex(lower(comment), '[^a-z0-9_]+'), lambda x: length(x) > 2)) AS w FROM fx_comments WHERE ord < 60) SELECT x.ord AS a, y.ord AS b, round(len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))), 6) AS similarity FROM w x JOIN w y ON y.ord = x.ord + 1")
+def word_jaccard(v: Views) -> DataFrame:
+    w = v.comments().where("ord < 60").select("ord", F.array_distinct(t.normal_words(F.col("comment"), 2)).alias("w"))
+    nxt = w.select((F.col("ord") - 1).alias("ord"), F.col("ord").alias("b"), F.col("w").alias("v"))
+    return w.join(nxt, "ord").select(F.col("ord").alias("a"), "b", F.round(similarity.jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
+
+
+@query("SELECT source AS document_id, concat('Collection ', source) AS title, 'Unknown' AS agency, count(*) AS comments, cast(count(DISTINCT lang) AS bigint) AS languages FROM documents GROUP BY 1")
+def catalogue(v: Views) -> DataFrame:
+    per = v.table("documents").groupBy(F.col("source").alias("document_id")).agg(F.count("*").alias("comments"), F.countDistinct("lang").alias("languages"))
+    full = per.withColumns({"title": F.concat(F.lit("Collection "), "document_id"), "agency_name": F.lit(""), "agency_id": F.lit(None).cast("string"), "last_date": F.lit("2026")})
+    return collection.aligned_catalogue(full).select("document_id", "title", "agency", "comments", "languages")
