@@ -42,6 +42,7 @@ WINDOW = 13
 BATCH_WORDS = 400_000
 MEMO_WORDS = 600_000
 AUTOMATA_WORDS = 150_000
+MIN_SHARDS = 64
 LAST = 2**63 - 1
 
 
@@ -157,7 +158,7 @@ def settle(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _pairs(docs: DataFrame, n: int) -> DataFrame:
     """Distinct (``doc``, ``ref``) of (``doc``, ``text``): the reference has a window of the document and comes first."""
-    n_shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_shards = max(MIN_SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent(texts: list[list[bytes]], ids: list[int]) -> pa.RecordBatch:
@@ -192,7 +193,8 @@ def _pairs(docs: DataFrame, n: int) -> DataFrame:
         def found(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
             hashes = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
             docs = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
-            pairs = settle(hashes, docs)[2]
+            part = hashes >> np.uint64(61)  # an eighth at a time, to sort less at once
+            pairs = np.unique(np.concatenate([settle(hashes[m], docs[m])[2] for m in (part == np.uint64(i) for i in range(8))]), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["doc", "ref"])
 
         shard, rows = None, []
@@ -251,45 +253,62 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
     pairs = materialize(_pairs(docs, n), "pairs")
     release(spark)
 
-    # Texts that a pair needs; other documents' rows end here.
+    # Texts that a pair needs; other documents' results are done here.  Sort-merge joins at every
+    # size: what they exchange grows with the corpus, so it is planned as growing from the start.
     as_doc, as_ref = pairs.select("doc").distinct().withColumn("__hit", F.lit(True)), pairs.select(F.col("ref").alias("doc")).distinct().withColumn("__ref", F.lit(True))
-    wanted = as_doc.join(as_ref, "doc", "full").withColumnRenamed("doc", "__doc")
+    wanted = as_doc.join(as_ref.hint("merge"), "doc", "full").withColumnRenamed("doc", "__doc")
     shield = [f"__c{i}" for i in range(len(keep))]  # the caller's columns may be named like ours
     rows = df.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(keep, shield, strict=True)), order.alias("doc"), F.xxhash64(F.col(text)).alias("k2"), F.col(text).alias("__text"))
-    rows = materialize(rows.join(wanted, F.col("doc") == F.col("__doc"), "left").drop("__doc"), "marked")
+    rows = rows.join(wanted.hint("merge"), F.col("doc") == F.col("__doc"), "left").drop("__doc")
+    kept = ", ".join(f"`{x}` {f.dataType.simpleString()}" for f, x in zip(df.select(*(F.col(f"`{c}`") for c in keep)).schema.fields, shield, strict=True))
+    results = ", ".join(f"{k} {v}" for k, v in made.items())
+
+    def finished(batch: pa.RecordBatch, texts, starts, stops) -> list[pa.Array]:
+        """The result columns of rows with these spans."""
+        columns: dict[str, list] = {k: [] for k in made}
+        for t, first, last in zip(texts, starts, stops, strict=True):
+            words = words_of(t.as_py())
+            keep_word = np.ones(len(words), bool)
+            for a, b in zip(first or (), last or (), strict=True):
+                keep_word[a:b] = False
+            left = words if keep_word.all() else [words[i] for i in np.flatnonzero(keep_word)]
+            rest = b" ".join(left)
+            columns["n_words"].append(len(words))
+            columns["n_removed"].append(len(words) - len(left))
+            columns["kept_sha256"].append(hashlib.sha256(rest).hexdigest())
+            if keep_text:
+                columns["kept_text"].append(rest.decode())
+        return [pa.array(columns[k], pa.int64() if v == "long" else pa.string()) for k, v in made.items()]
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Results as if nothing repeated; the text stays where a pair needs it."""
+        for batch in batches:
+            needed = [h.as_py() or r.as_py() for h, r in zip(batch.column("__hit"), batch.column("__ref"), strict=True)]
+            none = [None] * batch.num_rows
+            texts = pa.array([t.as_py() if x else None for t, x in zip(batch.column("__text"), needed, strict=True)], pa.string())
+            names = [*shield, "doc", "k2", "__hit", "__ref"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts, *finished(batch, batch.column("__text"), none, none)], names=[*names, "__text", *made])
+
+    rows = materialize(rows.mapInArrow(plain, ", ".join(x for x in (kept, "doc long, k2 long, __hit boolean, __ref boolean, __text string", results) if x)), "marked")
     release(spark)
     texts = rows.where("__hit").select("doc", "k2", F.col("__text").alias("text"))
     refs = rows.where("__ref").select(F.col("doc").alias("ref"), F.col("k2").alias("ref_k2"), F.col("__text").alias("ref_text")).dropDuplicates(["ref", "ref_k2"])
-    spans = _streamed(pairs.join(texts.dropDuplicates(["doc", "k2"]), "doc").join(refs, "ref"), n)
+    spans = _streamed(pairs.join(texts.dropDuplicates(["doc", "k2"]).hint("merge"), "doc").join(refs.hint("merge"), "ref"), n)
     spans = spans.where(F.size("start") > 0).groupBy("doc", "k2").agg(F.flatten(F.collect_list("start")).alias("__start"), F.flatten(F.collect_list("stop")).alias("__stop"))
     spans = materialize(spans.withColumnsRenamed({"doc": "__d", "k2": "__k"}), "spans")
     discard(pairs)
     release(spark)
 
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields), *(f"{k} {v}" for k, v in made.items())])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: dict[str, list] = {k: [] for k in made}
-            for t, starts, stops in zip(*(batch.column(c) for c in ("__text", "__start", "__stop")), strict=True):
-                words = words_of(t.as_py())
-                keep_word = np.ones(len(words), bool)
-                for a, b in zip(starts.as_py() or (), stops.as_py() or (), strict=True):
-                    keep_word[a:b] = False
-                left = words if keep_word.all() else [words[i] for i in np.flatnonzero(keep_word)]
-                rest = b" ".join(left)
-                columns["n_words"].append(len(words))
-                columns["n_removed"].append(len(words) - len(left))
-                columns["kept_sha256"].append(hashlib.sha256(rest).hexdigest())
-                if keep_text:
-                    columns["kept_text"].append(rest.decode())
-            new = [pa.array(columns[k], pa.int64() if v == "long" else pa.string()) for k, v in made.items()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in shield] + new, names=[*keep, *made])
-
-    none = F.lit(None).cast("array<int>")
-    plain = rows.where("__hit is null").select(*shield, "__text", none.alias("__start"), none.alias("__stop"))
-    hit = rows.where("__hit").join(spans, (F.col("doc") == F.col("__d")) & (F.col("k2") == F.col("__k")), "left").select(*shield, "__text", "__start", "__stop")
-    return plain.mapInArrow(finish, fields).unionAll(hit.mapInArrow(finish, fields))
+            new = finished(batch, batch.column("__text"), batch.column("__start").to_pylist(), batch.column("__stop").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in shield), *new], names=[*shield, *made])
+
+    same = rows.where("__hit is null").select(*shield, *made)
+    hit = rows.where("__hit").join(spans.hint("merge"), (F.col("doc") == F.col("__d")) & (F.col("k2") == F.col("__k"))).select(*shield, "__text", "__start", "__stop")
+    unhit = rows.where("__hit").join(spans.hint("merge"), (F.col("doc") == F.col("__d")) & (F.col("k2") == F.col("__k")), "left_anti").select(*shield, *made)
+    out = same.unionAll(unhit).unionAll(hit.mapInArrow(cut, ", ".join(x for x in (kept, results) if x)))
+    return out.toDF(*keep, *made)
 
 
 def release(spark) -> None:
