@@ -24,8 +24,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest id stays."""
-    return near_duplicates(docs, "doc_id", "text", k=5, percent=80).where("first_of_component").select(*docs.columns)
+    """Of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest id stays.
+
+    The operator sees ids and texts' hashes, so other columns are not carried
+    through it; of rows that are equal in both, one stays.
+    """
+    keys = docs.withColumn("__hash", F.xxhash64("text"))
+    found = near_duplicates(keys, "doc_id", "text", k=5, percent=80, carry=["doc_id", "__hash"])
+    kept = found.where("first_of_component").select(F.col("doc_id").alias("__id"), F.col("__hash").alias("__h"))
+    left = keys.join(kept, keys["doc_id"].eqNullSafe(kept["__id"]) & (keys["__hash"] == kept["__h"]), "left_semi")
+    if found.groupBy("doc_id", "__hash").count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates(["doc_id", "__hash"])
+    return left.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
