@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,7 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="dockmill-")
         spark.conf.set("spark.checkpoint.dir", root)
         _made.add(root)
-    return root.rstrip("/") + "/dockmill"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/dockmill")
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", whole)  # as other file systems than Hadoop's spell it
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -71,8 +75,10 @@ def release(spark: SparkSession) -> None:
 def _clean() -> None:
     spark = SparkSession.getActiveSession() if _made else None
     for path in sorted(_made):
-        try:
-            if spark is not None:
+        if path.startswith("file:"):
+            shutil.rmtree(re.sub(r"^file:/*", "/", path), ignore_errors=True)
+        elif spark is not None:
+            try:
                 delete(spark, path)
-        except Exception:  # the JVM may be gone already; the folder is scratch space
-            return
+            except Exception:  # the JVM may be gone already; the folder is scratch space
+                return
