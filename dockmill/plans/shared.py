@@ -10,6 +10,7 @@ does a temporary folder stand in.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import re
 import shutil
@@ -19,6 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: set[str] = set()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,12 +42,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, Spark deletes an execution's shuffle files when it ends: nothing reads them again once a table is written."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._dockmill_path = path
     return out
