@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 # The white space of the pattern's \s.
 WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_200_000
 MEMO_PAIRS = 1_000_000
 _NEVER = 1 << 60
 
