@@ -30,10 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from dockmill.llm.memo import only, register
+
 # The white space of the pattern's \s.
 WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
-MEMO_WORDS = 1_200_000
-MEMO_PAIRS = 1_000_000
+MEMO_WORDS = 600_000
+MEMO_PAIRS = 400_000
 _NEVER = 1 << 60
 
 
@@ -92,7 +94,7 @@ class Encoder:
         self.pairs: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict[int, list[int]], ...] = ({}, {})
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.words = _Words(self)
 
     def merged(self, data: bytes, least: int = 1) -> list[int]:
@@ -168,17 +170,19 @@ class Encoder:
                 raise ValueError("the vocabulary lacks a byte")
             last.append(token)
 
-    def piece(self, piece: str) -> list[int]:
-        """Ids of one match of the pattern."""
-        known = self.pieces.get(piece)
+    def piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of one match of the pattern; a space and a word are remembered with the words."""
+        spaced = piece[0] == " " and piece[1:2] not in WHITE and len(piece) > 1
+        memo, key = (self.words, piece[1:]) if spaced else (self.pieces, piece)
+        known = memo.get(key)
         if known is None:
             data = piece.encode("utf-8", "replace")
             token = self.ranks.get(data)
-            known = [token] if token is not None else PrefixTable(self, data).ids()
+            known = (token,) if token is not None else tuple(PrefixTable(self, data).ids())
             if len(piece) <= 64:
-                if len(self.pieces) >= MEMO_WORDS:
-                    self.pieces.clear()
-                self.pieces[piece] = known
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                memo[key] = known
         return known
 
     def encode(self, text: str) -> list[int]:
@@ -221,7 +225,10 @@ class _Words(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
         if not word or word[0] in WHITE or word[-1] in WHITE:
             raise _Irregular
-        ids = tuple(i for piece in self.encoder.split(" " + word) for i in self.encoder.piece(piece))
+        pieces = self.encoder.split(" " + word)
+        if len(pieces) == 1:
+            return self.encoder.piece(pieces[0])  # which remembers it here
+        ids = tuple(i for piece in pieces for i in self.encoder.piece(piece))
         if len(word) <= 64:
             if len(self) >= MEMO_WORDS:
                 self.clear()
@@ -277,6 +284,8 @@ class EncodedText:
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
+register("bpe", _encoders.clear)
+SLICE = 1000
 
 
 def encoder_of(data: bytes, pattern: str) -> Encoder:
@@ -302,9 +311,10 @@ def encode_frame(df: DataFrame, text: str, vocabulary: str, pattern: str, *, ids
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("bpe")
         encoder = encoder_of(shared.value, pattern)
         sha, digits = hashlib.sha256, encoder.digits.__getitem__
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             columns: dict[str, list] = {k: [] for k in made}
             for t in batch.column(text):
                 found = encoder.encode(t.as_py() or "")

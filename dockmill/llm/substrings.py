@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockmill.llm.memo import only, register
 from dockmill.plans.shared import discard, materialize
 
 WINDOW = 13
@@ -118,6 +119,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+register("substrings", _hashes.clear)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -172,6 +174,7 @@ def _pairs(docs: DataFrame, n: int) -> DataFrame:
                 rows.append((int(pairs[0, 0]) % n_shards, b"", pairs.tobytes()))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "hashes", "docs"])
 
+        only("substrings")
         texts: list[list[bytes]] = []
         ids: list[int] = []
         size = 0
