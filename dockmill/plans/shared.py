@@ -20,6 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: set[str] = set()
+_scratch: set[str] = set()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -57,8 +58,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    _scratch.add(path)
     with shuffles_dropped(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._dockmill_path = path
     return out
@@ -76,6 +78,12 @@ def delete(spark: SparkSession, path: str) -> None:
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     _made.discard(path)
+    _scratch.discard(path)
+
+
+def scratch() -> set[str]:
+    """Paths of the tables of :func:`materialize` that are still there."""
+    return set(_scratch)
 
 
 def release(spark: SparkSession) -> None:
