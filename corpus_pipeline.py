@@ -2,11 +2,14 @@
 
 Every stage reads what the one before it wrote.  All but the last return the
 columns of ``documents``; the last has a row per document that is left, with
-its token ids in place of the text.
+its token ids in place of the text.  A stage's result has to be written before
+the next stage is called: that call deletes the tables the result was read from.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +18,35 @@ from dockmill.llm.decontamination import decontaminate
 from dockmill.llm.neardup import near_duplicates
 from dockmill.llm.pii import mask, sanitise
 from dockmill.llm.quality import judge
-from dockmill.plans.shared import new_path
+from dockmill.plans.shared import delete, new_path, release, scratch
+
+_last: set[str] = set()
+
+
+def _stage(f):
+    """First delete what the stage before has left in the shared folder."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _last & scratch():
+            delete(spark, path)
+        _last.clear()
+        release(spark)
+        before = scratch()
+        out = f(spark, docs, sf_dir)
+        _last.update(scratch() - before)
+        return out
+
+    return run
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return judge(docs, F.col("text")).where("kept").select(*docs.columns)
 
 
+@_stage
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest id stays.
 
@@ -38,12 +62,14 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*docs.columns)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate(docs, "doc_id", "text", items, "item_id", "text").where("not contaminated").select(*docs.columns)
 
 
+@_stage
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and what discloses it are masked in the texts; the count of characters follows."""
     found = sanitise(docs, "text", docs.columns)
@@ -53,6 +79,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return masked.select(*docs.columns)
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts."""
     import public_tokenizers
