@@ -16,8 +16,9 @@ probability 3e-7.  Within a bucket:
 1. every member is compared with the bucket's smallest member, on full sets;
 2. after joining what is linked, buckets whose members lie in several components
    are searched for the rest: sketches of members of different components are
-   compared block by block, and pairs that may be similar (estimate within six
-   standard deviations of the threshold) are compared on full sets.
+   compared block by block, and pairs that may be similar (estimate within five
+   standard deviations of the threshold) are compared on full sets until their
+   components are joined.
 
 Pairs inside one component need no comparison, so a large group of copies costs
 a comparison per member and band; no pair is dropped for being in a large bucket.
@@ -40,8 +41,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockmill.llm.memo import only, register
 from dockmill.plans.components import components
-from dockmill.plans.shared import discard, materialize
+from dockmill.plans.shared import discard, materialize, release
 
 BANDS, ROWS = 64, 7
 BLOCK = 512
@@ -73,6 +75,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+register("neardup", _hashes.clear)
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -122,6 +125,7 @@ def _sketched(df: DataFrame, carry: list[str], text: str, k: int, bands: int, ro
     rest = [f for f in df.schema.fields if f.name in carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("neardup")
         sketcher, factors, salts = Sketcher(bands * rows), _stream(rows, 3) | np.uint64(1), _stream(bands, 4)
         for batch in batches:
             sizes, digests, keys, bytes_ = [], [], [], []
@@ -143,8 +147,10 @@ def _sketched(df: DataFrame, carry: list[str], text: str, k: int, bands: int, ro
     return made.mapInArrow(run, fields)
 
 
-def _with_sets(texts: DataFrame, k: int) -> DataFrame:
-    """(``node``, ``items``): the full sets of (``node``, ``text``)."""
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(``node``, ``items``): the full sets of ``nodes``, from the text of a document each."""
+    keys = classes.join(nodes, "node", "left_semi").select("node", "k1", "k2")
+    texts = docs.join(keys, F.col("__d1").eqNullSafe(F.col("k1")) & (F.col("__d2") == F.col("k2"))).select("node", F.col("__nd_text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,51 +159,71 @@ def _with_sets(texts: DataFrame, k: int) -> DataFrame:
                 sets = [shingles(t.as_py(), k).view(np.int64) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "items"])
 
-    return texts.mapInArrow(run, "node long, items array<long>")
+    return texts.mapInArrow(run, "node long, items array<long>").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``: nodes) that are similar enough, on full sets."""
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    keys = classes.join(wanted, "node", "left_semi").select("node", "k1", "k2")
-    texts = docs.join(keys, F.col("__d1").eqNullSafe(F.col("k1")) & (F.col("__d2") == F.col("k2"))).select("node", F.col("__nd_text").alias("text"))
-    sets = materialize(_with_sets(texts, k), "sets").dropDuplicates(["node"])
+    sets = materialize(_sets(wanted, classes, docs, k), "sets")
     left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("x")), sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = 100 * common >= percent * (F.size("x") + F.size("y") - common)
     out = materialize(both.where(similar).select("a", "b"), "links")
     discard(sets)
+    release(docs.sparkSession)
     return out
 
 
-def _residual(members: DataFrame, classes: DataFrame, percent: int, t: int) -> DataFrame:
-    """Pairs (``a``, ``b``) of nodes in one bucket but different components whose sketches may be similar.
+def _residual(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, t: int) -> DataFrame:
+    """Links (``a``, ``b``) between nodes of one bucket but different components that join what can be joined.
 
     ``members``: (``bucket``, ``node``, ``root``).  A bucket of many members is cut
-    into blocks, and a task compares two blocks at a time.
+    into blocks, and a task compares two blocks at a time: sketches first, full
+    sets where those may be similar enough.  A pair is compared in the first
+    bucket that it shares only, and not at all once links found in the task have
+    joined its components, so a task returns fewer links than it has members.
     """
     counts = members.groupBy("bucket").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = members.join(counts, "bucket").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = placed.select("bucket", "node", "root", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("bucket", "node", "root", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-    dealt = dealt.join(classes.select("node", "sketch"), "node")
+    sets = materialize(_sets(members.select("node").distinct(), classes, docs, k), "sets")
+    dealt = dealt.join(classes.select("node", "bands", "sketch"), "node").join(sets, "node")
     share = percent / 100
-    least = t * (share - 6 * (share * (1 - share) / t) ** 0.5)
+    least = t * (share - 5 * (share * (1 - share) / t) ** 0.5)
 
     def compare(df: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = df["lo"].iat[0], df["hi"].iat[0]
+        bucket, lo, hi = df["bucket"].iat[0], df["lo"].iat[0], df["hi"].iat[0]
         xs, ys = df[df["mine"] == lo], df[df["mine"] == hi]
-        matrix = lambda d: np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(len(d), t)
-        x, y, found = matrix(xs), matrix(ys), []
+        sketches = lambda d: np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(len(d), t)
+        x, y, x_bands, y_bands = sketches(xs), sketches(ys), np.stack(xs["bands"].to_list()), np.stack(ys["bands"].to_list())
         xr, yr, xn, yn = xs["root"].to_numpy(), ys["root"].to_numpy(), xs["node"].to_numpy(), ys["node"].to_numpy()
+        x_items, y_items = xs["items"].to_list(), ys["items"].to_list()
+        above: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while r in above:
+                r = above[r]
+            return r
+
+        found = []
         for i in range(len(x)):
-            near = np.flatnonzero(((y == x[i]).sum(axis=1) >= least) & (yr != xr[i]) & ((yn > xn[i]) | (lo != hi)))
-            found += [(min(xn[i], n), max(xn[i], n)) for n in yn[near]]
+            for j in np.flatnonzero(((y == x[i]).sum(axis=1) >= least) & (yr != xr[i]) & ((yn > xn[i]) | (lo != hi))):
+                r, s = top(int(xr[i])), top(int(yr[j]))
+                if r == s or x_bands[i][int((x_bands[i] == y_bands[j]).argmax())] != bucket:
+                    continue
+                common = len(np.intersect1d(x_items[i], y_items[j], assume_unique=True))
+                if 100 * common >= percent * (len(x_items[i]) + len(y_items[j]) - common):
+                    above[max(r, s)] = min(r, s)
+                    found.append((xn[i], yn[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long").distinct()
+    links = materialize(dealt.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long"), "links")
+    discard(sets)
+    return links
 
 
 def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, carry: list[str] | None = None) -> DataFrame:
@@ -209,18 +235,22 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percen
     made = ("n_shingles", "component_id", "first_of_component")
     keep = [c for c in (df.columns if carry is None else carry) if c not in made]
     docs = df.select(F.col(doc_id).alias("__d1"), F.xxhash64(F.col(text)).alias("__d2"), F.col(text).alias("__nd_text"))
-    start = df.select(*keep, F.col(doc_id).alias("__d1"), F.xxhash64(F.col(text)).alias("__d2"), F.col(text).alias("__t"))
-    rows_ = materialize(_sketched(start, [*keep, "__d1", "__d2"], "__t", k, bands, rows).withColumn("__row", F.monotonically_increasing_id()), "sketched")
+    shield = [f"__c{i}" for i in range(len(keep))]  # the caller's columns may be named like ours
+    start = df.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(keep, shield, strict=True)), F.col(doc_id).alias("__d1"), F.xxhash64(F.col(text)).alias("__d2"), F.col(text).alias("__t"))
+    rows_ = materialize(_sketched(start, [*shield, "__d1", "__d2"], "__t", k, bands, rows).withColumn("__row", F.monotonically_increasing_id()), "sketched")
 
     # Classes of equal sets; all their rows have the same bands and sketch.
     first = F.struct(F.col("__d1").isNull().alias("no_id"), F.col("__d1").alias("id"), F.col("__row").alias("row"))
     classes = rows_.where("digest is not null").groupBy("digest").agg(F.min("__row").alias("node"), F.min(first).alias("first"), F.min_by(F.struct("__d1", "__d2", "bands", "sketch"), "__row").alias("c"))
     classes = materialize(classes.select("digest", "node", "first", F.col("c.__d1").alias("k1"), F.col("c.__d2").alias("k2"), "c.bands", "c.sketch"), "classes")
 
+    release(df.sparkSession)
+
     # Buckets with at least two classes.
     in_bands = classes.select("node", F.explode_outer("bands").alias("bucket"))
     buckets = in_bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("bucket", "hub")
     members = materialize(in_bands.join(buckets, "bucket"), "members")
+    release(df.sparkSession)
     pairs = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     links = _verified(pairs, classes, docs, k, percent)
     roots = components(links)
@@ -230,17 +260,17 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percen
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
     rest = materialize(placed.join(open_, "bucket", "left_semi"), "rest")
     if rest.limit(1).count():
-        more = materialize(_residual(rest, classes, percent, bands * rows), "candidates")
-        roots = components(links.unionAll(_verified(more, classes, docs, k, percent)))
-        discard(more)
+        roots = components(links.unionAll(_residual(rest, classes, docs, k, percent, bands * rows)))
     discard(rest, members)
+    release(df.sparkSession)
 
     rooted = classes.select("digest", "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     known = rooted.join(least, "root").select("digest", F.col("least.id").alias("__id"), F.col("least.row").alias("__first"))
     joined = rows_.drop("bands", "sketch").join(known.withColumnRenamed("digest", "__digest"), F.col("digest") == F.col("__digest"), "left")
     alone = F.col("digest").isNull()
-    return joined.select(*keep, "n_shingles", F.when(alone, F.col("__d1")).otherwise(F.col("__id")).alias("component_id"), (alone | (F.col("__row") == F.col("__first"))).alias("first_of_component"))
+    back = [F.col(x).alias(c) for c, x in zip(keep, shield, strict=True)]
+    return joined.select(*back, "n_shingles", F.when(alone, F.col("__d1")).otherwise(F.col("__id")).alias("component_id"), (alone | (F.col("__row") == F.col("__first"))).alias("first_of_component"))
 
 
 def op2_neardup(spark, sf_dir: str) -> DataFrame:
