@@ -46,7 +46,7 @@ from dockmill.plans.components import components
 from dockmill.plans.shared import discard, materialize, release
 
 BANDS, ROWS = 64, 7
-BLOCK = 512
+BLOCK = 1024
 MEMO_WORDS = 600_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _NONE = np.uint64(2**64 - 1)
