@@ -538,7 +538,17 @@ def first_sentences(v: Views) -> DataFrame:
 
 @query(r"WITH w AS (SELECT ord, list_distinct(list_filter(string_split_regex(lower(comment), '[^a-z0-9_]+'), lambda x: length(x) > 2)) AS w FROM fx_comments WHERE ord < 60) SELECT x.ord AS a, y.ord AS b, round(len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))), 6) AS similarity FROM w x JOIN w y ON y.ord = x.ord + 1")
 def word_jaccard(v: Views) -> DataFrame:
-    w = v.comments().where("ord < 60").select("ord", F.array_distinct(t.normal_words(F.col("comment"), 2)).alias("w"))
+    return _neighbours(v.comments().where("ord < 60"))
+
+
+@query()
+def word_jaccard_all(v: Views) -> DataFrame:
+    """:func:`word_jaccard`, whose SQL has ids below 60, over the whole table."""
+    return _neighbours(v.comments())
+
+
+def _neighbours(comments: DataFrame) -> DataFrame:
+    w = comments.select("ord", F.array_distinct(t.normal_words(F.col("comment"), 2)).alias("w"))
     nxt = w.select((F.col("ord") - 1).alias("ord"), F.col("ord").alias("b"), F.col("w").alias("v"))
     return w.join(nxt, "ord").select(F.col("ord").alias("a"), "b", F.round(similarity.jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
 
