@@ -522,6 +522,14 @@ def ordered_texts(v: Views) -> DataFrame:
     return rows.select("region", F.array_join(F.transform("o", lambda x: F.concat(x.cast("string"), F.lit(";"))), "").alias("text"))
 
 
+@query()
+def ordered_texts_all(v: Views) -> DataFrame:
+    """Texts of the whole table in order, by region and block of 50 ids, so that no group grows with the table (:func:`ordered_texts`' SQL has ids below 200)."""
+    item = F.struct("ord", F.coalesce("comment", F.lit("")).alias("t"))
+    rows = v.comments().groupBy("region", F.floor(F.col("ord") / 50).alias("block")).agg(F.array_sort(F.collect_list(item)).alias("o"))
+    return rows.select("region", "block", F.array_join(F.transform("o", lambda x: x.t), "\n").alias("text"))
+
+
 @query("SELECT code, level, parent_code, description AS body FROM fx_themes")
 def theme_segments(v: Views) -> DataFrame:
     from dockmill.functions.parsers import theme_segments as segments

@@ -23,3 +23,10 @@ def test_word_jaccard_all(spark):
     got = {r.a: (r.b, r.similarity) for r in QUERIES["word_jaccard_all"](spark, DATA).collect()}
     assert len(want) > 59 and got.keys() == want.keys()
     assert all(b == a + 1 and math.isclose(x, want[a], abs_tol=1e-6) for a, (b, x) in got.items())
+
+
+def test_ordered_texts_all(spark):
+    docs = sorted((lang, i // 50, i, text) for i, lang, text in rows("documents", "doc_id", "lang", "text"))
+    want = {k: "\n".join(d[3] for d in of) for k, of in groupby(docs, lambda d: d[:2])}
+    got = {(r.region, r.block): r.text for r in QUERIES["ordered_texts_all"](spark, DATA).collect()}
+    assert max(d[2] for d in docs) >= 199 and got == want
