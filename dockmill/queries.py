@@ -544,6 +544,12 @@ def first_sentences(v: Views) -> DataFrame:
     return rows.select("ord", t.first_sentence(F.col("comment")).alias("sentence"))
 
 
+@query()
+def first_sentences_all(v: Views) -> DataFrame:
+    """Of every text, with the repair of abbreviations; null where no sentence ends (:func:`first_sentences`' SQL has plain lead-ins only)."""
+    return v.comments().select("ord", t.first_sentence(F.col("comment")).alias("sentence"))
+
+
 @query(r"WITH w AS (SELECT ord, list_distinct(list_filter(string_split_regex(lower(comment), '[^a-z0-9_]+'), lambda x: length(x) > 2)) AS w FROM fx_comments WHERE ord < 60) SELECT x.ord AS a, y.ord AS b, round(len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))), 6) AS similarity FROM w x JOIN w y ON y.ord = x.ord + 1")
 def word_jaccard(v: Views) -> DataFrame:
     return _neighbours(v.comments().where("ord < 60"))

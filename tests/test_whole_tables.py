@@ -30,3 +30,19 @@ def test_ordered_texts_all(spark):
     want = {k: "\n".join(d[3] for d in of) for k, of in groupby(docs, lambda d: d[:2])}
     got = {(r.region, r.block): r.text for r in QUERIES["ordered_texts_all"](spark, DATA).collect()}
     assert max(d[2] for d in docs) >= 199 and got == want
+
+
+def first(text):
+    parts = re.split(r"\.\s+", text, flags=re.ASCII)
+    if len(parts) < 2:
+        return None
+    return f"{parts[0]}. {parts[1]}" if parts[0].endswith(tuple(f" {e}" for e in CUT_ENDINGS)) else parts[0]
+
+
+def test_first_sentences_all(spark, tmp_path):
+    own = [(1, "we met Dr. Who today. More"), (2, "Costs, 3 in all. More"), (3, "one part"), (4, "Harm to U.S. Citizens. More"), (5, None)]
+    spark.createDataFrame(own, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'x' AS source").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.ord: r.sentence for r in QUERIES["first_sentences_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: "we met Dr. Who today", 2: "Costs, 3 in all", 3: None, 4: "Harm to U.S. Citizens", 5: None}
+    got = {r.ord: r.sentence for r in QUERIES["first_sentences_all"](spark, DATA).collect()}
+    assert got == {i: first(text) for i, text in rows("documents", "doc_id", "text")}
