@@ -213,8 +213,18 @@ def insert_ignore(v: Views) -> DataFrame:
 
 @query("SELECT sha256(cast(event_id AS varchar)) AS prompt_hash, coalesce(cast(result AS double), -1) AS result, event_id % 4 = 0 AS hit FROM fx_cache WHERE event_id % 2 = 0")
 def prompt_cache_join(v: Views) -> DataFrame:
+    return _asked(v, v.cache().where("event_id % 2 = 0"))
+
+
+@query()
+def prompt_cache_join_all(v: Views) -> DataFrame:
+    """:func:`prompt_cache_join`, whose SQL asks for even ids, with every prompt asked for."""
+    return _asked(v, v.cache())
+
+
+def _asked(v: Views, asked: DataFrame) -> DataFrame:
     stored = v.cache().where("event_id % 4 = 0").select("prompt_hash", F.col("result").alias("stored"))
-    asked = v.cache().where("event_id % 2 = 0").select(F.sha2(F.col("event_id").cast("string"), 256).alias("prompt_hash"), "result")
+    asked = asked.select(F.sha2(F.col("event_id").cast("string"), 256).alias("prompt_hash"), "result")
     out = asked.join(stored.withColumn("hit", F.lit(True)), "prompt_hash", "left")
     return out.select("prompt_hash", F.coalesce("stored", "result", F.lit(-1.0)).alias("result"), F.coalesce("hit", F.lit(False)).alias("hit"))
 

@@ -46,3 +46,10 @@ def test_first_sentences_all(spark, tmp_path):
     assert got == {1: "we met Dr. Who today", 2: "Costs, 3 in all", 3: None, 4: "Harm to U.S. Citizens", 5: None}
     got = {r.ord: r.sentence for r in QUERIES["first_sentences_all"](spark, DATA).collect()}
     assert got == {i: first(text) for i, text in rows("documents", "doc_id", "text")}
+
+
+def test_prompt_cache_join_all(spark):
+    events = rows("events", "event_id", "value")
+    got = {r.prompt_hash: (r.result, r.hit) for r in QUERIES["prompt_cache_join_all"](spark, DATA).collect()}
+    assert any(i % 2 for i, _ in events)
+    assert got == {hashlib.sha256(str(i).encode()).hexdigest(): (-1.0 if x is None else x, i % 4 == 0) for i, x in events}
