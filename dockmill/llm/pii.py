@@ -1,21 +1,24 @@
 """Personal data: patterns, and information-theoretic sanitisation of what reveals it.
 
 Patterns find e-mail addresses, IPv4 addresses, payment cards and phone
-numbers.  Each distinct value found is a protected entity.  A word that stands
-near an entity can reveal it even when the entity itself is masked; following
+numbers.  Each distinct value found is a protected entity.  A word in the same
+document can reveal it even when the entity itself is masked; following
 C-sanitisation (Sanchez and Batet 2016), corpus counts say how much.  With
-document frequencies as probabilities, a term t within ``reach`` words of entity
-e discloses it if
+document frequencies as probabilities, a term t that documents show together
+with entity e, wherever in the text, discloses it if
 
     PMI(t; e) = log p(t, e) / (p(t) p(e))  >=  disclosure * IC(e) = -disclosure * log p(e)
 
 (at 1 the term alone identifies the entity) and at least ``min_support``
-documents show the two together.  Such terms are masked where they stand near
-the entity.  A term is a word between white space, as written.
+documents show the two together.  Every occurrence of such a term is masked in
+each document that holds the entity.  A term is a word between white space, as
+written; words that overlap a span are masked with it and don't count.
 
-The texts are searched once; what is near an entity goes to a table in the
-shared folder.  All counting and matching are joins and aggregations, so
-neither the entities nor the disclosing terms have to fit anywhere.
+The texts are searched once; those with an entity go to a table in the shared
+folder, equal ones as one row with their number.  All counting and matching are
+joins and aggregations, so neither the entities nor the disclosing terms have to
+fit anywhere.  Terms that are in too many documents to disclose any entity they
+meet are left out before they are paired, which changes no result.
 
 Defined results: a null text is an empty one; every row gives one row, repeated
 rows too (each counts as a document); an empty table gives an empty result;
@@ -37,7 +40,6 @@ from pyspark.sql import types as T
 from dockmill.plans.shared import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-REACH = 5
 MIN_SUPPORT = 3
 DISCLOSURE = 0.95
 
@@ -91,41 +93,39 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return found
 
 
-def near(text: str, found: dict[str, list[tuple[int, int]]], reach: int) -> list[dict]:
-    """Words within ``reach`` words of a span, outside of all spans, with the entity's hash."""
+def shown(text: str, found: dict[str, list[tuple[int, int]]]) -> dict:
+    """Of a text with spans: ``rest``, where words that overlap a span are blanks, the words that are only such, and the entities' hashes."""
     spans = sorted(s for kind in found.values() for s in kind)
     if not spans:
-        return []
+        return {"rest": None, "hidden": None, "entities": None, "group": None}
     words = [m.span() for m in _WORD.finditer(text)]
     starts, ends = [w[0] for w in words], [w[1] for w in words]
-    taken = set()
+    taken: set[int] = set()
     for a, b in spans:
-        first = bisect_left(ends, a + 1)
-        taken.update(range(first, bisect_left(starts, b)))
-    out = []
-    for kind, own in found.items():
-        for a, b in own:
-            entity = hashlib.sha256(f"{kind}:{text[a:b].lower()}".encode("utf-8", "replace")).hexdigest()[:32]
-            first, last = bisect_left(ends, a + 1), bisect_left(starts, b) - 1
-            out.append({"term": None, "entity": entity, "start": a, "stop": b})
-            for k in [*range(max(0, first - reach), first), *range(last + 1, min(len(words), last + 1 + reach))]:
-                if k not in taken:
-                    out.append({"term": text[starts[k] : ends[k]], "entity": entity, "start": starts[k], "stop": ends[k]})
-    return out
+        taken.update(range(bisect_left(ends, a + 1), bisect_left(starts, b)))
+    parts, at = [], 0
+    for k in sorted(taken):
+        parts += [text[at : starts[k]], " " * (ends[k] - starts[k])]
+        at = ends[k]
+    rest = "".join([*parts, text[at:]])
+    hidden = sorted({text[starts[k] : ends[k]] for k in taken}.difference(_WORD.findall(rest)))
+    entities = sorted({hashlib.sha256(f"{kind}:{text[a:b].lower()}".encode("utf-8", "replace")).hexdigest()[:32] for kind, own in found.items() for a, b in own})
+    group = hashlib.sha256("\n".join([*entities, "", *hidden, "", rest]).encode("utf-8", "replace")).digest()[:16]
+    return {"rest": rest, "hidden": hidden, "entities": entities, "group": group}
 
 
 def _joined(found: dict[str, list[tuple[int, int]]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in found[kind])
 
 
-_NEAR = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("entity", T.StringType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
-_NEAR_ARROW = pa.list_(pa.struct([("term", pa.string()), ("entity", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
+_SHOWN = {"rest": T.StringType(), "hidden": T.ArrayType(T.StringType()), "entities": T.ArrayType(T.StringType()), "group": T.BinaryType()}
+_ARROW = {"rest": pa.string(), "hidden": pa.list_(pa.string()), "entities": pa.list_(pa.string()), "group": pa.binary()}
 COUNTS = [f"n_{k}" for k in KINDS]
 
 
-def search(df: DataFrame, text: str, carry: list[str], *, reach: int = REACH) -> DataFrame:
-    """Columns ``carry`` of ``df`` with counts by kind, ``base_sha256``, ``base_spans`` and what is near (``__near``)."""
-    made = {c: T.LongType() for c in COUNTS} | {"base_sha256": T.StringType(), "base_spans": T.StringType(), "__near": _NEAR}
+def search(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """Columns ``carry`` of ``df`` with counts by kind, ``base_sha256``, ``base_spans`` and what :func:`shown` gives (``__rest`` and so on)."""
+    made = {c: T.LongType() for c in COUNTS} | {"base_sha256": T.StringType(), "base_spans": T.StringType()} | {f"__{k}": v for k, v in _SHOWN.items()}
     rest = [f for f in df.schema.fields if f.name in carry and f.name not in made]
     names = [f.name for f in rest]
 
@@ -139,53 +139,82 @@ def search(df: DataFrame, text: str, carry: list[str], *, reach: int = REACH) ->
                     columns[f"n_{k}"].append(len(found[k]))
                 columns["base_spans"].append(joined := _joined(found))
                 columns["base_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
-                columns["__near"].append(near(t, found, reach))
-            new = [pa.array(columns[k], pa.int64() if k in COUNTS else _NEAR_ARROW if k == "__near" else pa.string()) for k in made]
+                for k, v in shown(t, found).items():
+                    columns[f"__{k}"].append(v)
+            new = [pa.array(columns[k], pa.int64() if k in COUNTS else _ARROW.get(k[2:], pa.string())) for k in made]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + new, names=[*names, *made])
 
     schema = T.StructType([*rest, *(T.StructField(k, v) for k, v in made.items())])
     return df.select(*names, F.col(text).alias("__pii_text")).mapInArrow(run, schema)
 
 
-def disclosing(pairs: DataFrame, texts: DataFrame, *, min_support: int, disclosure: float) -> DataFrame:
-    """Pairs (term, entity) whose term gives the entity away.
+def _words(text: str) -> Column:
+    return F.explode(F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+")))
 
-    ``pairs``: (row, term, entity), a null term for the entity itself;
+
+def disclosing(groups: DataFrame, texts: DataFrame, *, min_support: int, disclosure: float) -> DataFrame:
+    """(``group``, ``terms``): of each group with any, the terms that give one of its entities away.
+
+    ``groups``: (group, w, rest, hidden, entities), ``w`` documents that are equal in what is shown;
     ``texts``: one column ``text`` with all documents.
     """
     n = F.lit(float(max(texts.count(), 1)))
 
-    def discloses(n_term: str):
-        pmi = F.log(F.col("n_both") * n / (F.col(n_term) * F.col("n_entity")))
-        return pmi >= disclosure * -F.log(F.col("n_entity") / n)
+    def discloses(n_both: Column, n_term: str, n_entity: str) -> Column:
+        pmi = F.log(n_both * n / (F.col(n_term) * F.col(n_entity)))
+        return pmi >= disclosure * -F.log(F.col(n_entity) / n)
+
+    def can(n_term: str, n_entity: str) -> Column:  # were the rarer of the two never without the other
+        return discloses(F.least(n_term, n_entity), n_term, n_entity)
+
+    held = groups.select("group", "w", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.sum("w").alias("n_entity")).where(F.col("n_entity") >= min_support)
+    held = materialize(held.drop("w").join(entities, "entity"), "held")
+    most = held.groupBy("group").agg(F.max("n_entity").alias("most"))
+    words = groups.join(most, "group").select("group", "w", "most", _words("rest").alias("term")).where("term <> ''")
+    # A term is in at least the documents that show it with entities, which rules out common words before the corpus is counted.
+    least = words.groupBy("term").agg(F.sum("w").alias("n_least"), F.max("most").alias("most"))
+    least = least.where((F.col("n_least") >= min_support) & can("n_least", "most"))
+    # Where a word is part of a span only, the document doesn't show it.
+    seen = texts.select(_words("text").alias("term"), F.lit(1).cast("long").alias("w")).unionByName(groups.select(F.explode("hidden").alias("term"), F.negate("w").alias("w")))
+    counted = seen.groupBy("term").agg(F.sum("w").alias("n_term"))
+    terms = materialize(least.join(counted, "term").where(can("n_term", "most")).select("term", "n_term"), "terms")
+    rare = words.join(terms, "term").where(can("n_term", "most")).drop("most")
+    pairs = materialize(rare.join(held, "group").where(can("n_term", "n_entity")), "pairs")
+    together = pairs.groupBy("term", "entity").agg(F.sum("w").alias("n_both"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"))
+    bad = together.where((F.col("n_both") >= min_support) & discloses(F.col("n_both"), "n_term", "n_entity")).select("term", "entity")
+    return pairs.join(bad, ["term", "entity"], "left_semi").groupBy("group").agg(F.collect_set("term").alias("terms"))
+
+
+def _places(hit: DataFrame) -> DataFrame:
+    """(``__group``, ``__extra``): every place of ``terms`` in ``rest``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            extra = []
+            for rest, terms in zip(batch.column("rest"), batch.column("terms"), strict=True):
+                terms = set(terms.as_py())
+                extra.append(",".join(f"term:{m.start()}:{m.end()}" for m in _WORD.finditer(rest.as_py()) if m.group() in terms))
+            yield pa.RecordBatch.from_arrays([batch.column("group"), pa.array(extra, pa.string())], names=["__group", "__extra"])
 
-    seen = pairs.select("row", "term", "entity").distinct()
-    words_near = seen.where("term is not null")
-    together = words_near.groupBy("term", "entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
-    entities = seen.where("term is null").groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # A term is in at least the documents that show it near any entity, which rules out common words before the corpus is counted.
-    least = words_near.select("row", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    together = materialize(together.join(entities, "entity").join(least, "term").where(discloses("n_near")), "together")
-    words = texts.select(F.explode(F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))).alias("term"))
-    terms = words.join(together.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    return together.join(terms, "term").where(discloses("n_term")).select("term", "entity")
+    return hit.select("group", "rest", "terms").mapInArrow(run, "__group binary, __extra string")
 
 
-def sanitise(df: DataFrame, text: str, carry: list[str], *, reach: int = REACH, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(df: DataFrame, text: str, carry: list[str], *, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """Columns ``carry`` with counts by kind, ``base_sha256``, ``base_spans`` and ``spans``.
 
     ``spans`` has the base spans and those of disclosing terms (kind ``term``),
     as ``kind:start:end`` in order of kind and start.
     """
-    found = search(df, text, carry, reach=reach).withColumn("__row", F.monotonically_increasing_id())
-    found = materialize(found, "found")
-    pairs = found.where(F.size("__near") > 0).select(F.col("__row").alias("row"), F.inline("__near"))
-    bad = disclosing(pairs, df.select(F.col(text).alias("text")), min_support=min_support, disclosure=disclosure)
-    hit = pairs.join(bad, ["term", "entity"]).select("row", "start", "stop").distinct()
-    spans = F.transform(F.array_sort(F.collect_list(F.struct("start", "stop"))), lambda s: F.format_string("term:%d:%d", s.start, s.stop))
-    extra = hit.groupBy(F.col("row").alias("__row")).agg(F.array_join(spans, ",").alias("__extra"))
-    joined = found.join(extra, "__row", "left")
-    return joined.withColumn("spans", F.concat_ws(",", F.expr("nullif(base_spans, '')"), "__extra")).drop("__row", "__extra", "__near")
+    found = materialize(search(df, text, carry).drop("spans"), "found")
+    held = found.where("__group is not null")
+    first = [F.first(f"__{k}").alias(k) for k in ("rest", "hidden", "entities")]
+    groups = materialize(held.groupBy(F.col("__group").alias("group")).agg(F.count("*").alias("w"), *first), "groups")
+    hit = disclosing(groups, df.select(F.col(text).alias("text")), min_support=min_support, disclosure=disclosure)
+    extra = _places(groups.select("group", "rest").join(hit, "group"))
+    made = [f"__{k}" for k in _SHOWN]
+    masked = held.join(extra, "__group", "left").withColumn("spans", F.concat_ws(",", "base_spans", "__extra")).drop("__extra", *made)
+    return found.where("__group is null").withColumn("spans", F.lit("")).drop(*made).unionByName(masked)
 
 
 def mask(text: Column, spans: Column) -> Column:
