@@ -2,7 +2,10 @@
 
 Every word of a text is labelled with a language.  A word's score for a language
 adds learned weights of its affixes, character n-grams and itself (the lexicon
-feature), hashed into a fixed table; learned transitions say how languages
+feature), hashed into a fixed table.  A word of more than ``PIECE`` letters, such
+as a text in a script without spaces, is labelled piece by piece: the n-grams
+that begin in a piece are its own, the first has the word's prefixes and the word
+itself, the last its suffixes.  Learned transitions say how languages
 follow each other; forward-backward gives each word's marginals.  A document
 gets the language with the largest sum of marginals, and that sum's share as
 its score, so that a passage in another language counts for what it is.
@@ -25,6 +28,7 @@ import itertools
 import random
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,7 @@ from pyspark.sql import types as T
 
 N_BUCKETS = 1 << 16
 BLOCK = 64
+PIECE = 40
 BATCH_WORDS = 300_000
 MEMO_WORDS = 600_000
 MAX_ROWS = 1500
@@ -45,12 +50,38 @@ def core(token: str) -> str:
     return (token if token.isalpha() else "".join(filter(str.isalpha, token))).lower()
 
 
-def features(word: str) -> list[int]:
+class Piece(NamedTuple):
+    """Of a long word: the letters with the two after them, how many are its own, and the word's ends where it has them."""
+
+    letters: str
+    own: int
+    head: str
+    tail: str
+    word: str
+
+
+def positions(token: str) -> list[str | Piece]:
+    """What is labelled of a token: the token, or the pieces of a long word."""
+    if len(token) <= PIECE or len(word := core(token)) <= PIECE:
+        return [token]
+    last = (len(word) - 1) // PIECE * PIECE
+    return [Piece(word[i : i + PIECE + 2], min(PIECE, len(word) - i), word[:3] if i == 0 else "", word[-3:] if i == last else "", word if i == 0 else "") for i in range(0, len(word), PIECE)]
+
+
+def split(text: str) -> list[str | Piece]:
+    tokens = text.split()
+    if max(map(len, tokens), default=0) <= PIECE:
+        return tokens
+    return list(itertools.chain.from_iterable(map(positions, tokens)))
+
+
+def features(word: str | Piece) -> list[int]:
     """Hashed affixes, inner n-grams and the word itself."""
-    w = word[:40]
-    names = [f"p{w[:n]}" for n in range(1, min(3, len(w)) + 1)] + [f"s{w[-n:]}" for n in range(1, min(3, len(w)) + 1)]
-    names += [f"b{w[i : i + 2]}" for i in range(len(w) - 1)] + [f"t{w[i : i + 3]}" for i in range(len(w) - 2)]
-    names.append(f"w{word}")
+    w, own, head, tail, whole = word if isinstance(word, Piece) else (word, len(word), word[:3], word[-3:], word)
+    names = [f"p{head[:n]}" for n in range(1, len(head) + 1)] + [f"s{tail[-n:]}" for n in range(1, len(tail) + 1)]
+    names += [f"b{w[i : i + 2]}" for i in range(min(own, len(w) - 1))] + [f"t{w[i : i + 3]}" for i in range(min(own, len(w) - 2))]
+    if whole:
+        names.append(f"w{whole}")
     return [zlib.crc32(x.encode("utf-8", "replace")) & (N_BUCKETS - 1) for x in names]
 
 
@@ -59,13 +90,13 @@ class Field:
 
     def __init__(self, labels: list[str], weights: np.ndarray, transitions: np.ndarray):
         self.labels, self.weights, self.transitions = labels, weights, transitions
-        self.rows: dict[str, int] = {}
+        self.rows: dict[str | Piece, int] = {}
         self.table = np.zeros((1, len(labels)), np.float32)  # row 0: tokens without letters
 
     def __reduce__(self):
         return Field, (self.labels, self.weights, self.transitions)
 
-    def lookup(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def lookup(self, texts: list[list[str | Piece]]) -> list[np.ndarray]:
         """Rows of ``table`` for the tokens of each text."""
         rows = self.rows
         if len(rows) > MEMO_WORDS:
@@ -75,7 +106,7 @@ class Field:
         if new:
             flat, ends, at = [], [], len(self.table)
             for token in new:
-                if word := core(token):
+                if word := token if isinstance(token, Piece) else core(token):
                     rows[token] = at + len(ends)
                     flat.extend(features(word))
                     ends.append(len(flat))
@@ -89,15 +120,15 @@ class Field:
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """(label, score) of each text, some ``BATCH_WORDS`` words at a time."""
         out: list[tuple[str, float]] = []
-        batch: list[list[str]] = []
-        for tokens in map(str.split, texts):
+        batch: list[list[str | Piece]] = []
+        for tokens in map(split, texts):
             batch.append(tokens)
             if sum(map(len, batch)) > BATCH_WORDS:
                 out += self._batch(batch)
                 batch = []
         return out + self._batch(batch)
 
-    def _batch(self, texts: list[list[str]]) -> list[tuple[str, float]]:
+    def _batch(self, texts: list[list[str | Piece]]) -> list[tuple[str, float]]:
         rows = self.lookup(texts)
         with_letters = [np.flatnonzero(r) for r in rows]
         rows = [r[k] for r, k in zip(rows, with_letters, strict=True)]  # tokens without letters say nothing and are left out
@@ -167,19 +198,19 @@ def train(samples: list[tuple[str, str]], *, steps: int = 250, width: int = 48,
     labels = sorted({label for _, label in samples})
     k, rng = len(labels), random.Random(seed)
     field = Field(labels, np.zeros((N_BUCKETS, k), np.float32), np.zeros((k, k)))
-    by_label: dict[int, list[list[str]]] = {}
+    by_label: dict[int, list[list[str | Piece]]] = {}
     for text, label in samples:
-        if words := [w for w in map(core, text.split()) if w]:
+        if words := [w for x in split(text) if (w := x if isinstance(x, Piece) else core(x))]:
             by_label.setdefault(labels.index(label), []).append(words)
     if len(by_label) < 2:
         return field
-    memo: dict[str, list[int]] = {}
+    memo: dict[str | Piece, list[int]] = {}
     seen_w, seen_t = np.full_like(field.weights, 1e-6), np.full((k, k), 1e-6)
     kinds = sorted(by_label)
     for _ in range(steps):
         flat, ends, gold = [], [], []
         for _ in range(width):
-            words: list[str] = []
+            words: list[str | Piece] = []
             tags: list[int] = []
             while len(words) < length:
                 y = rng.choice(kinds)
