@@ -76,11 +76,19 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
         return n
     if good + bad < 10**9:
         return int(rng.hypergeometric(good, bad, n))
-    # Normal law with the exact mean and variance: at over 10^9 items its error
-    # is far below one standard deviation; clipped to the support, so that sizes stay exact.
+    # Inversion: ratios of neighbouring probabilities from the mode outwards.  What lies beyond
+    # ten standard deviations and 60 is less than the last bit of the uniform number.
     share = good / (good + bad)
     spread = (n * share * (1 - share) * (good + bad - n) / (good + bad - 1)) ** 0.5
-    return int(np.clip(round(rng.normal(n * share, spread)), max(0, n - bad), min(good, n)))
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), low), high)
+    width = int(10 * spread) + 60
+    first, last = max(low, mode - width), min(high, mode + width)
+    k = np.arange(first, last, dtype=np.float64)
+    ratio = (good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))
+    down, up = np.cumprod(1 / ratio[: mode - first][::-1])[::-1], np.cumprod(ratio[mode - first :])
+    below = np.cumsum(np.concatenate([down, [1.0], up]))
+    return first + int(np.searchsorted(below, rng.random() * below[-1], side="right"))
 
 
 def assign_shards(df: DataFrame, key: list[Column], n_shards: int, *, seed: int = 20, n_parts: int = N_PARTS, n_cells: int = N_CELLS) -> DataFrame:
