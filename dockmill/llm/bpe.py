@@ -5,7 +5,10 @@ encoding: the token t that ends there such that the pair (last token of the
 prefix before t, t) is what BPE makes of those two tokens' bytes.  Storing that
 token per prefix gives the encoding by walking back from the end; appending
 bytes extends the table without touching it, and after an edit only entries
-from the edit on are computed, until the table runs as before.
+from the edit on are computed, until the table runs as before.  Which tokens can
+end at a place is read off the last three bytes, so few lengths are tried.  The
+tables of all new words of a batch of texts are computed together, over arrays
+(``prefix_tables.py``).
 
 Texts are first cut by the vocabulary's pattern and each match is encoded on
 its own.  A word between two single spaces is cut the same way wherever it
@@ -21,21 +24,26 @@ table gives an empty result; columns named like an output are replaced.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from dockmill.llm.memo import only, register
+from dockmill.llm.prefix_tables import PrefixTables
 
 # The white space of the pattern's \s.
 WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000  # in each of two generations
 MEMO_PAIRS = 400_000
+SHORT = 64
+ARRAY_WORDS = 30_000
 _NEVER = 1 << 60
 
 
@@ -78,7 +86,7 @@ class PrefixTable:
         out, at = [], len(self.data)
         while at:
             out.append(self.last[at])
-            at -= len(self.encoder.vocabulary[self.last[at]])
+            at -= self.encoder.size_of[self.last[at]]
         return out[::-1]
 
 
@@ -89,13 +97,16 @@ class Encoder:
         self.ranks = ranks
         self.vocabulary = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.size_of = {i: len(t) for i, t in self.vocabulary.items()}
+        self.tails = _tails(ranks)
         self.digits = {i: str(i) for i in self.vocabulary}
         self.split = regex.compile(pattern).findall
         self.pairs: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict[int, list[int]], ...] = ({}, {})
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Generations()
         self.words = _Words(self)
+        self.tables: PrefixTables | None = None
 
     def merged(self, data: bytes, least: int = 1) -> list[int]:
         """Plain merging, lowest rank first, down to ``least`` parts: how a token is made."""
@@ -150,9 +161,13 @@ class Encoder:
 
     def extend(self, data: bytes, last: list[int], first: int, stop: int) -> None:
         """Append to ``last`` the last tokens of the prefixes that end at first, ..., stop - 1."""
-        token_of, known, longest = self.ranks.get, self.pairs, self.longest
+        token_of, known, tails = self.ranks.get, self.pairs, self.tails
         for end in range(first, stop):
-            for start in range(max(0, end - longest), end):
+            sizes = tails.get(data[end - 3 : end]) if end > 2 else None
+            for size in sizes or tails.get(data[end - 2 : end] if end > 1 else b"", _BYTE):
+                start = end - size
+                if start < 0:
+                    continue
                 token = token_of(data[start:end])
                 if token is None:
                     continue
@@ -170,31 +185,51 @@ class Encoder:
                 raise ValueError("the vocabulary lacks a byte")
             last.append(token)
 
+    def ids_of(self, data: bytes) -> tuple[int, ...]:
+        token = self.ranks.get(data)
+        return (token,) if token is not None else tuple(PrefixTable(self, data).ids())
+
     def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one match of the pattern; a space and a word are remembered with the words."""
-        spaced = piece[0] == " " and piece[1:2] not in WHITE and len(piece) > 1
-        memo, key = (self.words, piece[1:]) if spaced else (self.pieces, piece)
-        known = memo.get(key)
+        if piece[0] == " " and piece[1:2] not in WHITE and len(piece) > 1:
+            return self.words.of_piece(piece)
+        known = self.pieces.find(piece)
         if known is None:
-            data = piece.encode("utf-8", "replace")
-            token = self.ranks.get(data)
-            known = (token,) if token is not None else tuple(PrefixTable(self, data).ids())
-            if len(piece) <= 64:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                memo[key] = known
+            known = self.ids_of(piece.encode("utf-8", "replace"))
+            self.pieces.keep(piece, known)
         return known
 
+    def learn(self, texts: list[list[str]]) -> None:
+        """Remember the ids of all words of the texts (cut at spaces) that are not known yet, their tables computed together."""
+        words = self.words
+        fresh = set().union(*texts).difference(words)
+        again = {w: words.older[w] for w in fresh & words.older.keys()}
+        words.keep_all(again)
+        new = [w for w in fresh.difference(again) if 0 < len(w) <= SHORT and w[0] not in WHITE and w[-1] not in WHITE]
+        if self.tables is None:
+            self.tables = PrefixTables(self.ranks, self.fits, MEMO_PAIRS)
+        for at in range(0, len(new), ARRAY_WORDS):
+            part = new[at : at + ARRAY_WORDS]
+            joined = " " + " ".join(part)
+            sizes = np.fromiter((len(p) for p in self.split(joined)), np.int64)
+            data = joined.encode("utf-8", "replace")
+            if len(data) > len(joined):  # from characters to bytes
+                byte_of = np.append(np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), len(data))
+                sizes = np.diff(byte_of[np.concatenate([[0], np.cumsum(sizes)])])
+            words.keep_all(dict(zip(part, self.tables.encode(data, sizes), strict=True)))
+
     def encode(self, text: str) -> list[int]:
-        first, *rest = text.split(" ")
+        return self.encode_cut(text, text.split(" "))
+
+    def encode_cut(self, text: str, words: list[str]) -> list[int]:
+        """Ids of a text that was cut at its spaces."""
+        first = words[0]
         try:
             if first and (first[0] in WHITE or first[-1] in WHITE):
                 raise _Irregular
-            if not first and rest:
-                head = []
-            else:
-                head = self.plain(first)
-            return head + list(chain.from_iterable(map(self.words.__getitem__, rest)))
+            out = self.plain(first) if first or len(words) == 1 else []
+            out.extend(chain.from_iterable(map(self.words.__getitem__, islice(words, 1, None))))
+            return out
         except _Irregular:
             return self.plain(text)
 
@@ -216,25 +251,76 @@ class _Irregular(Exception):
     """White space beside a space: the cut depends on the neighbours."""
 
 
-class _Words(dict):
+class _Generations(dict):
+    """A bounded memory: when it is full, it becomes the older generation and the one before that is forgotten."""
+
+    def __init__(self) -> None:
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def find(self, key: str) -> tuple[int, ...] | None:
+        known = self.get(key)
+        if known is None and (known := self.older.get(key)) is not None:
+            self.keep(key, known)
+        return known
+
+    def keep(self, key: str, ids: tuple[int, ...]) -> None:
+        if len(key) <= SHORT:
+            if len(self) >= MEMO_WORDS:
+                self.older = self.copy()
+                self.clear()
+            self[key] = ids
+
+    def keep_all(self, known: dict[str, tuple[int, ...]]) -> None:
+        """Like :meth:`keep`, of keys that are short."""
+        if len(self) + len(known) > MEMO_WORDS:
+            self.older = self.copy()
+            self.clear()
+        self.update(known)
+
+
+class _Words(_Generations):
     """Ids of a space and the word after it, by word."""
 
     def __init__(self, encoder: Encoder):
+        super().__init__()
         self.encoder = encoder
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if not word or word[0] in WHITE or word[-1] in WHITE:
-            raise _Irregular
-        pieces = self.encoder.split(" " + word)
-        if len(pieces) == 1:
-            return self.encoder.piece(pieces[0])  # which remembers it here
-        ids = tuple(i for piece in pieces for i in self.encoder.piece(piece))
-        if len(word) <= 64:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = ids
+        ids = self.older.get(word)
+        if ids is None:
+            if not word or word[0] in WHITE or word[-1] in WHITE:
+                raise _Irregular
+            pieces = self.encoder.split(" " + word)
+            if len(pieces) == 1:
+                return self.of_piece(pieces[0])
+            ids = tuple(chain.from_iterable(map(self.encoder.piece, pieces)))
+        self.keep(word, ids)
         return ids
 
+    def of_piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of a space and a word that are one match of the pattern."""
+        ids = self.find(piece[1:])
+        if ids is None:
+            ids = self.encoder.ids_of(piece.encode("utf-8", "replace"))
+            self.keep(piece[1:], ids)
+        return ids
+
+
+_BYTE = (1,)
+
+
+def _tails(ranks: dict[bytes, int]) -> dict[bytes, tuple[int, ...]]:
+    """By the last three (or two) bytes: the lengths of the tokens that end so, longest first."""
+    found: dict[bytes, set[int]] = {}
+    for token in ranks:
+        if len(token) > 1:
+            found.setdefault(token[-3:], {1}).add(len(token))
+    for tail, sizes in found.items():
+        if tail[-2:] in ranks:
+            sizes.add(2)
+    same: dict[tuple[int, ...], tuple[int, ...]] = {}
+    return {tail: same.setdefault(t := tuple(sorted(sizes, reverse=True)), t) for tail, sizes in found.items()}
+
 
 class EncodedText:
     """A text with its pieces' ids, kept up to date under appends and edits."""
@@ -312,12 +398,16 @@ def encode_frame(df: DataFrame, text: str, vocabulary: str, pattern: str, *, ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("bpe")
+        gc.disable()  # millions of small tuples and no cycles
         encoder = encoder_of(shared.value, pattern)
         sha, digits = hashlib.sha256, encoder.digits.__getitem__
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             columns: dict[str, list] = {k: [] for k in made}
-            for t in batch.column(text):
-                found = encoder.encode(t.as_py() or "")
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            cut = [t.split(" ") for t in texts]
+            encoder.learn(cut)
+            for t, words in zip(texts, cut, strict=True):
+                found = encoder.encode_cut(t, words)
                 columns["n_tokens"].append(len(found))
                 columns["ids_sha256"].append(sha(" ".join(map(digits, found)).encode()).hexdigest())
                 columns["decoded_sha256"].append(sha(encoder.decode(found)).hexdigest())
@@ -325,6 +415,7 @@ def encode_frame(df: DataFrame, text: str, vocabulary: str, pattern: str, *, ids
                     columns["token_ids"].append(pa.array(found, pa.int32()))
             new = [pa.array(columns[k], pa.int64() if k == "n_tokens" else pa.list_(pa.int32()) if k == "token_ids" else pa.string()) for k in made]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + new, names=[*names, *made])
+        gc.enable()
 
     return df.select(*names, text).mapInArrow(run, schema)
 
