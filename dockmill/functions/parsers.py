@@ -1,12 +1,15 @@
 """Parsers of generated outlines: theme and entity taxonomies.
 
-Segmentation stays in the JVM; the label rules, which backtrack, run in a
-Python table function on the driver-sized texts they are for.
+An outline is cut into sections at its head lines; what a head line looks like
+is a regex, so themes, categories and entities go through the same function.
+Segmentation of whole tables stays in the JVM (:func:`theme_segments`); the
+label rules run on the driver-sized texts they are for.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -20,8 +23,24 @@ ABBREVIATIONS = ["U.S.", "U.K.", "Dr.", "Mr.", "Mrs.", "Ms.", "Prof.", "Inc.", "
 # Fixed value: the label rule of parity mode, quirks included (no label ends in v or s, nor has U, S or a stop before its last character).
 PARITY_LABEL = re.compile(r"^(.+?[^U.S][^vs])\.\s+([A-Z].*)\Z", re.DOTALL)
 
-_START = re.compile(r"(?m)^(\d+(?:\.\d+)*)\.\s+")
-_STOP = re.compile(r"\.\s+")
+# An abbreviation is consumed whole, so the stops that are left over end sentences.
+_STOPS = re.compile(r"(?<!\w)(?:%s)|(\.)" % "|".join(map(re.escape, ABBREVIATIONS)))
+_THEME = re.compile(r"(?m)^(?P<head>\d+(?:\.\d+)*)\.\s+")
+_CATEGORY = re.compile(r"(?m)^[^\S\n]*\d+\.[^\S\n]+(?P<head>.*\S)[^\S\n]*$")
+_ENTITY = re.compile(r"(?m)^[^\S\n]*\*[^\S\n]+(?P<head>[^:\n]+:[^\S\n]+.*\S)[^\S\n]*$")
+_TERM = re.compile(r'(?m)^[^\S\n]*\*[^\S\n]+"?([^"\n]+)"?[^\S\n]*$')
+
+
+def _sections(text: str, head: re.Pattern) -> Iterator[tuple[str, str]]:
+    """(head, text up to the next head); what stands before the first head belongs to none."""
+    found = list(head.finditer(text))
+    for m, stop in zip(found, [*(m.start() for m in found[1:]), len(text)]):
+        yield m["head"], text[m.end() : stop]
+
+
+def sentence_ends(text: str) -> Iterator[int]:
+    """Places of full stops that belong to no abbreviation."""
+    return (m.start() for m in _STOPS.finditer(text) if m[1])
 
 
 @dataclass
@@ -33,46 +52,44 @@ class Theme:
     detailed_guidelines: str
 
 
-def _clean_split(text: str) -> tuple[str, str]:
-    """Label and rest at the first sentence end that is no abbreviation's."""
-    for m in _STOP.finditer(text):
-        upto = text[: m.start() + 1]
-        if not any(upto == a or upto.endswith(" " + a) or upto.endswith("(" + a) for a in ABBREVIATIONS):
-            return text[: m.start()], text[m.end() :]
-    return text.removesuffix("."), ""
+def _clean_label(body: str) -> tuple[str, str]:
+    """Label and rest at the first sentence end before white space."""
+    for at in sentence_ends(body):
+        if body[at + 1 : at + 2].isspace():
+            return body[:at], body[at + 1 :].lstrip()
+    return body.removesuffix("."), ""
 
 
-def _parity_split(text: str) -> tuple[str, str]:
-    if m := PARITY_LABEL.match(text):
-        return m.group(1), m.group(2)
-    parts = _STOP.split(text)
-    if len(parts) < 2:
-        return text, ""
-    taken = 2 if parts[0].endswith((" U.S", " vs")) else 1
-    return ". ".join(parts[:taken]), ". ".join(parts[taken:])
+def _parity_label(body: str) -> tuple[str, str]:
+    """Label and rest by the parity rule; where it finds none, at the first stop, or the second after " U.S" or " vs"."""
+    if m := PARITY_LABEL.match(body):
+        return m[1], m[2]
+    label, *rest = re.split(r"\.\s+", body)
+    if rest and re.search(r" (U\.S|vs)\Z", label):
+        label = f"{label}. {rest.pop(0)}"
+    return label, ". ".join(rest)
+
+
+_LABELS = {"clean": _clean_label, "parity": _parity_label}
 
 
 def _guidelines(rest: str) -> str:
-    """Brief description and details as one text; they are split at a double bar, else at an early sentence end."""
-    if " || " in rest:
-        brief, _, more = rest.partition(" || ")
-        brief, more = brief.strip(), more.strip()
-    else:
-        brief, more = rest.strip(), ""
-        if 0 < (at := brief.find(". ")) < 200:
-            brief, more = brief[:at], brief[at + 2 :].strip()
-    return brief.removesuffix(".") + (f". {more}" if more else "")
+    """Brief description and details as sentences: they part at a double bar, else at a stop among the first 200 characters."""
+    rest = rest.strip()
+    border = re.search(r" \|\| ", rest) or re.compile(r"\. ").search(rest, 1, 201)
+    if border is None:
+        return rest.removesuffix(".")
+    brief, more = rest[: border.start()].strip().removesuffix("."), rest[border.end() :].strip()
+    return f"{brief}. {more}" if more else brief
 
 
 def parse_themes(text: str, mode: str = "clean") -> list[Theme]:
     """Themes of an outline whose paragraphs start with dotted numbers."""
-    starts = list(_START.finditer(text))
     out = []
-    for i, m in enumerate(starts):
-        stop = starts[i + 1].start() if i + 1 < len(starts) else len(text)
-        label, rest = (_clean_split if mode == "clean" else _parity_split)(text[m.end() : stop].strip())
-        code = m.group(1)
-        out.append(Theme(code, label.strip(), code.count(".") + 1, code.rpartition(".")[0] or None, _guidelines(rest)))
+    for code, body in _sections(text, _THEME):
+        label, rest = _LABELS[mode](body.strip())
+        parent, _, _ = code.rpartition(".")
+        out.append(Theme(code, label.strip(), 1 + code.count("."), parent or None, _guidelines(rest)))
     return out
 
 
@@ -91,33 +108,24 @@ class Entity:
     terms: list[str] = field(default_factory=list)
 
 
+def _entity(head: str, body: str) -> Entity:
+    label, _, definition = head.partition(":")
+    return Entity(label.strip(), definition.strip(), [t.strip() for t in _TERM.findall(body)])
+
+
 def parse_entities(text: str) -> dict[str, list[Entity]]:
-    """Categories ("1. Name"), entities ("* Label: definition") and their terms ("* term")."""
+    """Categories ("1. Name"), their entities ("* Label: definition"), and the entities' terms ("* term")."""
     out: dict[str, list[Entity]] = {}
-    category: str | None = None
-    entity: Entity | None = None
-    for line in (x.strip() for x in text.splitlines()):
-        if m := re.fullmatch(r"\d+\.\s+(.+)", line):
-            category, entity = m.group(1), None
-            out.setdefault(category, [])
-        elif (m := re.fullmatch(r"\*\s+([^:]+):\s+(.+)", line)) and category is not None:
-            entity = Entity(m.group(1).strip(), m.group(2).strip())
-            out[category].append(entity)
-        elif (m := re.fullmatch(r'\*\s+"?([^"]+)"?', line)) and entity is not None:
-            entity.terms.append(m.group(1).strip())
+    for name, body in _sections(text, _CATEGORY):
+        out.setdefault(name, []).extend(_entity(*e) for e in _sections(body, _ENTITY))
     return out
 
 
 def split_description(description: str) -> tuple[str, str]:
-    """(label, details) at the first full stop that belongs to no abbreviation; all is label without one."""
-    marked = description
-    for i, a in enumerate(ABBREVIATIONS):
-        marked = marked.replace(a, f"\u0001{i}\u0002")
-    m = re.match(r"^([^.]+)\.\s*(.+)$", marked)
-    if not m:
-        return description, ""
-    back = lambda s: re.sub("\u0001(\\d+)\u0002", lambda x: ABBREVIATIONS[int(x.group(1))], s).strip()
-    return back(m.group(1)), back(m.group(2))
+    """(label, details) at the first sentence end; all is label if nothing stands on one side of it or in another line."""
+    at = next(sentence_ends(description), 0)
+    label, details = description[:at].strip(), description[at + 1 :].strip()
+    return (label, details) if label and details and "\n" not in details else (description, "")
 
 
 def fill(template: str, **values: str) -> str:
