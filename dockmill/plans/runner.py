@@ -66,7 +66,7 @@ def run_steps(steps: list[tuple[str, Callable[[], object]]], start: int = 1, cra
 
 
 def retry_delay(message: str, default: float) -> float:
-    """Seconds that an error's JSON asks to wait (``retryDelay``: "12s"), anywhere inside it."""
+    """Two seconds more than a 429 error's JSON asks to wait (``retryDelay``: "12s"), anywhere inside it."""
 
     def find(x) -> float | None:
         if isinstance(x, str) and x.lstrip().startswith(("{", "[")):
@@ -81,5 +81,5 @@ def retry_delay(message: str, default: float) -> float:
         return next((f for v in x if (f := find(v)) is not None), None) if isinstance(x, list) else None
 
     at = message.find("{")
-    found = find(message[at : message.rfind("}") + 1]) if at >= 0 else None
-    return default if found is None else found
+    found = find(message[at : message.rfind("}") + 1]) if at >= 0 and "429" in message else None
+    return default if found is None else int(found) + 2.0

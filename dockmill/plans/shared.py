@@ -3,8 +3,8 @@
 Iterative or multi-pass operators cut their lineage by writing an
 intermediate table and reading it back: a lost executor then costs a re-read,
 never a recomputation of the whole history.  The folder is the one the cluster
-names in ``spark.checkpoint.dir``; only where that is unset (tests, a laptop)
-does a temporary folder stand in.
+names in ``spark.checkpoint.dir``; only where that is unset and the master is
+local (tests, a laptop) does a temporary folder stand in.
 """
 
 from __future__ import annotations
@@ -15,12 +15,16 @@ import gc
 import re
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: set[str] = set()
 _scratch: set[str] = set()
+_lock = threading.Lock()
+_writers: list[int] = []  # writes under way, in any thread
+_before: list[str | None] = []
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -28,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of the shared working folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="dockmill-")
         spark.conf.set("spark.checkpoint.dir", root)
         _made.add(root)
@@ -46,12 +52,19 @@ def new_path(spark: SparkSession, name: str) -> str:
 @contextlib.contextmanager
 def shuffles_dropped(spark: SparkSession):
     """Inside, Spark deletes an execution's shuffle files when it ends: nothing reads them again once a table is written."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    with _lock:
+        if not _writers:
+            _before.append(spark.conf.get(_CLEANUP, None))
+            spark.conf.set(_CLEANUP, "true")
+        _writers.append(1)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        with _lock:
+            _writers.pop()
+            if not _writers:
+                before = _before.pop()
+                spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,22 +1,23 @@
 """A paged REST source of comments, read by executors; pages may be replayed from files.
 
-``Fetch`` is any callable from a URL to parsed JSON, so tests and offline runs
-pass :func:`replay`.
+Requests go through a :class:`Fetch`, so tests and offline runs pass a
+:class:`Replay`.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-Fetch = Callable[[str], dict]
 PAGE = 250
 
 
@@ -25,26 +26,49 @@ def backoff(attempt: int, first: float = 5.0, most: float = 120.0) -> float:
     return min(first * 2**attempt, most)
 
 
-def http(key: str = "", tries: int = 10, sleep: Callable[[float], None] = time.sleep) -> Fetch:
+class Fetch(Protocol):
+    """Answers URLs: a call gives parsed JSON, :meth:`download` a file's bytes."""
+
+    def __call__(self, url: str) -> dict: ...
+
+    def download(self, url: str) -> bytes: ...
+
+
+class Http:
     """Fetch over HTTP; a 429 waits and tries again."""
 
-    def fetch(url: str) -> dict:
-        for attempt in range(tries):
+    def __init__(self, key: str = "", tries: int = 10, sleep: Callable[[float], None] = time.sleep, open_: Callable = urllib.request.urlopen):
+        self.key, self.tries, self.sleep, self.open = key, tries, sleep, open_
+
+    def __call__(self, url: str) -> dict:
+        return json.loads(self._read(url, {"X-Api-Key": self.key}))
+
+    def download(self, url: str) -> bytes:
+        return self._read(url, {"Accept": "application/pdf,*/*"})
+
+    def _read(self, url: str, headers: dict[str, str]) -> bytes:
+        for attempt in range(self.tries):
             try:
-                with urllib.request.urlopen(urllib.request.Request(url, headers={"X-Api-Key": key})) as r:
-                    return json.load(r)
+                with self.open(urllib.request.Request(url, headers=headers)) as r:
+                    return r.read()
             except urllib.error.HTTPError as e:
-                if e.code != 429 or attempt == tries - 1:
+                if e.code != 429 or attempt == self.tries - 1:
                     raise
-                sleep(backoff(attempt))
+                self.sleep(backoff(attempt))
         raise RuntimeError("no tries")
 
-    return fetch
 
+class Replay:
+    """Answers from a dictionary of URLs: JSON values, and bytes for files."""
 
-def replay(pages: dict[str, dict]) -> Fetch:
-    """Answers from a dictionary of URLs."""
-    return pages.__getitem__
+    def __init__(self, pages: dict[str, dict | bytes]):
+        self.pages = pages
+
+    def __call__(self, url: str) -> dict:
+        return self.pages[url]
+
+    def download(self, url: str) -> bytes:
+        return self.pages[url]
 
 
 def list_comments(base: str, object_id: str, fetch: Fetch) -> Iterator[dict]:
@@ -58,26 +82,60 @@ def list_comments(base: str, object_id: str, fetch: Fetch) -> Iterator[dict]:
         page += 1
 
 
-def fetch_details(ids: DataFrame, base: str, fetch: Fetch) -> DataFrame:
-    """(``id``, ``attributes_json``, ``attachments``); a comment with an attachment that fails is left out whole."""
+_DETAILS = "id string, attributes_json string, attachments array<struct<id:string,format:string,file_name:string,url:string,size:bigint,blob_data:binary>>"
+
+
+def _files(base: str, attachment: str, fetch: Fetch, download: bool) -> Iterator[dict]:
+    """The formats of one attachment, with their bytes if asked for."""
+    found = fetch(f"{base}/attachments/{attachment}?include=fileFormats")["data"]["attributes"].get("fileFormats") or []
+    for f in found:
+        if url := f.get("downloadUrl") or f.get("fileUrl"):
+            kind = (f.get("fileFormat") or f.get("format") or "bin").lower()
+            blob = fetch.download(url) if download else None
+            size = f.get("size") if blob is None else len(blob)
+            yield {"id": f.get("formatId") or attachment, "format": kind, "file_name": f"{attachment}.{kind}", "url": url, "size": size or None, "blob_data": blob}
+
+
+def fetch_details(ids: DataFrame, base: str, fetch: Fetch, *, download: bool = True) -> DataFrame:
+    """(``id``, ``attributes_json``, ``attachments`` with their bytes); a comment with an attachment that fails is left out whole.
+
+    ``download=False`` keeps the list of files and leaves their bytes out.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for i in batch["id"]:
                 try:
-                    got = fetch(f"{base}/comments/{i}?include=attachments")
-                    files = []
-                    for a in got.get("included", []):
-                        for f in a["attributes"].get("fileFormats") or []:
-                            fetch(f["fileUrl"])
-                            files.append({"id": a["id"], "format": f["format"], "url": f["fileUrl"], "size": int(f.get("size") or 0)})
-                except (KeyError, OSError):
+                    got = fetch(f"{base}/comments/{i}?include=attachments")["data"]
+                    listed = ((got.get("relationships") or {}).get("attachments") or {}).get("data") or []
+                    files = [f for a in listed for f in _files(base, a["id"], fetch, download)]
+                except (KeyError, OSError, ValueError):
+                    continue
+                yield pd.DataFrame([(i, json.dumps(got["attributes"]), files)], columns=["id", "attributes_json", "attachments"])
+
+    return ids.select("id").mapInPandas(run, _DETAILS)
+
+
+METADATA = ["docketId", "agencyId", "agencyName", "documentType", "title", "postedDate", "commentStartDate", "commentEndDate"]
+
+
+def fetch_metadata(ids: DataFrame, base: str, fetch: Fetch, stored: DataFrame | None = None) -> DataFrame:
+    """Rows of ``document_metadata`` for the document ids that have none yet; ids that can't be fetched are left out."""
+    wanted = ids.select("document_id").distinct()
+    if stored is not None:
+        wanted = wanted.join(stored.select("document_id").distinct(), "document_id", "left_anti")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in batch["document_id"]:
+                try:
+                    found = fetch(f"{base}/documents/{i}")["data"]["attributes"]
+                except (KeyError, OSError, ValueError):
                     continue
-                out.append((i, json.dumps(got["data"]["attributes"]), files))
-            yield pd.DataFrame(out, columns=["id", "attributes_json", "attachments"])
+                yield pd.DataFrame([(i, *(found.get(k) for k in METADATA), json.dumps(found))])
 
-    return ids.select("id").mapInPandas(run, "id string, attributes_json string, attachments array<struct<id:string,format:string,url:string,size:bigint>>")
+    names = [re.sub("([A-Z])", r"_\1", k).lower() for k in METADATA]
+    return wanted.mapInPandas(run, ", ".join(f"{c} string" for c in ["document_id", *names, "metadata_json"]))
 
 
 def load_document(spark: SparkSession, base: str, document_id: str, fetch: Fetch, stored: DataFrame | None = None, limit: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from dockmill.functions.text import extension, basename, given, leading_int
 
 # CSV columns and the attributes they become.
 FIELDS = {
-    "Document ID": "documentId",
+    "Document ID": "id",
     "Agency ID": "agencyId",
     "Docket ID": "docketId",
     "Document Type": "documentType",
@@ -31,12 +31,12 @@ FIELDS = {
 def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a CSV with quoted line breaks, numbered in file order (``ord`` from 1).
 
-    ``monotonically_increasing_id`` follows the order of files and splits, and a
-    multi-line file is one split, so the ids of one file are consecutive; the
-    offset of each file comes from a count per file.
+    Several files count in the order of their names.  A multi-line file is one
+    split, so the row ids of one file are consecutive; the offset of each file
+    comes from a count per file, which reads the files once more.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
-    numbered = raw.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    numbered = raw.select("*", F.col("_metadata.file_path").alias("__p")).withColumn("__i", F.monotonically_increasing_id())
     first = numbered.groupBy("__p").agg(F.min("__i").alias("__m"), F.count("*").alias("__c"))
     from pyspark.sql.window import Window
 

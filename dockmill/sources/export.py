@@ -9,8 +9,10 @@ from __future__ import annotations
 import html
 import json
 import os
+import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,3 +49,46 @@ def html_page(title: str, df: DataFrame, most: int = 1000) -> str:
     cells = lambda tag, xs: "".join(f"<{tag}>{html.escape('' if x is None else str(x))}</{tag}>" for x in xs)
     body = "".join(f"<tr>{cells('td', r)}</tr>" for r in df.limit(most).collect())
     return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{cells('th', df.columns)}</tr>{body}</table>"
+
+
+def zip_texts(path: str, folder: str, texts: dict[str, str]) -> None:
+    """A zip with the texts as files of one folder; the same texts give the same bytes."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in sorted(texts.items()):
+            z.writestr(zipfile.ZipInfo(f"{folder}/{name}"), text, zipfile.ZIP_DEFLATED)
+
+
+# The documents of an export.
+DOCUMENTS = {
+    "meta": "meta.json",
+    "themes": "themes.json",
+    "theme_summaries": "theme-summaries.json",
+    "entities": "entities.json",
+    "comments": "comments.json",
+    "theme_index": "indexes/theme-comments.json",
+    "entity_index": "indexes/entity-comments.json",
+    "theme_extracts": "theme-extracts.json",
+}
+OPTIONAL = {"theme_extracts"}
+
+
+def load_documents(folder: str) -> dict[str, object]:
+    """The documents of an export by name, read side by side; one that may be missing is then empty."""
+
+    def load(name: str) -> object:
+        try:
+            with open(os.path.join(folder, DOCUMENTS[name])) as f:
+                return json.load(f)
+        except (OSError, ValueError):
+            if name in OPTIONAL:
+                return {}
+            raise
+
+    with ThreadPoolExecutor(len(DOCUMENTS)) as pool:
+        return dict(zip(DOCUMENTS, pool.map(load, DOCUMENTS), strict=True))
+
+
+def scan_document(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One document of an export as a table: a row an element of an array, or one row of a map."""
+    return spark.read.option("multiLine", True).json(f"{folder}/{DOCUMENTS[name]}")
