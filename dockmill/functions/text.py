@@ -102,6 +102,29 @@ def features(x: Column, mode: str = "word-ngrams", low: int = 3, high: int = 5)
     return let(normal_words(x), of)
 
 
+def feature_ids(x: Column, mode: str = "word-ngrams", low: int = 3, high: int = 5) -> Column:
+    """:func:`features` as 64-bit hashes, in the same order.
+
+    Words are hashed once and a window's hash is made of theirs, so no text is
+    built.  Sets of ids compare like sets of features, but for equal hashes of
+    different features (2**-64 a pair).
+    """
+
+    def windows(h: Column, n: int) -> Column:
+        grams = F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(F.lit(n), *(F.get(h, i + j) for j in range(n))))
+        return F.when(F.size(h) >= n, grams).otherwise(F.array().cast("array<bigint>"))
+
+    def of(words: Column) -> Column:
+        parts = []
+        if mode in ("words", "both"):
+            parts.append(F.transform(F.filter(words, lambda w: F.length(w) > 2), lambda w: F.xxhash64(F.lit(1), w)))
+        if mode in ("word-ngrams", "both"):
+            parts.append(let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.concat(*(windows(h, n) for n in range(low, high + 1)))))
+        return F.array_distinct(F.concat(*parts))
+
+    return let(normal_words(x), of)
+
+
 def sections(x: Column) -> Column:
     """Map from field to content of ``### HEADER`` sections; of a repeated header the last counts."""
     parts = F.slice(F.split(x, r"(?m)^###\s+"), 2, 1_000_000)
@@ -206,6 +229,11 @@ def repaired_description(description: Column, guidelines: Column) -> Column:
     return F.coalesce(given(F.regexp_extract(guidelines, r"^(.+?)\.\s+This theme", 1)), description)
 
 
+def patched_description(description: Column, guidelines: Column) -> Column:
+    """A description that looks cut is replaced by its guidelines' first sentence, where they have one."""
+    return F.when(cut_description(description), F.coalesce(given(first_sentence(guidelines)), description)).otherwise(description)
+
+
 def preview(x: Column) -> Column:
     """At most 100 characters of the first 200, with dots if cut."""
     head = F.substring(x, 1, 200)
@@ -236,8 +264,8 @@ def parent_of(code: Column) -> Column:
 
 
 def natural_key(code: Column) -> Column:
-    """Sort key of a dotted code: its parts as numbers, shorter first."""
-    return F.transform(F.split(code, r"\."), lambda p: p.cast("int"))
+    """Sort key of a dotted code: number parts as numbers, before others, which compare as texts; shorter codes first."""
+    return F.transform(F.split(code, r"\."), lambda p: F.struct(p.try_cast("decimal(38,0)").isNull().alias("is_text"), p.try_cast("decimal(38,0)").alias("number"), F.lower(p).alias("low"), p.alias("text")))
 
 
 def date_part(x: Column) -> Column:
@@ -281,6 +309,26 @@ def entity_keys(entities: Column) -> Column:
     return F.transform(entities, lambda e: F.concat_ws("|", e.category, e.label))
 
 
+def is_organization(kind: Column) -> Column:
+    return F.coalesce(kind.isin(ORGANIZATION_TYPES), F.lit(False))
+
+
+def unwrapped_extract(x: Column) -> Column:
+    """The ``extract`` inside a JSON object, or the object itself; NULL for what is no JSON."""
+    inner = F.get_json_object(x, "$.extract")
+    return F.when(F.try_parse_json(x).isNotNull(), F.coalesce(given(inner), x))
+
+
+def valid_json(x: Column) -> Column:
+    """The JSON body of an answer; NULL where it has none or it can't be parsed."""
+    return let(json_body(x), lambda body: F.when(F.try_parse_json(body).isNotNull(), body))
+
+
+def head_of(items: Column, k: int) -> Column:
+    """(``shown``, ``more``): the first ``k`` of a list and how many follow."""
+    return F.struct(F.slice(items, 1, k).alias("shown"), F.greatest(F.size(items) - k, F.lit(0)).alias("more"))
+
+
 def submitter(org: str, first: str, last: str) -> Column:
     names = F.concat_ws(" ", given(first), given(last))
     return F.coalesce(given(org), given(names), F.lit("Anonymous"))

@@ -14,33 +14,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def budget_sample(rows: DataFrame, words: str, budget: int, order: list[Column], filled: float = 0.9) -> DataFrame:
-    """Rows in ``order`` until one would exceed the budget when 90 % of it is used already.
+def budget_sample(rows: DataFrame, words: str, budget: int, key: str, filled: float = 0.9, digits: int = 4) -> DataFrame:
+    """Rows in order of ``key`` until one would exceed the budget when 90 % of it is used already.
 
-    A row that would exceed the budget earlier is taken all the same.  The
-    running sum needs one order over all rows; only ids and counts should come in.
+    ``key``: evenly spread hexadecimal texts, such as a hash.  A row that would
+    exceed the budget earlier is taken all the same.  Sums by the key's first
+    ``digits`` say which part of the order the budget reaches; the running sum
+    runs over those rows only, which the budget bounds.
     """
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.withColumn("__b", F.coalesce(F.sum(words).over(before), F.lit(0)))
+    head = F.substring(key, 1, digits)
+    sums = rows.groupBy(head.alias("__head")).agg(F.sum(words).alias("__sum"))  # 16 ** digits rows at most
+    reached = sums.withColumn("__upto", F.coalesce(F.sum("__sum").over(Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    near = rows.withColumn("__head", head).join(F.broadcast(reached.where(F.col("__upto") <= budget).select("__head")), "__head", "left_semi").drop("__head")
+    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    summed = near.withColumn("__b", F.coalesce(F.sum(words).over(before), F.lit(0)))
     stop = ((F.col("__b") + F.col(words) > budget) & (F.col("__b") > filled * budget)).cast("int")
     return summed.withColumn("__s", F.max(stop).over(upto)).where("__s = 0").drop("__b", "__s")
 
 
 def sequential_batches(rows: DataFrame, group: str, order: str, words: str, total_limit: int, batch_limit: int) -> DataFrame:
     """``batch`` numbers from 1: a new batch where the limit would be exceeded; one batch if all fits ``total_limit``."""
-    items = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(words).alias("w")))).alias("items"))
-    zero = F.struct(F.lit(1).cast("long").alias("batch"), F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        new = (a["sum"] + x.w > batch_limit) & (a["sum"] > 0)
-        batch = a.batch + new.cast("long")
-        return F.struct(batch.alias("batch"), F.when(new, x.w).otherwise(a["sum"] + x.w).cast("long").alias("sum"), F.concat(a.out, F.array(batch)).alias("out"))
-
-    all_fit = F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x.w) <= total_limit
-    numbers = F.when(all_fit, F.transform("items", lambda x: F.lit(1).cast("long"))).otherwise(F.aggregate("items", zero, step, lambda a: a.out))
-    numbered = items.select(group, "items", numbers.alias("__n"))
-    return numbered.select(group, "__n", F.posexplode(F.transform("items", lambda x: x.o)).alias("__p", order)).select(group, order, F.get("__n", F.col("__p")).alias("batch"))
+
+    def deal(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values([order, words], kind="stable")
+        number, filled, out = 1, 0, []
+        cut = df[words].sum() > total_limit
+        for w in df[words].to_list():
+            if cut and filled and filled + w > batch_limit:
+                number, filled = number + 1, 0
+            filled += w
+            out.append(number)
+        return pd.DataFrame({group: df[group], order: df[order], "batch": out})
+
+    types = dict(rows.dtypes)
+    return rows.select(group, order, words).groupBy(group).applyInPandas(deal, f"`{group}` {types[group]}, `{order}` {types[order]}, batch long")
 
 
 def even_batches(rows: DataFrame, group: str, order: str, words: str, batch_limit: int) -> DataFrame:

@@ -37,6 +37,13 @@ def with_attachments(comments: DataFrame, attachments: DataFrame) -> DataFrame:
     return comments.join(per, comments.id == per.comment_id, "left").drop("comment_id")
 
 
+def load_comments(comments: DataFrame, attachments: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(comments with their attachments, ``limit`` at most in the order they came in; one row with the ``total`` of all)."""
+    chosen = comments if limit is None else comments.orderBy("ord").limit(limit)
+    wanted = attachments if limit is None else attachments.join(chosen.select(F.col("id").alias("comment_id")), "comment_id", "left_semi")
+    return with_attachments(chosen, wanted), comments.agg(F.count("*").alias("total"))
+
+
 def condensed_content(comments: DataFrame, condensed: DataFrame, transcriptions: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Completed condensed comments; content is the transcription, else position, recommendations and concerns."""
     done = condensed.where("status = 'completed'").select(F.col("comment_id").alias("__c"), "structured_sections")
@@ -49,6 +56,12 @@ def condensed_content(comments: DataFrame, condensed: DataFrame, transcriptions:
     return out.withColumn("content", F.coalesce(given("markdown"), parts)).drop("__c", "__t")
 
 
+def joined_texts(rows: DataFrame, by: list[Column], order: str, text: Column, separator: str) -> DataFrame:
+    """``text`` of each group: its rows' texts in ``order``, then by themselves; a missing one counts as empty."""
+    per = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(text, F.lit("")).alias("t")))).alias("x"))
+    return per.withColumn("text", F.array_join(F.transform("x", lambda e: e.t), separator)).drop("x")
+
+
 def best_by(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
     """One row a group: the first in ``order``."""
     nr = F.row_number().over(Window.partitionBy(group).orderBy(*order))
@@ -234,10 +247,10 @@ def ancestors(themes: DataFrame) -> DataFrame:
     return prefixes.join(themes.select(F.col("code").alias("ancestor")), "ancestor", "left_semi").select("code", "ancestor", "depth")
 
 
-def latest_wins(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+def latest_wins(old: DataFrame, new: DataFrame, key: list[str], version: str = "version") -> DataFrame:
     """Upsert: rows of ``new`` replace those of ``old`` with the same key; of repeats in ``new`` the last by ``version``."""
     both = old.unionByName(new)
-    nr = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("version")))
+    nr = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(version)))
     return both.withColumn("__nr", nr).where("__nr = 1").drop("__nr")
 
 

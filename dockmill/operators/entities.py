@@ -1,8 +1,12 @@
 """Dictionary entities: matching terms at word boundaries, frequency band.
 
-Matching is keyed: a document's distinct words (runs of ASCII word characters)
-are joined with each term's first word, and only terms that share a word with
-a document are searched in it.  The dictionary may be of any size.
+Matching is keyed.  Every run of ASCII word characters in a term is a whole word
+wherever the term matches, since beside a word character at its edge there must
+be none; a term without word characters has to fill the gap between two words.
+So documents' words (and gaps) are joined with each term's longest word, and
+only terms whose key a document has are searched in it.  A dictionary of up to
+``MAX_TERMS`` terms is broadcast and the texts stay where they are; a larger one
+is joined by shuffles.
 """
 
 from __future__ import annotations
@@ -10,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = "[A-Za-z0-9_]"
+WORD, NOT_WORD = "[A-Za-z0-9_]", "[^A-Za-z0-9_]"
+MAX_TERMS = 100_000
 
 
 def bounded_pattern(term: Column) -> Column:
@@ -26,17 +31,25 @@ def annotate(docs: DataFrame, doc_id: str, text: str, dictionary: DataFrame) ->
     ``dictionary``: (``category``, ``label``, ``terms``).  Case counts; each text
     is searched afresh, whatever was found in others.
     """
-    terms = dictionary.select("category", "label", F.explode("terms").alias("term")).where("term <> ''")
-    terms = terms.withColumn("pattern", bounded_pattern(F.col("term"))).withColumn("word", F.regexp_extract("term", f"{WORD}+", 0))
-    words = F.array_distinct(F.filter(F.split(F.col(text), "[^A-Za-z0-9_]+"), lambda w: w != ""))
-    keyed = docs.select(F.col(doc_id).alias("d"), F.explode_outer(words).alias("word"))
-    # A term at a non-word edge may adjoin more word characters, so its first word can be part of a longer one: it is tried on every text.
-    whole = terms.where(F.col("word") != "").where(F.col("term").rlike(f"^{WORD}") & (F.col("term").rlike(rf"^{WORD}+[^A-Za-z0-9_]") | F.col("term").rlike(f"^{WORD}+$")))
-    near = keyed.join(whole, "word").select("d", "category", "label", "pattern").distinct()
-    found = near.join(docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")), "d").where(F.regexp(F.col("t"), F.col("pattern")))
-    loose = terms.join(whole.select("category", "label", "term"), ["category", "label", "term"], "left_anti")
-    other = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(loose, F.regexp(F.col("t"), F.col("pattern")))
-    return found.select("d", "category", "label").unionAll(other.select("d", "category", "label")).distinct().withColumnRenamed("d", doc_id)
+    runs = F.filter(F.split("term", f"{NOT_WORD}+"), lambda w: w != "")
+    longest = F.array_max(F.transform(runs, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))).w
+    terms = dictionary.select("category", "label", F.explode("terms").alias("term")).where("term <> ''").distinct()
+    terms = terms.select("category", "label", "term", F.coalesce(longest, F.col("term")).alias("key"), bounded_pattern(F.col("term")).alias("pattern"))
+    n_terms = terms.count()
+    words = F.filter(F.split(F.col("t"), f"{NOT_WORD}+"), lambda w: w != "")
+    if terms.where(~F.col("term").rlike(WORD)).limit(1).count():
+        gaps = F.split(F.col("t"), f"{WORD}+")
+        words = F.concat(words, F.slice(gaps, 2, F.greatest(F.size(gaps) - 2, F.lit(0))))
+    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
+    keyed = F.explode_outer(F.array_distinct(words)).alias("key")
+    # A term that is its own key is decided by the join; others by a plain search first, then at the boundaries.
+    stands = (F.col("term") == F.col("key")) | (F.contains("t", "term") & F.regexp("t", F.col("pattern")))
+    if n_terms <= MAX_TERMS:
+        found = rows.select("d", "t", keyed).join(F.broadcast(terms), "key").where(stands)
+    else:
+        near = rows.select("d", keyed).join(terms, "key").select("d", "category", "label", "term", "key", "pattern")
+        found = near.join(rows.withColumnRenamed("d", "__d"), F.col("d").eqNullSafe(F.col("__d"))).where(stands)
+    return found.select(F.col("d").alias(doc_id), "category", "label").distinct()
 
 
 def frequency_band(mentions: DataFrame, doc_id: str, total: DataFrame) -> DataFrame:

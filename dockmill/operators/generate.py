@@ -13,9 +13,11 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dockmill.plans.shared import materialize
+
 Provider = Callable[[str], str]
 
 
@@ -62,29 +64,70 @@ def with_timeout(call: Provider, seconds: float) -> Provider:
     return run
 
 
-def generate(prompts: DataFrame, prompt: str, model: str, cache: DataFrame | None = None, *, task_type: str = "generate", concurrency: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``prompts`` with ``prompt_hash`` and ``result``, new cache rows)."""
-    call = with_retry(provider(model))
+def generate(prompts: DataFrame, prompt: str, model: str, cache: DataFrame | None = None, *, task_type: str = "generate", concurrency: int | None = None, post: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``prompts`` with ``prompt_hash``, ``result`` and, with ``post``, ``parsed``; new cache rows).
+
+    ``post`` turns a result into what the caller wants, NULL if it can't.  A
+    cached result that is blank or that ``post`` can't use is asked for again,
+    and the fresh one counts.  A prompt has one result however many rows the
+    cache has for it: the latest usable one.
+    """
     keyed = prompts.withColumn("prompt_hash", F.sha2(F.concat_ws("\n", F.lit(model), F.col(prompt)), 256))
-    wanted = keyed.select("prompt_hash", F.col(prompt).alias("prompt")).dropDuplicates(["prompt_hash"])
+    return _answered(keyed, F.col(prompt), "string", with_retry(provider(model)), model, cache, task_type, concurrency, post)
+
+
+PARTS = "array<struct<mime:string,text:string,data:binary>>"
+MultimodalProvider = Callable[[list[dict]], str]
+
+
+def stub_multimodal(parts: list[dict]) -> str:
+    """Offline provider for parts: an answer that depends on their types, texts and bytes alone."""
+    return stub("\n".join(f"{p['mime']} {p['text'] or ''} {hashlib.sha256(bytes(p['data'] or b'')).hexdigest()}" for p in parts))
+
+
+MULTIMODAL: dict[str, MultimodalProvider] = {"stub": stub_multimodal}
+
+
+def parts_key(model: str, parts: Column) -> Column:
+    """Hash of typed parts: of each its type, text and the hash of its bytes, so blobs of equal length differ."""
+    of = F.transform(parts, lambda p: F.concat_ws("\u0001", F.coalesce(p.mime, F.lit("")), F.sha2(F.coalesce(p.text, F.lit("")), 256), F.sha2(F.coalesce(p.data, F.lit(b"")), 256)))
+    return F.sha2(F.concat_ws("\n", F.lit(model), F.array_join(of, "\n")), 256)
+
+
+def generate_multimodal(rows: DataFrame, parts: str, model: str, cache: DataFrame | None = None, *, task_type: str = "multimodal", concurrency: int | None = None, post: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`generate` for a column of typed parts (``PARTS``) in place of a prompt."""
+    if model not in MULTIMODAL:
+        raise KeyError(f"unknown model {model!r}; known: {sorted(MULTIMODAL)}")
+    keyed = rows.withColumn("prompt_hash", parts_key(model, F.col(parts)))
+    call = with_retry(MULTIMODAL[model])
+    return _answered(keyed, F.col(parts), PARTS, lambda p: call([dict(x) for x in p]), model, cache, task_type, concurrency, post)
+
+
+def _answered(keyed: DataFrame, payload: Column, kind: str, call: Callable, model: str, cache: DataFrame | None, task_type: str, concurrency: int | None, post) -> tuple[DataFrame, DataFrame]:
+    wanted = keyed.select("prompt_hash", payload.cast(kind).alias("payload")).dropDuplicates(["prompt_hash"])
+    usable = None
     if cache is not None:
-        wanted = wanted.join(cache.where("result is not null and result <> ''").select("prompt_hash"), "prompt_hash", "left_anti")
+        good = F.coalesce(F.col("result") != "", F.lit(False))
+        if post is not None:
+            good = good & post(F.col("result")).isNotNull()
+        last = F.max_by("result", "created_at") if "created_at" in cache.columns else F.max("result")
+        usable = cache.where(good).groupBy("prompt_hash").agg(last.alias("result"))
+        wanted = wanted.join(usable.select("prompt_hash"), "prompt_hash", "left_anti")
     if concurrency:
         wanted = wanted.repartition(concurrency)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            yield pd.DataFrame({"prompt_hash": df["prompt_hash"], "result": [call(p) for p in df["prompt"]]})
+            yield pd.DataFrame({"prompt_hash": df["prompt_hash"], "result": [call(p) for p in df["payload"]]})
 
     fresh = wanted.mapInPandas(run, "prompt_hash string, result string")
     fresh = fresh.select("prompt_hash", F.lit(task_type).alias("task_type"), "result", F.lit(model).alias("model"), F.current_timestamp().alias("created_at"))
-    from dockmill.plans.shared import materialize
-
     fresh = materialize(fresh, "generated")  # a provider is asked once
     known = fresh.select("prompt_hash", "result")
-    if cache is not None:
-        known = known.unionByName(cache.select("prompt_hash", "result"))
-    return keyed.join(known, "prompt_hash", "left"), fresh
+    if usable is not None:
+        known = known.unionByName(usable)
+    out = keyed.join(known, "prompt_hash", "left")
+    return out if post is None else out.withColumn("parsed", post(F.col("result"))), fresh
 
 
 def verify_cache(cache: DataFrame) -> DataFrame:

@@ -7,28 +7,65 @@ run again asks only for what is new.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dockmill.functions import text as t
 from dockmill.functions.parsers import parse_entities, parse_themes
 from dockmill.operators.batching import even_batches, merge_groups
+from dockmill.operators.collection import themes_with_at_least, transcription_source
+from dockmill.operators.enrich import extract_block, prompt_lines, sections_block
 from dockmill.operators.entities import annotate, frequency_band, with_definitions
-from dockmill.operators.generate import generate, suffix_ids
-
+from dockmill.operators.generate import PARTS, generate, generate_multimodal, repair_ids, suffix_ids
+from dockmill.plans.shared import materialize
+
+# The sections that a block of a prompt shows, with their tags.
+SECTION_TAGS = {
+    "commenterProfile": "commenter_profile",
+    "corePosition": "core_position",
+    "keyRecommendations": "key_recommendations",
+    "mainConcerns": "main_concerns",
+    "notableExperiences": "notable_experiences",
+    "keyQuotations": "key_quotations",
+}
 EXTRACT = "struct<relevance:int,extract:map<string,array<string>>>"
 
 
 def transcribe(comments: DataFrame, model: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(``id``, ``markdown``, ``word_count``, ``status``) of comments (``id``, ``content``)."""
-    asked, fresh = generate(comments.withColumn("prompt", F.concat(F.lit("Transcribe to Markdown:\n"), "content")), "prompt", model, cache, task_type="transcribe")
-    done = asked.withColumn("markdown", t.trim_space(F.col("result")))
-    return done.select("id", "markdown", t.split_count(F.col("markdown")).alias("word_count"), F.when(t.given("markdown").isNull(), "failed").otherwise("completed").alias("status")), fresh
+    asked, fresh = generate(comments.withColumn("prompt", F.concat(F.lit("Transcribe to Markdown:\n"), "content")), "prompt", model, cache, task_type="transcribe", post=_markdown)
+    return _transcribed(asked), fresh
+
+
+def transcribe_files(comments: DataFrame, attachments: DataFrame, model: str, native: list[str], cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`transcribe` of comments with their files: of each attachment the format that the model reads best, as typed parts."""
+    chosen = transcription_source(attachments, native)
+    part = F.struct(F.concat(F.lit("application/"), F.col("format")).alias("mime"), F.lit(None).cast("string").alias("text"), F.col("blob_data").alias("data"))
+    files = chosen.groupBy("comment_id").agg(F.array_sort(F.collect_list(F.struct("ord", "id", part.alias("p")))).alias("files"))
+    rows = comments.select("id", "content").join(files, F.col("id") == F.col("comment_id"), "left")
+    own = F.array(F.struct(F.lit("text/plain").alias("mime"), F.concat(F.lit("Transcribe to Markdown:\n"), "content").alias("text"), F.lit(None).cast("binary").alias("data")))
+    parts = F.concat(own, F.coalesce(F.transform("files", lambda x: x.p), F.slice(own, 1, 0)))
+    asked, fresh = generate_multimodal(rows.select("id", parts.cast(PARTS).alias("parts")), "parts", model, cache, task_type="transcribe", post=_markdown)
+    return _transcribed(asked), fresh
+
+
+def _markdown(result: Column) -> Column:
+    return t.given(t.trim_space(result))
+
+
+def _transcribed(asked: DataFrame) -> DataFrame:
+    return asked.select("id", F.col("parsed").alias("markdown"), t.split_count(F.col("parsed")).alias("word_count"), F.when(F.col("parsed").isNull(), "failed").otherwise("completed").alias("status"))
 
 
 def condense(transcribed: DataFrame, model: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``id``, ``structured_sections``, ``errors``, ``status``) of (``id``, ``markdown``)."""
-    asked, fresh = generate(transcribed.withColumn("prompt", F.concat(F.lit("Condense into sections:\n"), "markdown")), "prompt", model, cache, task_type="condense")
+    """(``id``, ``structured_sections``, ``errors``, ``status``) of (``id``, ``markdown``) and, for lines about the submitter, ``attributes_json``."""
+    who = prompt_lines(F.col("attributes_json")) if "attributes_json" in transcribed.columns else F.lit("No submitter metadata available")
+    prompt = F.concat(F.lit("Condense into sections.\nSubmitter:\n"), who, F.lit("\n\nComment:\n"), "markdown")
+    asked, fresh = generate(transcribed.withColumn("prompt", prompt), "prompt", model, cache, task_type="condense")
     found = asked.withColumn("structured_sections", t.sections(F.col("result"))).withColumn("errors", t.section_errors(F.col("result")))
     return found.select("id", "structured_sections", "errors", F.when(F.size("structured_sections") > 0, "completed").otherwise("failed").alias("status")), fresh
 
@@ -53,7 +90,7 @@ def theme_groups(themes: DataFrame) -> DataFrame:
     """(``top``, ``text``): the themes below each top code, a line each."""
     line = F.concat("code", F.lit(": "), "description", F.lit(". "), F.coalesce("detailed_guidelines", F.lit("")))
     rows = themes.select(F.split("code", r"\.")[0].cast("int").alias("top"), F.struct(t.natural_key(F.col("code")).alias("k"), line.alias("line")).alias("x"))
-    return rows.groupBy("top").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.line), "\n").alias("text"))
+    return rows.groupBy("top").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.line), "\n").alias("text")).orderBy("top")
 
 
 def extract_content(comments: DataFrame, themes: DataFrame, model: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -88,16 +125,76 @@ def represented(sizes: DataFrame, by: str) -> DataFrame:
     return per.withColumn("note", F.when(F.col("submissions") != F.col("perspectives"), F.format_string("%d submissions with %d distinct texts", "submissions", "perspectives")))
 
 
-def summarize(extracts: DataFrame, model: str, known: DataFrame, *, batch_words: int = 40_000, cache: DataFrame | None = None) -> DataFrame:
-    """(``theme_code``, ``summary``, ``comment_count``) of extracts; ids cut short in the answers are completed later by :func:`dockmill.operators.generate.repair_ids` with :func:`suffix_ids`."""
-    line = F.concat(F.lit("["), "comment_id", F.lit("] "), F.array_join(F.flatten(F.map_values("extract")), " "))
-    texts = extracts.select("theme_code", F.col("comment_id").cast("string").alias("comment_id"), line.alias("line"), extract_words(F.col("extract")).cast("long").alias("w"))
+def summarize(extracts: DataFrame, model: str, known: DataFrame, *, batch_words: int = 40_000, least: int = 1, cache: DataFrame | None = None) -> DataFrame:
+    """(``theme_code``, ``summary``, ``sections``, ``comment_count``) of the themes with ``least`` comments or more.
+
+    ``extracts``: (``theme_code``, ``comment_id``, ``extract``, ``cluster_size``).  A
+    theme's extracts are summarised in even batches and the parts merged.
+    ``sections`` is the JSON of the answer with comment ids that were cut short
+    completed from ``known`` (``id``); NULL where the answer has no valid JSON.
+    """
+    kept = extracts.join(themes_with_at_least(extracts, least).select("theme_code"), "theme_code", "left_semi")
+    block = extract_block(F.col("comment_id"), F.col("extract"), F.lit(1), F.lit(None).cast("string"), F.col("cluster_size"))
+    texts = kept.select("theme_code", F.col("comment_id").cast("string").alias("comment_id"), "cluster_size", block.alias("line"), extract_words(F.col("extract")).cast("long").alias("w"))
     dealt = even_batches(texts, "theme_code", "comment_id", "w", batch_words)
-    parts = texts.join(dealt, ["theme_code", "comment_id"]).groupBy("theme_code", "batch").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("text"), F.count("*").alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("cluster_size")).alias("n"), "comment_id", "line")))
+    parts = texts.join(dealt, ["theme_code", "comment_id"]).groupBy("theme_code", "batch").agg(F.array_join(F.transform(ordered, lambda x: x.line), "\n\n---\n\n").alias("text"), F.sum("cluster_size").alias("n"))
     first, _ = generate(parts.withColumn("prompt", F.concat(F.lit("Summarize:\n"), "text")), "prompt", model, cache, task_type="summarize")
     joined = first.groupBy("theme_code").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("batch", "result"))), lambda x: x.result), "\n").alias("text"), F.sum("n").alias("comment_count"))
     last, _ = generate(joined.withColumn("prompt", F.concat(F.lit("Merge summaries:\n"), "text")), "prompt", model, cache, task_type="summarize-merge")
-    return last.select("theme_code", F.col("result").alias("summary"), "comment_count")
+    answers = last.select("theme_code", F.col("result").alias("summary"), t.valid_json(F.col("result")).alias("json"), "comment_count")
+    return answers.join(_repaired(answers, known), "theme_code", "left").select("theme_code", "summary", "sections", "comment_count")
+
+
+def _repaired(answers: DataFrame, known: DataFrame) -> DataFrame:
+    """(``theme_code``, ``sections``): JSON answers with their comment ids completed.
+
+    Only the ids that answers mention are looked up among the known ones, so
+    what a task holds is one answer's ids.
+    """
+    asked = answers.where("json is not null").select("theme_code", "json")
+    mentioned = asked.select("theme_code", F.explode(F.array_distinct(F.regexp_extract_all("json", F.lit(r'"([^"\\]+)"')))).alias("said"))
+    names = known.select("id").distinct().select("id", F.col("id").alias("said")).unionByName(suffix_ids(known).select("id", F.col("suffix").alias("said")))
+    found = mentioned.withColumn("said", F.ltrim(F.col("said"), F.lit("-"))).distinct().join(names, "said")
+    per = found.groupBy("theme_code").agg(F.collect_set(F.struct("said", "id")).alias("names"))
+
+    def run(batches):
+        for df in batches:
+            out = []
+            for text, pairs in zip(df["json"], df["names"], strict=True):
+                unique = {p["said"]: p["id"] for p in ([] if pairs is None else pairs)}
+                out.append(json.dumps(repair_ids(json.loads(text), set(unique.values()), unique), ensure_ascii=False))
+            yield pd.DataFrame({"theme_code": df["theme_code"], "sections": out})
+
+    return asked.join(per, "theme_code", "left").mapInPandas(run, "theme_code string, sections string")
+
+
+def summarize_sections(rows: DataFrame, model: str, *, batch_words: int = 125_000, width: int = 4, cache: DataFrame | None = None) -> DataFrame:
+    """(``theme_code``, ``summary``, ``comment_count``) from condensed sections: batches by words, then a merge tree.
+
+    ``rows``: (``theme_code``, ``comment_id``, ``structured_sections``), such as of
+    :func:`dockmill.operators.explore.scored_comments`.
+    """
+    block = sections_block(F.col("comment_id").cast("string"), F.col("structured_sections"), SECTION_TAGS)
+    texts = rows.select("theme_code", F.col("comment_id").cast("string").alias("comment_id"), block.alias("line"))
+    texts = texts.withColumn("w", t.split_count(F.col("line")).cast("long"))
+    dealt = even_batches(texts, "theme_code", "comment_id", "w", batch_words)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("comment_id", "line"))), lambda x: x.line)
+    level = texts.join(dealt, ["theme_code", "comment_id"]).groupBy("theme_code", F.col("batch").alias("nr")).agg(F.array_join(ordered, "\n\n").alias("text"), F.count("*").alias("n"))
+    done = None
+    while True:
+        asked, _ = generate(level.withColumn("prompt", F.concat(F.lit("Summarize:\n"), "text")), "prompt", model, cache, task_type="summarize-sections")
+        sizes = asked.groupBy("theme_code").agg(F.count("*").alias("parts"))
+        asked = materialize(asked.join(sizes, "theme_code").select("theme_code", "nr", "result", "n", "parts"), "summaries")
+        single = asked.where("parts = 1").select("theme_code", F.col("result").alias("summary"), F.col("n").alias("comment_count"))
+        done = single if done is None else done.unionByName(single)
+        rest = asked.where("parts > 1")
+        if rest.isEmpty():
+            return done
+        place = F.row_number().over(Window.partitionBy("theme_code").orderBy("nr")) - 1
+        group = rest.withColumn("i", place).withColumn("group", merge_groups(F.col("parts"), F.col("i"), width))
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("nr", "result"))), lambda x: x.result)
+        level = group.groupBy("theme_code", F.col("group").alias("nr")).agg(F.array_join(ordered, "\n\n").alias("text"), F.sum("n").alias("n"))
 
 
 def discover_entities(sample: DataFrame, comments: DataFrame, model: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -121,4 +218,4 @@ def usage(rows: DataFrame, per_million: tuple[float, float, float]) -> DataFrame
     return sums.withColumn("cost", cost).withColumn("cache_pct", F.round(100 * F.col("cached_tokens") / F.col("prompt_tokens"), 1))
 
 
-__all__ = ["condense", "discover_entities", "discover_themes", "extract_content", "extract_words", "removed_items", "represented", "suffix_ids", "summarize", "theme_groups", "transcribe", "usage"]
+__all__ = ["condense", "discover_entities", "discover_themes", "extract_content", "extract_words", "removed_items", "represented", "suffix_ids", "summarize", "summarize_sections", "theme_groups", "transcribe", "transcribe_files", "usage"]
