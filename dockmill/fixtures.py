@@ -27,6 +27,47 @@ class Views:
             F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Org "), "source")).alias("organization"),
         )
 
+    def submissions(self) -> DataFrame:
+        """Comments with their attributes as JSON; every attribute is missing or blank in some."""
+        c, o = self.comments(), F.col("ord")
+        attributes = {
+            "comment": F.when(o % 13 != 0, F.col("comment")).otherwise("  "),
+            "organization": F.coalesce("organization", F.lit("")),
+            "firstName": F.when(o % 3 == 0, F.concat(F.lit("Ann"), (o % 7).cast("string"))),
+            "lastName": F.when(o % 4 == 0, "Lee").otherwise(""),
+            "category": F.when(o % 9 != 0, F.col("category")),
+            "city": F.when(o % 2 == 0, F.concat(F.lit("City"), (o % 3).cast("string"))),
+            "stateProvinceRegion": F.col("region"),
+            "country": F.when(o % 6 == 0, "United States").when(o % 6 == 1, "Canada").when(o % 6 == 2, ""),
+            "postedDate": F.when(o % 8 != 0, "2024-01-02T00:00:00Z"),
+            "receiveDate": F.when(o % 16 != 0, "2023-05-06"),
+        }
+        return c.select("id", "ord", F.to_json(F.struct(*(x.alias(k) for k, x in attributes.items()))).alias("attributes_json"))
+
+    def files(self) -> DataFrame:
+        key = F.concat(F.lit("DOC-"), F.lpad(F.col("l_orderkey").cast("string"), 7, "0"))
+        text = F.when(F.col("l_returnflag") == "A", " ").when(F.col("l_returnflag") == "N", "(error extracting pdf)").otherwise(F.concat(F.lit("\n page "), F.col("l_partkey").cast("string")))
+        return self.table("lineitem").groupBy(key.alias("comment_id"), F.col("l_linenumber").alias("ord")).agg(F.lit("pdf").alias("format"), F.concat(F.lit("f"), F.first("l_linenumber").cast("string"), F.lit(".pdf")).alias("file_name"), F.min(text).alias("text"))
+
+    def sections(self) -> DataFrame:
+        """Condensed comments; some sections say that there is nothing."""
+        o = F.col("ord")
+        found = F.map_from_arrays(
+            F.array(*(F.lit(k) for k in ("oneLineSummary", "corePosition", "keyRecommendations", "mainConcerns"))),
+            F.array("category", F.col("region"), F.when(o % 4 == 0, "No specific recommendations provided").otherwise(F.concat(F.lit("do "), o.cast("string"))), F.when(o % 5 == 0, "").otherwise("cost")),
+        )
+        return self.comments().select(F.col("id").alias("comment_id"), "ord", found.alias("structured_sections"), F.when(o % 10 != 0, "completed").otherwise("failed").alias("status"))
+
+    def clusters(self) -> DataFrame:
+        """Clusters of the membership, one row each."""
+        rep = F.max(F.when(F.col("is_representative"), F.col("comment_id")))
+        return self.membership().groupBy("cluster_id").agg(rep.alias("representative_comment_id"), F.count("*").alias("cluster_size"))
+
+    def runs(self) -> DataFrame:
+        """Clustering runs, in several states."""
+        state = F.when(F.col("c_custkey") % 3 == 0, "completed").otherwise("running")
+        return self.table("customer").select(F.col("c_custkey").alias("total_comments"), (F.col("c_custkey") % 100).alias("total_clusters"), state.alias("status"), F.col("c_custkey").alias("created_at"))
+
     def status(self) -> DataFrame:
         state = F.when(F.col("quality") == 1, "completed").when(F.col("toxic") == 1, "failed").otherwise("pending")
         return self.table("labels").select(F.concat(F.lit("DOC-"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("comment_id"), state.alias("status"), F.col("toxic").alias("attempt_count"))
@@ -70,6 +111,13 @@ class Views:
 
 #: The same views in DuckDB's SQL, by name.
 SQL = {
+    "fx_people": "SELECT id, ord, CASE WHEN ord % 13 <> 0 THEN nullif(comment, '') ELSE '  ' END AS text, organization, CASE WHEN ord % 3 = 0 THEN concat('Ann', ord % 7) END AS first, CASE WHEN ord % 4 = 0 THEN 'Lee' END AS last, CASE WHEN ord % 9 <> 0 THEN category END AS category, CASE WHEN ord % 2 = 0 THEN concat('City', ord % 3) END AS city, region AS state, CASE ord % 6 WHEN 0 THEN 'United States' WHEN 1 THEN 'Canada' END AS country, CASE WHEN ord % 8 <> 0 THEN '2024-01-02T00:00:00Z' END AS posted, CASE WHEN ord % 16 <> 0 THEN '2023-05-06' END AS received FROM fx_comments",
+    "fx_meta": "SELECT id, ord, text, organization, coalesce(organization, nullif(concat_ws(' ', first, last), ''), 'Anonymous') AS submitter, coalesce(category, CASE WHEN organization IS NOT NULL THEN 'Organization' ELSE 'Individual' END) AS submitter_type, nullif(concat_ws(', ', city, state, CASE WHEN country <> 'United States' THEN country END), '') AS location, coalesce(posted, received) AS date FROM fx_people",
+    "fx_files": "SELECT concat('DOC-', lpad(cast(l_orderkey AS varchar), 7, '0')) AS comment_id, l_linenumber AS ord, concat('f', l_linenumber, '.pdf') AS file_name, min(CASE l_returnflag WHEN 'A' THEN ' ' WHEN 'N' THEN '(error extracting pdf)' ELSE concat(chr(10), ' page ', l_partkey) END) AS text FROM lineitem GROUP BY 1, 2, 3",
+    "fx_enriched": "SELECT id, ord, concat_ws(chr(10), '=== COMMENT METADATA ===', concat('ID: ', id), concat('Date: ', coalesce(date, 'Unknown')), concat('Submitter: ', submitter), concat('Type: ', submitter_type), CASE WHEN organization IS NOT NULL THEN concat('Organization: ', organization) END, CASE WHEN location IS NOT NULL THEN concat('Location: ', location) END, concat(chr(10), '=== COMMENT TEXT ==='), text, concat(chr(10), '=== ATTACHMENTS ===', chr(10)) || block) AS content FROM fx_meta LEFT JOIN (SELECT comment_id, string_agg(CASE WHEN trim(text, E' \\n') <> '' AND trim(text, E' \\n') NOT LIKE '(%' THEN concat(chr(10), 'PDF: ', file_name, chr(10), trim(text, E' \\n')) ELSE concat(chr(10), 'PDF: ', file_name, ' ', coalesce(nullif(trim(text, E' \\n'), ''), '(no extractable text)')) END, chr(10) ORDER BY ord) AS block FROM fx_files GROUP BY 1) b ON b.comment_id = id WHERE trim(text, E' \\n\\t') <> ''",
+    "fx_sections": "SELECT id AS comment_id, ord, category AS one_line, region AS core_position, CASE WHEN ord % 4 <> 0 THEN concat('do ', ord) END AS recommendations, CASE WHEN ord % 5 <> 0 THEN 'cost' END AS concerns, CASE WHEN ord % 10 <> 0 THEN 'completed' ELSE 'failed' END AS status FROM fx_comments",
+    "fx_clusters": "SELECT cluster_id, max(CASE WHEN is_representative THEN comment_id END) AS representative_comment_id, count(*) AS cluster_size FROM fx_membership GROUP BY 1",
+    "fx_runs": "SELECT c_custkey AS total_comments, c_custkey % 100 AS total_clusters, CASE WHEN c_custkey % 3 = 0 THEN 'completed' ELSE 'running' END AS status, c_custkey AS created_at FROM customer",
     "fx_comments": "SELECT concat('DOC-', lpad(cast(doc_id AS varchar), 7, '0')) AS id, doc_id AS ord, text AS comment, source AS category, lang AS region, CASE WHEN doc_id % 5 = 0 THEN concat('Org ', source) END AS organization FROM documents",
     "fx_status": "SELECT concat('DOC-', lpad(cast(doc_id AS varchar), 7, '0')) AS comment_id, CASE WHEN quality = 1 THEN 'completed' WHEN toxic = 1 THEN 'failed' ELSE 'pending' END AS status, toxic AS attempt_count FROM labels",
     "fx_theme_l2": "SELECT concat(n_regionkey + 1, '.', row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey)) AS code, n_name AS description, 2 AS level, cast(n_regionkey + 1 AS varchar) AS parent_code, n_nationkey FROM nation",

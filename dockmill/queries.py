@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmill import fixtures
 from dockmill.fixtures import Views
 from dockmill.functions import text as t
 from dockmill.operators import batching, collection, entities, explore, similarity
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from dockmill.registry import ORACLES, QUERIES, query
 
 WORDS = r"regexp_extract_all({0}, '[^\s]+')"
 WC = "len(regexp_extract_all(coalesce({0}, ''), '[^ \\t\\n\\x0B\\f\\r\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}\\x{{FEFF}}]+'))"
 
 
-def query(oracle: str | None = None):
-    """Register a function of :class:`Views` under its name, with its oracle."""
-
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir))
-        if oracle:
-            ORACLES[f.__name__] = fixtures.sql(oracle)
-        return f
-
-    return add
-
-
 # ---------------------------------------------------------------- counts and joins
 
 
@@ -211,22 +194,20 @@ def insert_ignore(v: Views) -> DataFrame:
     return collection.insert_ignore(e.where("comment_id % 2 = 0"), e.unionAll(e), ["comment_id", "category", "entity_label"])
 
 
-@query("SELECT sha256(cast(event_id AS varchar)) AS prompt_hash, coalesce(cast(result AS double), -1) AS result, event_id % 4 = 0 AS hit FROM fx_cache WHERE event_id % 2 = 0")
+@query("""WITH e AS (SELECT event_id, sha256(concat('stub', chr(10), event_id)) AS prompt_hash FROM events)
+SELECT event_id, prompt_hash, CASE WHEN event_id % 4 = 0 THEN concat('kept ', event_id) ELSE concat('{"relevance": 1, "digest": "', substr(sha256(cast(event_id AS varchar)), 1, 12), '"}') END AS result, event_id % 4 = 0 AS hit FROM e""")
 def prompt_cache_join(v: Views) -> DataFrame:
-    return _asked(v, v.cache().where("event_id % 2 = 0"))
-
-
-@query()
-def prompt_cache_join_all(v: Views) -> DataFrame:
-    """:func:`prompt_cache_join`, whose SQL asks for even ids, with every prompt asked for."""
-    return _asked(v, v.cache())
+    """Every event asks; the cache has a result for a fourth of them, twice for some, and blank ones for others."""
+    from dockmill.operators.generate import generate
 
-
-def _asked(v: Views, asked: DataFrame) -> DataFrame:
-    stored = v.cache().where("event_id % 4 = 0").select("prompt_hash", F.col("result").alias("stored"))
-    asked = asked.select(F.sha2(F.col("event_id").cast("string"), 256).alias("prompt_hash"), "result")
-    out = asked.join(stored.withColumn("hit", F.lit(True)), "prompt_hash", "left")
-    return out.select("prompt_hash", F.coalesce("stored", "result", F.lit(-1.0)).alias("result"), F.coalesce("hit", F.lit(False)).alias("hit"))
+    events = v.table("events").select("event_id", F.col("event_id").cast("string").alias("prompt"), "ts")
+    stored = events.where("event_id % 2 = 0").select("event_id", F.sha2(F.concat_ws("\n", F.lit("stub"), "prompt"), 256).alias("prompt_hash"), F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("kept "), "prompt")).otherwise("").alias("result"), F.col("ts").alias("created_at"))
+    older = stored.where("event_id % 8 = 0").withColumns({"result": F.lit("old"), "created_at": F.col("created_at") - F.expr("INTERVAL 1 DAY")})
+    blank = stored.where("event_id % 16 = 0").withColumns({"result": F.lit(None).cast("string"), "created_at": F.col("created_at") + F.expr("INTERVAL 1 DAY")})
+    answered, fresh = generate(events, "prompt", "stub", stored.unionByName(older).unionByName(blank))
+    made = fresh.select(F.col("prompt_hash").alias("__h"), F.lit(False).alias("__hit"))
+    out = answered.join(made, F.col("prompt_hash") == F.col("__h"), "left")
+    return out.select("event_id", "prompt_hash", "result", F.coalesce("__hit", F.lit(True)).alias("hit"))
 
 
 @query("SELECT user_id, CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 'Complete' WHEN count(*) FILTER (event_type = 'click') > 0 THEN 'Themes Scored' WHEN count(*) > 3 THEN 'Themes Discovered' WHEN count(*) > 1 THEN 'Condensed' ELSE 'Comments Loaded' END AS stage FROM events GROUP BY 1")
@@ -256,7 +237,13 @@ f AS (SELECT DISTINCT ord, concat('n', k, ':', array_to_string(list_slice(w, i0,
 
 @query(f"WITH {FEATURES} SELECT ord, count(*) AS n FROM f GROUP BY 1")
 def ngram_features(v: Views) -> DataFrame:
-    return v.comments().select("ord", F.size(t.features(F.col("comment"))).cast("long").alias("n")).where("n > 0")
+    return v.comments().select("ord", F.size(t.feature_ids(F.col("comment"))).cast("long").alias("n")).where("n > 0")
+
+
+@query(f"WITH {FEATURES}, m AS (SELECT ord, f FROM f UNION SELECT ord, concat('w:', unnest(w)) FROM w) SELECT ord, count(*) AS n, count(*) FILTER (f LIKE 'w:%') AS words FROM m WHERE f NOT LIKE 'w:%' OR length(f) > 4 GROUP BY 1")
+def both_features(v: Views) -> DataFrame:
+    texts = F.col("comment")
+    return v.comments().select("ord", F.size(t.features(texts, "both")).cast("long").alias("n"), F.size(t.features(texts, "words")).cast("long").alias("words")).where("n > 0")
 
 
 PAIRS = f"""{FEATURES}, n AS (SELECT ord, count(*) AS n FROM f GROUP BY 1),
@@ -266,13 +253,13 @@ e AS (SELECT a, b, c / (na.n + nb.n - c) AS similarity FROM p JOIN n na ON na.or
 
 @query(f"WITH {PAIRS} SELECT a, b, round(similarity, 6) AS similarity FROM e")
 def jaccard_pairs(v: Views) -> DataFrame:
-    sets = v.comments().select("ord", t.features(F.col("comment")).alias("features"))
+    sets = v.comments().select("ord", t.feature_ids(F.col("comment")).alias("features"))
     return similarity.similar_pairs(sets, "ord", "features", 0.8).withColumn("similarity", F.round("similarity", 6))
 
 
 @query()
 def leader_clusters(v: Views) -> DataFrame:
-    sets = v.comments().select("ord", t.features(F.col("comment")).alias("features"))
+    sets = v.comments().select("ord", t.feature_ids(F.col("comment")).alias("features"))
     return similarity.leaders(sets, "ord", "features", 0.8)
 
 
@@ -329,16 +316,19 @@ def clean_extract(v: Views) -> DataFrame:
     return out.select("ord", F.size("e").alias("n_sections"), F.size(F.element_at("e", F.lit("positions"))).alias("n_positions"))
 
 
-@query("SELECT c_name, c_mktsegment ILIKE '% U.S' OR c_mktsegment ILIKE '% vs' OR (length(c_name) < 50 AND c_name NOT LIKE '%.%') AS cut FROM customer")
+ENDED = "CASE ord % 12 WHEN 0 THEN concat(category, ' in the U.S') WHEN 1 THEN concat(comment, ' u.k') WHEN 2 THEN concat(comment, ' VS') WHEN 3 THEN concat(comment, ' Dr') WHEN 4 THEN concat(comment, ' mr') WHEN 5 THEN concat(comment, ' Mrs') WHEN 6 THEN concat(comment, ' Ms') WHEN 7 THEN concat(comment, ' Inc') WHEN 8 THEN concat(comment, ' ltd') WHEN 9 THEN concat(comment, ' Corp') WHEN 10 THEN concat(category, '. x') ELSE comment END"
+
+
+@query(f"WITH x AS (SELECT ord, {ENDED} AS d FROM fx_comments) SELECT ord, regexp_matches(d, ' (U\\.S|U\\.K|vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)$', 'i') OR (length(d) < 50 AND NOT contains(d, '.')) AS cut FROM x")
 def truncated_like(v: Views) -> DataFrame:
-    return v.table("customer").select("c_name", t.cut_description(F.col("c_name")).alias("cut"))
+    return v.comments().select("ord", t.cut_description(F.expr(ENDED)).alias("cut"))
 
 
 @query("SELECT short, max(id) AS id FROM (SELECT id, split_part(id, '-', 2) AS short FROM fx_comments) GROUP BY 1 HAVING count(DISTINCT id) = 1")
 def suffix_id_repair(v: Views) -> DataFrame:
     from dockmill.operators.generate import suffix_ids
 
-    return suffix_ids(v.comments().select("id")).where(F.col("suffix").rlike("^[0-9]+$")).select(F.col("suffix").alias("short"), "id")
+    return suffix_ids(v.comments().select("id")).select(F.col("suffix").alias("short"), "id")
 
 
 # ---------------------------------------------------------------- entities, batches
@@ -364,7 +354,7 @@ def percentile_rank(v: Views) -> DataFrame:
 @query(f"WITH x AS (SELECT ord, {WC.format('comment')} AS w, sha256(id) AS h FROM fx_comments), s AS (SELECT *, coalesce(sum(w) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM x), f AS (SELECT *, max(CASE WHEN b + w > 150000 AND b > 135000 THEN 1 ELSE 0 END) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM s) SELECT ord, w AS words FROM f WHERE stop = 0")
 def budget_sample_hash(v: Views) -> DataFrame:
     rows = v.comments().select("ord", t.word_count(F.col("comment")).cast("long").alias("words"), F.sha2("id", 256).alias("h"))
-    return batching.budget_sample(rows, "words", 150_000, [F.col("h")]).select("ord", "words")
+    return batching.budget_sample(rows, "words", 150_000, "h").select("ord", "words")
 
 
 @query(r"""/*recursive*/ WITH x AS (SELECT conv_id, turn, len(regexp_extract_all(text, '[^ \t\n\r]+')) AS w, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i0, sum(len(regexp_extract_all(text, '[^ \t\n\r]+'))) OVER (PARTITION BY conv_id) AS total FROM conversations),
@@ -451,7 +441,7 @@ def representatives_only(v: Views) -> DataFrame:
 
 @query("SELECT id FROM fx_comments WHERE ord % 11 = 0 OR ord % 2 = 0")
 def theme_detail_comments(v: Views) -> DataFrame:
-    return _searchable(v).where("is_representative or is_representative is null").select("id")
+    return explore.detail_comments(_searchable(v)).select("id")
 
 
 @query("SELECT category AS submitter_type, count(*) AS n FROM fx_comments GROUP BY 1 HAVING count(*) >= 5 ORDER BY 2 DESC, 1 LIMIT 5")
@@ -466,8 +456,8 @@ def distinct_values(v: Views) -> DataFrame:
 
 @query("WITH ids AS (SELECT DISTINCT comment_id FROM fx_comment_entities WHERE category = (SELECT min(category) FROM fx_comment_entities) AND entity_label = (SELECT min(entity_label) FROM fx_comment_entities WHERE category = (SELECT min(category) FROM fx_comment_entities))) SELECT theme_code, count(*) AS n FROM (SELECT DISTINCT comment_id, theme_code FROM fx_extracts) JOIN ids USING (comment_id) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def theme_distribution_top10(v: Views) -> DataFrame:
-    first = v.comment_entities().agg(F.min(F.struct("category", "entity_label")).alias("x")).first().x
-    return explore.theme_distribution(v.comment_entities(), v.extracts(), first.category, first.entity_label)
+    first = v.comment_entities().agg(F.min(F.struct("category", "entity_label")).alias("x")).select("x.*")
+    return explore.theme_distribution(v.comment_entities(), v.extracts(), first)
 
 
 @query("SELECT cast(floor(100.0 * count(organization) / count(*) + 0.5) AS int) AS pct FROM fx_comments")
@@ -477,10 +467,14 @@ def attachment_share(v: Views) -> DataFrame:
 
 @query("SELECT code, row_number() OVER (ORDER BY n DESC, code)::integer AS position FROM (SELECT p.code, count(c.code) AS n FROM fx_themes p LEFT JOIN fx_themes c ON c.parent_code = p.code GROUP BY 1)")
 def summary_sort_by_size(v: Views) -> DataFrame:
-    from pyspark.sql.window import Window
+    kids = collection.children(v.themes()).withColumn("sections", F.struct(F.col("children").alias("consensusPoints")))
+    ordered = explore.sort_summaries(kids, "consensus")
+    return _placed(ordered, "code")
 
-    kids = collection.children(v.themes()).withColumn("n", F.coalesce(F.size("children"), F.lit(0)))
-    return kids.select("code", F.row_number().over(Window.orderBy(F.desc("n"), "code")).alias("position"))  # themes of one collection
+
+def _placed(ordered: DataFrame, *columns: str) -> DataFrame:
+    """The order of a small sorted table as a column ``position`` from 1."""
+    return ordered.coalesce(1).select(*columns, (F.monotonically_increasing_id() + 1).cast("int").alias("position"))
 
 
 @query("SELECT id FROM fx_comments ORDER BY ord LIMIT 25 OFFSET 75")
@@ -506,17 +500,24 @@ def cluster_labels(v: Views) -> DataFrame:
 @query("SELECT l_orderkey AS comment_id, string_agg(concat('--- ', l_linenumber, ' ---', chr(10), l_returnflag), chr(10) || chr(10) ORDER BY l_linenumber, l_returnflag) AS content FROM lineitem GROUP BY 1")
 def attachment_texts(v: Views) -> DataFrame:
     part = F.concat(F.lit("--- "), F.col("l_linenumber").cast("string"), F.lit(" ---\n"), F.col("l_returnflag"))
-    per = v.table("lineitem").groupBy(F.col("l_orderkey").alias("comment_id")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("o"), part.alias("t")))).alias("x"))
-    return per.select("comment_id", F.array_join(F.transform("x", lambda e: e.t), "\n\n").alias("content"))
+    return collection.joined_texts(v.table("lineitem"), [F.col("l_orderkey").alias("comment_id")], "l_linenumber", part, "\n\n").withColumnRenamed("text", "content")
 
 
 # ---------------------------------------------------------------- smaller operators
 
 
-@query("SELECT category, cast(count(*) AS bigint) AS entities, cast(sum(n) AS bigint) AS mentions FROM (SELECT category, entity_label, count(*) AS n FROM fx_comment_entities GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT count(*) AS entities, cast(sum(n) AS bigint) AS mentions FROM (SELECT category, entity_label, count(*) AS n FROM fx_comment_entities GROUP BY 1, 2)")
 def entity_totals(v: Views) -> DataFrame:
-    per = v.comment_entities().groupBy("category", "entity_label").agg(F.count("*").alias("n"))
-    return per.groupBy("category").agg(F.count("*").alias("entities"), F.sum("n").alias("mentions"))
+    return explore.entity_totals(_counted_entities(v))
+
+
+def _counted_entities(v: Views) -> DataFrame:
+    return v.comment_entities().groupBy("category", F.col("entity_label").alias("label")).agg(F.count("*").alias("mention_count"))
+
+
+@query("SELECT category, count(*) AS entities, cast(sum(n) AS bigint) AS mentions FROM (SELECT category, entity_label, count(*) AS n FROM fx_comment_entities GROUP BY 1, 2) GROUP BY 1")
+def entity_categories(v: Views) -> DataFrame:
+    return explore.categories(_counted_entities(v))
 
 
 @query("SELECT theme_code, cast(sum(cluster_size) AS bigint) AS submissions, count(*) AS perspectives, CASE WHEN sum(cluster_size) <> count(*) THEN concat(cast(sum(cluster_size) AS bigint), ' submissions with ', count(*), ' distinct texts') END AS note FROM fx_extracts GROUP BY 1")
@@ -526,18 +527,10 @@ def represented_totals(v: Views) -> DataFrame:
     return represented(v.extracts(), "theme_code")
 
 
-@query("SELECT region, list_aggregate(list(c ORDER BY ord), 'string_agg', '') AS text FROM (SELECT region, ord, concat(ord, ';') AS c FROM fx_comments WHERE ord < 200) GROUP BY 1")
+@query("SELECT region, ord // 50 AS block, string_agg(coalesce(comment, ''), chr(10) ORDER BY ord) AS text FROM fx_comments GROUP BY 1, 2")
 def ordered_texts(v: Views) -> DataFrame:
-    rows = v.comments().where("ord < 200").groupBy("region").agg(F.array_sort(F.collect_list("ord")).alias("o"))
-    return rows.select("region", F.array_join(F.transform("o", lambda x: F.concat(x.cast("string"), F.lit(";"))), "").alias("text"))
-
-
-@query()
-def ordered_texts_all(v: Views) -> DataFrame:
-    """Texts of the whole table in order, by region and block of 50 ids, so that no group grows with the table (:func:`ordered_texts`' SQL has ids below 200)."""
-    item = F.struct("ord", F.coalesce("comment", F.lit("")).alias("t"))
-    rows = v.comments().groupBy("region", F.floor(F.col("ord") / 50).alias("block")).agg(F.array_sort(F.collect_list(item)).alias("o"))
-    return rows.select("region", "block", F.array_join(F.transform("o", lambda x: x.t), "\n").alias("text"))
+    """Texts in order, by region and block of 50 ids, so that no group grows with the table."""
+    return collection.joined_texts(v.comments(), [F.col("region"), F.floor(F.col("ord") / 50).alias("block")], "ord", F.col("comment"), "\n")
 
 
 @query("SELECT code, level, parent_code, description AS body FROM fx_themes")
@@ -548,33 +541,19 @@ def theme_segments(v: Views) -> DataFrame:
     return segments(outline, "text")
 
 
-@query("SELECT ord, split_part(comment, '. ', 1) AS sentence FROM fx_comments WHERE regexp_matches(comment, '^[a-z ]+\\. ', 'i') AND NOT regexp_matches(comment, '^[a-z ]+ (vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)\\. ')")
+@query(r"WITH p AS (SELECT ord, string_split_regex(comment, '\.[ \t\n\x0B\f\r]+') AS p FROM fx_comments) SELECT ord, CASE WHEN len(p) >= 2 THEN CASE WHEN regexp_matches(p[1], ' (U\.S|U\.K|vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)$') THEN concat(p[1], '. ', p[2]) ELSE p[1] END END AS sentence FROM p")
 def first_sentences(v: Views) -> DataFrame:
-    rows = v.comments().where(F.col("comment").rlike(r"(?i)^[a-z ]+\. ") & ~F.col("comment").rlike(r"^[a-z ]+ (vs|Dr|Mr|Mrs|Ms|Inc|Ltd|Corp)\. "))
-    return rows.select("ord", t.first_sentence(F.col("comment")).alias("sentence"))
-
-
-@query()
-def first_sentences_all(v: Views) -> DataFrame:
-    """Of every text, with the repair of abbreviations; null where no sentence ends (:func:`first_sentences`' SQL has plain lead-ins only)."""
+    """Of every text, with the repair of abbreviations; null where no sentence ends."""
     return v.comments().select("ord", t.first_sentence(F.col("comment")).alias("sentence"))
 
 
-@query(r"WITH w AS (SELECT ord, list_distinct(list_filter(string_split_regex(lower(comment), '[^a-z0-9_]+'), lambda x: length(x) > 2)) AS w FROM fx_comments WHERE ord < 60) SELECT x.ord AS a, y.ord AS b, round(len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))), 6) AS similarity FROM w x JOIN w y ON y.ord = x.ord + 1")
+@query(r"WITH w AS (SELECT ord, list_distinct(list_filter(string_split_regex(lower(comment), '[^a-z0-9_]+'), lambda x: length(x) > 2)) AS w FROM fx_comments) SELECT x.ord AS a, y.ord AS b, round(len(list_intersect(x.w, y.w)) / nullif(len(list_distinct(list_concat(x.w, y.w))), 0), 6) AS similarity FROM w x JOIN w y ON y.ord = x.ord + 1")
 def word_jaccard(v: Views) -> DataFrame:
-    return _neighbours(v.comments().where("ord < 60"))
-
-
-@query()
-def word_jaccard_all(v: Views) -> DataFrame:
-    """:func:`word_jaccard`, whose SQL has ids below 60, over the whole table."""
-    return _neighbours(v.comments())
-
-
-def _neighbours(comments: DataFrame) -> DataFrame:
-    w = comments.select("ord", F.array_distinct(t.normal_words(F.col("comment"), 2)).alias("w"))
+    """Each document and the next; null for two without words."""
+    w = v.comments().select("ord", F.array_distinct(t.normal_words(F.col("comment"), 2)).alias("w"))
     nxt = w.select((F.col("ord") - 1).alias("ord"), F.col("ord").alias("b"), F.col("w").alias("v"))
-    return w.join(nxt, "ord").select(F.col("ord").alias("a"), "b", F.round(similarity.jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
+    similar = similarity.jaccard(F.col("w"), F.col("v"), float("nan"))
+    return w.join(nxt, "ord").select(F.col("ord").alias("a"), "b", F.when(~F.isnan(similar), F.round(similar, 6)).alias("similarity"))
 
 
 @query("SELECT source AS document_id, concat('Collection ', source) AS title, 'Unknown' AS agency, count(*) AS comments, cast(count(DISTINCT lang) AS bigint) AS languages FROM documents GROUP BY 1")
@@ -582,3 +561,6 @@ def catalogue(v: Views) -> DataFrame:
     per = v.table("documents").groupBy(F.col("source").alias("document_id")).agg(F.count("*").alias("comments"), F.countDistinct("lang").alias("languages"))
     full = per.withColumns({"title": F.concat(F.lit("Collection "), "document_id"), "agency_name": F.lit(""), "agency_id": F.lit(None).cast("string"), "last_date": F.lit("2026")})
     return collection.aligned_catalogue(full).select("document_id", "title", "agency", "comments", "languages")
+
+
+from dockmill import queries_documents, queries_views  # noqa: E402, F401  they register theirs

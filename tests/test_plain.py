@@ -22,6 +22,7 @@ def groups(q, mode="documented"):
 def test_search_strings():
     assert groups("a OR b") == [("a", False, 0), ("b", False, 0)]
     assert groups("a OR b", "parity") == [("a", False, 0), ("b", False, 1)]
+    assert groups("- x --y") == [("x", False, 0), ("-y", True, 1)] and groups("orange \"\" corn") == [("orange", False, 0), ("corn", False, 1)]
     assert groups('"foo bar') == [("foo bar", False, 0)]
     assert groups('OR a -"b c" or d') == [("OR", False, 0), ("a", False, 1), ("b c", True, 2), ("d", False, 2)]
     for q in ("a OR b c", '-"x y" z', "a"):
@@ -45,6 +46,17 @@ def test_theme_outline():
 def test_entity_outline():
     got = parse_entities('1. Agencies\n* CMS: The agency\n  * "CMS"\n  * Centers\n2. Laws\n* stray')
     assert [e.terms for e in got["Agencies"]] == [["CMS", "Centers"]] and got["Laws"] == []
+    more = parse_entities('* early: x\n 1. A b \r\n\t* L m : d: e \n* t\n1. A b\n* N: o')
+    assert [(e.label, e.definition, e.terms) for e in more["A b"]] == [("L m", "d: e", ["t"]), ("N", "o", [])]
+    assert parse_entities("no outline") == {}
+
+
+def test_labels_and_guidelines():
+    assert split_description("Costs. Two. Three") == ("Costs", "Two. Three") and split_description("See e.g. this. That") == ("See e.g. this", "That")
+    assert split_description("ATMs. More") == ("ATMs", "More") and split_description(". x") == (". x", "") and split_description("x.") == ("x.", "")
+    themes = parse_themes("intro\n1. A. Brief one. More text here.\n1.1. B. Long || Detail || x\n2. C only\n10.2.3. Dr. No speaks. End.")
+    assert [(t.code, t.description, t.detailed_guidelines) for t in themes] == [("1", "A", "Brief one. More text here."), ("1.1", "B", "Long. Detail || x"), ("2", "C only", ""), ("10.2.3", "Dr. No speaks", "End")]
+    assert parse_themes("1. Fight vs. Costs. Rest", "parity")[0].description == "Fight vs. Costs"
 
 
 def test_runners():
@@ -58,12 +70,12 @@ def test_runners():
     def shaky():
         tries.append(1)
         if len(tries) < 3:
-            raise RuntimeError('busy {"error": "{\\"retryDelay\\": \\"7s\\"}"}')
+            raise RuntimeError('429 {"error": "{\\"retryDelay\\": \\"7s\\"}"}')
 
     waits = []
-    assert run_steps([("x", shaky), ("y", lambda: None)], sleep=waits.append) == ["x", "y"] and waits == [7.0, 7.0]
+    assert run_steps([("x", shaky), ("y", lambda: None)], sleep=waits.append) == ["x", "y"] and waits == [9.0, 9.0]
     assert run_steps([("x", shaky), ("y", lambda: None)], start=2) == ["y"]
-    assert retry_delay("no json", 5.0) == 5.0
+    assert retry_delay("429 no json", 5.0) == 5.0 and retry_delay('500 {"retryDelay": "7s"}', 5.0) == 5.0
     assert [len(x) for x in merge_tree(11, 10)[0]] == [6, 5]
 
 
