@@ -83,6 +83,7 @@ class PrefixTables:
             self.token_of[nodes[token]] = rank
             self.size_of[rank] = len(token)
         self.pairs = LongTable(max_pairs)
+        self.numbers = np.array(range(len(self.size_of)), object)  # one number object an id, not one a token
 
     def _candidates(self, data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, token) of every token in the strings; ``room``: bytes from each to its string's end."""
@@ -121,7 +122,7 @@ class PrefixTables:
         room = np.repeat(stops, sizes) - np.arange(len(data))
         at, size, token = self._candidates(data, room)
         length = at + size - begin[at]  # of the prefix that the token ends
-        order = np.argsort(length.astype(np.int32), kind="stable")
+        order = np.argsort(length.astype(np.int16 if sizes.max() < 1 << 15 else np.int64), kind="stable")
         at, size, token = at[order], size[order], token[order]
         cuts = np.searchsorted(length[order], np.arange(1, int(sizes.max()) + 2))
         last = np.full(len(data), -1, np.int64)
@@ -138,6 +139,6 @@ class PrefixTables:
             ends[here] = True
             here = here - self.size_of[last[here]]
             here, low = here[here >= low], low[here >= low]
-        ids, before = last[ends].tolist(), np.cumsum(ends) - ends
+        ids, before = self.numbers[last[ends]].tolist(), np.cumsum(ends) - ends
         cuts = [*before[data == 32].tolist(), len(ids)]
         return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
