@@ -36,11 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockmill.llm.sampling import smallest
+
 N_BUCKETS = 1 << 16
 BLOCK = 64
 PIECE = 40
 BATCH_WORDS = 300_000
 MEMO_WORDS = 600_000
+MEMO_GRAMS = 200_000
 MAX_ROWS = 1500
 MAX_CHARS = 20_000
 
@@ -75,14 +78,34 @@ def split(text: str) -> list[str | Piece]:
     return list(itertools.chain.from_iterable(map(positions, tokens)))
 
 
+class _Buckets(dict):
+    """Buckets of the short n-grams of one kind, remembered up to a bound."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= MEMO_GRAMS:
+            self.clear()
+        self[gram] = found = bucket(self.kind + gram)
+        return found
+
+
+def bucket(name: str) -> int:
+    return zlib.crc32(name.encode("utf-8", "replace")) & (N_BUCKETS - 1)
+
+
+_prefix, _suffix, _two, _three = map(_Buckets, "psbt")
+
+
 def features(word: str | Piece) -> list[int]:
     """Hashed affixes, inner n-grams and the word itself."""
     w, own, head, tail, whole = word if isinstance(word, Piece) else (word, len(word), word[:3], word[-3:], word)
-    names = [f"p{head[:n]}" for n in range(1, len(head) + 1)] + [f"s{tail[-n:]}" for n in range(1, len(tail) + 1)]
-    names += [f"b{w[i : i + 2]}" for i in range(min(own, len(w) - 1))] + [f"t{w[i : i + 3]}" for i in range(min(own, len(w) - 2))]
+    out = [_prefix[head[:n]] for n in range(1, len(head) + 1)] + [_suffix[tail[-n:]] for n in range(1, len(tail) + 1)]
+    out += [_two[w[i : i + 2]] for i in range(min(own, len(w) - 1))] + [_three[w[i : i + 3]] for i in range(min(own, len(w) - 2))]
     if whole:
-        names.append(f"w{whole}")
-    return [zlib.crc32(x.encode("utf-8", "replace")) & (N_BUCKETS - 1) for x in names]
+        out.append(bucket("w" + whole))
+    return out
 
 
 class Field:
@@ -90,42 +113,50 @@ class Field:
 
     def __init__(self, labels: list[str], weights: np.ndarray, transitions: np.ndarray):
         self.labels, self.weights, self.transitions = labels, weights, transitions
-        self.rows: dict[str | Piece, int] = {}
-        self.table = np.zeros((1, len(labels)), np.float32)  # row 0: tokens without letters
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str | Piece, int] = {}  # of tokens as written
+        self.cores: dict[str | Piece, int] = {"": 0}  # of what is scored of them
+        self.table, self.n = np.zeros((1024, len(self.labels)), np.float32), 1  # row 0: tokens without letters
 
     def __reduce__(self):
         return Field, (self.labels, self.weights, self.transitions)
 
     def lookup(self, texts: list[list[str | Piece]]) -> list[np.ndarray]:
         """Rows of ``table`` for the tokens of each text."""
-        rows = self.rows
-        if len(rows) > MEMO_WORDS:
-            rows.clear()
-            self.table = self.table[:1]
-        new = list({t for tokens in texts for t in tokens if t not in rows})
-        if new:
-            flat, ends, at = [], [], len(self.table)
-            for token in new:
-                if word := token if isinstance(token, Piece) else core(token):
-                    rows[token] = at + len(ends)
-                    flat.extend(features(word))
-                    ends.append(len(flat))
-                else:
-                    rows[token] = 0
-            if ends:
-                sums = np.add.reduceat(self.weights[np.array(flat)], np.array([0, *ends[:-1]]), axis=0)
-                self.table = np.concatenate([self.table, sums])
+        if len(self.rows) > MEMO_WORDS:
+            self.forget()
+        rows, cores = self.rows, self.cores
+        flat, ends, at = [], [], self.n
+        for token in set().union(*texts).difference(rows):
+            word = token if isinstance(token, Piece) else core(token)
+            row = cores.get(word)
+            if row is None:
+                row = cores[word] = at + len(ends)
+                flat += features(word)
+                ends.append(len(flat))
+            rows[token] = row
+        if ends:
+            self.n += len(ends)
+            if self.n > len(self.table):
+                larger = np.zeros((2 * self.n, len(self.labels)), np.float32)
+                larger[:at] = self.table[:at]
+                self.table = larger
+            self.table[at : self.n] = np.add.reduceat(self.weights[np.array(flat)], np.array([0, *ends[:-1]]), axis=0)
         return [np.fromiter(map(rows.__getitem__, tokens), np.int64, len(tokens)) for tokens in texts]
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """(label, score) of each text, some ``BATCH_WORDS`` words at a time."""
         out: list[tuple[str, float]] = []
         batch: list[list[str | Piece]] = []
+        size = 0
         for tokens in map(split, texts):
             batch.append(tokens)
-            if sum(map(len, batch)) > BATCH_WORDS:
+            size += len(tokens)
+            if size > BATCH_WORDS:
                 out += self._batch(batch)
-                batch = []
+                batch, size = [], 0
         return out + self._batch(batch)
 
     def _batch(self, texts: list[list[str | Piece]]) -> list[tuple[str, float]]:
@@ -256,9 +287,9 @@ def _gradient(score: np.ndarray, transitions: np.ndarray, gold: np.ndarray) -> t
 
 
 def sample(labelled: DataFrame, text: str, label: str, order: Column, *, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> list[tuple[str, str]]:
-    """The ``max_rows`` labelled texts with the smallest hash of ``order``."""
+    """The ``max_rows`` labelled texts with the smallest hash of ``order``; texts travel once the bound is known."""
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars))
-    return [(r[0], r[1]) for r in rows.orderBy(F.xxhash64(order), order).select(text, label).limit(max_rows).collect()]
+    return smallest(rows.select(F.col(text).alias("text"), F.col(label).alias("label"), order.alias("order")), F.col("order"), ["text", "label"], max_rows)
 
 
 def predict_frame(df: DataFrame, text: str, carry: list[str], field: Field) -> DataFrame:
