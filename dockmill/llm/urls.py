@@ -5,7 +5,12 @@ with the rule's; the longest fitting rule decides.  Where none fits, boosted
 trees judge the URL by its letters alone: lengths, depth, digits, entropy,
 parameters, and how often URLs under the same host suffixes were blocked among
 the labelled ones.  Trees are grown on the driver from a bounded sample,
-``max_rows`` labelled URLs with the smallest hashes; every URL is judged.
+``max_rows`` labelled URLs with the smallest hashes; every URL is judged.  The
+suffix statistics that a URL is trained with come from the other folds, so a
+tree doesn't learn from a share that holds the URL's own verdict.
+
+Up to ``MAX_RULES`` rules go to every task; a larger set, or one given as a
+table, is joined by host suffix.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path, fits no rule, and is judged by the trees like any other; without labelled
@@ -15,6 +20,7 @@ every row gives one row; columns named like an output are replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,8 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockmill.llm.sampling import smallest
+
 MAX_ROWS = 20_000
-MAX_RULES = 1_000_000
+MAX_RULES = 100_000
+FOLDS = 5
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -46,8 +55,6 @@ class Rules:
     """Rules by host, looked up by the suffixes of a URL's host."""
 
     def __init__(self, rules: list[tuple[str, str]]):
-        if len(rules) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rules: join them by host suffix instead of broadcasting them")
         self.by_host: dict[str, list[tuple[str, str, str]]] = {}
         for rule, verdict in rules:
             host, _, path = rule.partition("/")
@@ -189,8 +196,18 @@ def _judged(df: DataFrame, url: str, carry: list[str], made: dict[str, T.DataTyp
     return df.select(*names, F.col(url).alias("__url")).mapInArrow(run, T.StructType([*rest, *(T.StructField(k, v) for k, v in made.items())]))
 
 
-def apply_rules(df: DataFrame, url: str, carry: list[str], rules: list[tuple[str, str]]) -> DataFrame:
-    """Columns ``carry`` with ``host``, ``path``, ``rule`` and the rule's ``verdict``."""
+_RULED = ("host", "path", "rule", "verdict")
+
+
+def apply_rules(df: DataFrame, url: str, carry: list[str], rules: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """Columns ``carry`` with ``host``, ``path``, ``rule`` and the rule's ``verdict``.
+
+    ``rules``: (rule, verdict) pairs, or a table of such columns.
+    """
+    if isinstance(rules, DataFrame):
+        return _joined_rules(df, url, carry, rules)
+    if len(rules) > MAX_RULES:
+        return _joined_rules(df, url, carry, df.sparkSession.createDataFrame(rules, "rule string, verdict string"))
     found = Rules(rules)
 
     def judge(urls: list[str | None]) -> list[pa.Array]:
@@ -198,35 +215,66 @@ def apply_rules(df: DataFrame, url: str, carry: list[str], rules: list[tuple[str
         hits = [found.find(*p) for p in parsed]
         return [pa.array([x[i] for x in xs], pa.string()) for xs in (parsed, hits) for i in (0, 1)]
 
-    return _judged(df, url, carry, dict.fromkeys(("host", "path", "rule", "verdict"), T.StringType()), judge)
+    return _judged(df, url, carry, dict.fromkeys(_RULED, T.StringType()), judge)
+
 
+def _joined_rules(df: DataFrame, url: str, carry: list[str], rules: DataFrame) -> DataFrame:
+    """Rules met by a join: each distinct host and path looks up its host's suffixes, and the longest fitting rule comes back."""
 
-def train(urls: list[str | None], blocked: list[bool], **options) -> tuple[Lexical, Boosted]:
+    def judge(urls: list[str | None]) -> list[pa.Array]:
+        parsed = [parse(u) for u in urls]
+        return [pa.array([p[i] for p in parsed], pa.string()) for i in (0, 1)]
+
+    keep = [c for c in carry if c not in _RULED]
+    shield = [f"__c{i}" for i in range(len(keep))]
+    parsed = _judged(df.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(keep, shield, strict=True)), F.col(url).alias("__u")), "__u", shield, dict.fromkeys(_RULED[:2], T.StringType()), judge)
+    labels = F.split("host", r"\.")
+    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    asked = parsed.select("host", "path").distinct().withColumn("__suffix", suffix)
+    table = rules.select("rule", "verdict", F.substring_index("rule", "/", 1).alias("__host"), F.substr("rule", F.length(F.substring_index("rule", "/", 1)) + 1).alias("__start"))
+    start = F.when(F.col("__start") == "", F.lit("/")).otherwise(F.col("__start"))
+    met = asked.join(table, F.col("__suffix") == F.col("__host")).where(F.startswith("path", start))
+    best = met.groupBy(F.col("host").alias("__h"), F.col("path").alias("__p")).agg(F.min(F.struct((-F.length("rule")).alias("n"), "rule", "verdict")).alias("best"))
+    out = parsed.join(best, (F.col("host") == F.col("__h")) & (F.col("path") == F.col("__p")), "left")
+    return out.select(*(F.col(x).alias(c) for c, x in zip(keep, shield, strict=True)), "host", "path", "best.rule", "best.verdict")
+
+
+def train(urls: list[str | None], blocked: list[bool], *, folds: int = FOLDS, **options) -> tuple[Lexical, Boosted]:
+    """Suffix statistics of all URLs, and trees grown on features whose statistics leave out the URL's fold."""
     y = np.array(blocked, float)
     lexical = Lexical()
     lexical.fit(urls, y)
-    model = Boosted(**options)
-    return lexical, model.fit(lexical.matrix(urls), y) if len(y) else Boosted(start=-20.0)
-
-
-def filter_urls(df: DataFrame, url: str, carry: list[str], rules: list[tuple[str, str]], *, max_rows: int = MAX_ROWS) -> DataFrame:
+    if not len(y):
+        return lexical, Boosted(start=-20.0)
+    fold = np.array([zlib.crc32((u or "").encode("utf-8", "replace")) % folds for u in urls])
+    x = lexical.matrix(urls)
+    for f in np.unique(fold):
+        others, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        rest = Lexical()
+        rest.fit([urls[i] for i in others], y[others])
+        x[own] = rest.matrix([urls[i] for i in own])
+    return lexical, Boosted(**options).fit(x, y)
+
+
+def filter_urls(df: DataFrame, url: str, carry: list[str], rules: list[tuple[str, str]] | DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
     """Columns ``carry`` with ``host``, ``path``, ``rule``, ``verdict`` and ``p_block``.
 
     The trees learn from the URLs that rules decide.
     """
     labelled = apply_rules(df.select(F.col(url).alias("__u")), "__u", ["__u"], rules).where("verdict is not null")
-    taken = labelled.orderBy(F.xxhash64("__u"), "__u").select("__u", "verdict").limit(max_rows).collect()
+    taken = smallest(labelled.select("__u", "verdict"), F.col("__u"), ["__u", "verdict"], max_rows)
     lexical, model = train([r[0] for r in taken], [r[1] == "block" for r in taken])
-    found = Rules(rules)
+    keep = [c for c in carry if c not in (*_RULED, "p_block")]
+    shield = [f"__c{i}" for i in range(len(keep))]
+    rows = df.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(keep, shield, strict=True)), F.col(url).alias("__u"))
+    ruled = apply_rules(rows, "__u", [*shield, "__u"], rules)
 
     def judge(urls: list[str | None]) -> list[pa.Array]:
-        parsed = [parse(u) for u in urls]
-        hits = [found.find(*p) for p in parsed]
-        p_block = model.predict(lexical.matrix(urls))
-        verdict = [v or ("block" if p >= 0.5 else "allow") for (_, v), p in zip(hits, p_block, strict=True)]
-        return [*(pa.array([p[i] for p in parsed], pa.string()) for i in (0, 1)), pa.array([h[0] for h in hits], pa.string()), pa.array(verdict, pa.string()), pa.array(p_block, pa.float64())]
+        return [pa.array(model.predict(lexical.matrix(urls)), pa.float64())]
 
-    return _judged(df, url, carry, dict.fromkeys(("host", "path", "rule", "verdict"), T.StringType()) | {"p_block": T.DoubleType()}, judge)
+    out = _judged(ruled, "__u", [*shield, *_RULED], {"p_block": T.DoubleType()}, judge)
+    verdict = F.coalesce("verdict", F.when(F.col("p_block") >= 0.5, "block").otherwise("allow"))
+    return out.select(*(F.col(x).alias(c) for c, x in zip(keep, shield, strict=True)), "host", "path", "rule", verdict.alias("verdict"), "p_block")
 
 
 OP4_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
