@@ -129,8 +129,8 @@ def write_archives(df: DataFrame, id_: str, url: str, payload: str, *, least_rev
         out, name, at = None, "", 0
         for batch in batches:
             index: list[dict] = []
-            for i in range(batch.num_rows):
-                r_id, r_url, body, sha1, first, revisit = (batch.column(c)[i].as_py() for c in ("id", "url", "payload", "sha1", "first", "revisit"))
+            small = (batch.column(c).to_pylist() for c in ("id", "url", "sha1", "first", "revisit"))
+            for r_id, r_url, sha1, first, revisit, body in zip(*small, (x.as_py() for x in batch.column("payload")), strict=True):
                 if out is None:
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
@@ -170,8 +170,9 @@ def read_records(index: DataFrame, *, payload: bool = True, max_gap: int = MAX_G
     """The records that the rows of ``index`` (any selection) name."""
     block = F.floor(F.col("offset") / block_bytes)
     plan = index.groupBy("file", block.alias("block")).agg(F.collect_list(F.struct("offset", "length")).alias("parts"))
-    # A plan row is small but stands for a block to read, so tasks are not merged by the plan's bytes.
-    plan = plan.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "block")
+    # A plan row is small but stands for a block to read.  It is dealt by another expression than it was
+    # grouped by, or the optimizer would drop the exchange and merge the tasks by the plan's bytes.
+    plan = plan.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("file", "block", F.lit("read")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
