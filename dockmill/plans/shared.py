@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import gc
 import re
 import shutil
@@ -19,8 +20,10 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _made: set[str] = set()
+_collecting: contextvars.ContextVar[set[str] | None] = contextvars.ContextVar("tables", default=None)
 _scratch: set[str] = set()
 _lock = threading.Lock()
 _writers: list[int] = []  # writes under way, in any thread
@@ -72,6 +75,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     _scratch.add(path)
+    if (made := _collecting.get()) is not None:
+        made.add(path)
     with shuffles_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -105,6 +110,22 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """``df``, to be broadcast if it has no more than ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+@contextlib.contextmanager
+def tables_made():
+    """Inside, in this thread, the paths of tables that :func:`materialize` writes are collected in the set given."""
+    made: set[str] = set()
+    token = _collecting.set(made)
+    try:
+        yield made
+    finally:
+        _collecting.reset(token)
+
+
 @atexit.register
 def _clean() -> None:
     spark = SparkSession.getActiveSession() if _made else None
