@@ -43,10 +43,11 @@ from pyspark.sql import functions as F
 
 from dockmill.llm.memo import only, register
 from dockmill.plans.components import components
-from dockmill.plans.shared import discard, materialize, release
+from dockmill.plans.shared import discard, materialize, small
 
 BANDS, ROWS = 64, 7
 BLOCK = 1024
+MAX_BUCKETS = 1_000_000
 MEMO_WORDS = 600_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _NONE = np.uint64(2**64 - 1)
@@ -172,7 +173,6 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     similar = 100 * common >= percent * (F.size("x") + F.size("y") - common)
     out = materialize(both.where(similar).select("a", "b"), "links")
     discard(sets)
-    release(docs.sparkSession)
     return out
 
 
@@ -185,9 +185,9 @@ def _residual(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, p
     bucket that it shares only, and not at all once links found in the task have
     joined its components, so a task returns fewer links than it has members.
     """
-    counts = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    counts = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")), "counts")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = members.join(counts, "bucket").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = members.join(small(counts, MAX_BUCKETS), "bucket").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = placed.select("bucket", "node", "root", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("bucket", "node", "root", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     sets = materialize(_sets(members.select("node").distinct(), classes, docs, k), "sets")
@@ -244,26 +244,22 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percen
     classes = rows_.where("digest is not null").groupBy("digest").agg(F.min("__row").alias("node"), F.min(first).alias("first"), F.min_by(F.struct("__d1", "__d2", "bands", "sketch"), "__row").alias("c"))
     classes = materialize(classes.select("digest", "node", "first", F.col("c.__d1").alias("k1"), F.col("c.__d2").alias("k2"), "c.bands", "c.sketch"), "classes")
 
-    release(df.sparkSession)
-
     # Buckets with at least two classes.
     in_bands = classes.select("node", F.explode_outer("bands").alias("bucket"))
     buckets = in_bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("bucket", "hub")
     members = materialize(in_bands.join(buckets, "bucket"), "members")
-    release(df.sparkSession)
     pairs = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     links = _verified(pairs, classes, docs, k, percent)
     roots = components(links)
 
     # Buckets that still hold several components besides the hub's comparisons.
     placed = members.where("node <> hub").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    rest = materialize(placed.join(open_, "bucket", "left_semi"), "rest")
+    placed = materialize(placed, "placed")
+    open_ = materialize(placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "open")
+    rest = materialize(placed.join(small(open_, MAX_BUCKETS), "bucket", "left_semi"), "rest")
     if rest.limit(1).count():
         roots = components(links.unionAll(_residual(rest, classes, docs, k, percent, bands * rows)))
-    discard(rest, members)
-    release(df.sparkSession)
-
+    discard(rest, placed, members)
     rooted = classes.select("digest", "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     known = rooted.join(least, "root").select("digest", F.col("least.id").alias("__id"), F.col("least.row").alias("__first"))
@@ -274,6 +270,7 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percen
 
 
 def op2_neardup(spark, sf_dir: str) -> DataFrame:
+    """Class and component of every document under 4-word shingles at 80 percent; a document without words is alone."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs, "doc_id", "text", k=4, carry=["doc_id"])
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
