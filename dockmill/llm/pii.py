@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +40,7 @@ from dockmill.plans.shared import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 MIN_SUPPORT = 3
+SLICE = 500
 DISCLOSURE = 0.95
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -51,6 +51,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
@@ -98,17 +99,20 @@ def shown(text: str, found: dict[str, list[tuple[int, int]]]) -> dict:
     spans = sorted(s for kind in found.values() for s in kind)
     if not spans:
         return {"rest": None, "hidden": None, "entities": None, "group": None}
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts, ends = [w[0] for w in words], [w[1] for w in words]
-    taken: set[int] = set()
+    parts, taken, at = [], set(), 0
     for a, b in spans:
-        taken.update(range(bisect_left(ends, a + 1), bisect_left(starts, b)))
-    parts, at = [], 0
-    for k in sorted(taken):
-        parts += [text[at : starts[k]], " " * (ends[k] - starts[k])]
-        at = ends[k]
+        if b <= at:
+            continue
+        start, gap = max(a, at), _SPACE.search(text, b)
+        while start > at and not _SPACE.match(text, start - 1):
+            start -= 1
+        stop = gap.start() if gap else len(text)
+        for word in _WORD.finditer(text, start, stop):
+            parts += [text[at : word.start()], " " * (word.end() - word.start())]
+            taken.add(word.group())
+            at = word.end()
     rest = "".join([*parts, text[at:]])
-    hidden = sorted({text[starts[k] : ends[k]] for k in taken}.difference(_WORD.findall(rest)))
+    hidden = sorted(taken.difference(map(re.Match.group, _WORD.finditer(rest))))
     entities = sorted({hashlib.sha256(f"{kind}:{text[a:b].lower()}".encode("utf-8", "replace")).hexdigest()[:32] for kind, own in found.items() for a, b in own})
     group = hashlib.sha256("\n".join([*entities, "", *hidden, "", rest]).encode("utf-8", "replace")).digest()[:16]
     return {"rest": rest, "hidden": hidden, "entities": entities, "group": group}
@@ -130,7 +134,7 @@ def search(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             columns: dict[str, list] = {k: [] for k in made}
             for t in batch.column("__pii_text"):
                 t = t.as_py() or ""
@@ -239,5 +243,6 @@ def mask(text: Column, spans: Column) -> Column:
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
+    """Counts, base spans and all spans of every document; a null text has none."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return sanitise(docs, "text", ["doc_id"]).select("doc_id", *COUNTS, "base_sha256", "spans")
