@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dockmill.llm import companions
 from dockmill.llm.bpe import op6_bpe
 from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
 from dockmill.llm.langid import op8_langid
@@ -24,10 +25,10 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
-}
+} | companions.QUERIES
 ORACLES = {
     "op1_warc": OP1_SQL,
     "op2_neardup": OP2_SQL,
     "op3_substrings": OP3_SQL,
     "op7_decontamination": OP7_SQL,
-}
+} | companions.ORACLES
