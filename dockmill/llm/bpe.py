@@ -421,6 +421,7 @@ def encode_frame(df: DataFrame, text: str, vocabulary: str, pattern: str, *, ids
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
+    """Number and digest of the token ids of every document, and the digest of what they decode to; a null text is an empty one."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -138,6 +138,7 @@ def write_shards(df: DataFrame, key: list[Column], n_shards: int, path: str, **o
 
 
 def op9_sharding(spark, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards by the law ``rows``; a null text counts 8 bytes."""
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id",

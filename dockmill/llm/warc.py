@@ -188,6 +188,7 @@ def read_records(index: DataFrame, *, payload: bool = True, max_gap: int = MAX_G
 
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back; null pages are empty payloads."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     read = read_records(write_archives(pages, "page_id", "url", "html"), payload=False)
     return read.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
