@@ -1,17 +1,24 @@
 """Benchmark decontamination by a positional inverted index, in DataFrame functions only.
 
 Test items are cut into windows of ``n`` words (an item with fewer words is one
-window).  Corpus counts tell how many documents hold each test term; a window
-with a term that no document has cannot occur and goes.  Of the others, the
-rarest term is looked up: its postings (document, position) give the only places
-where the window can stand, and at each of them the lists of the other terms are
-intersected with their offsets adjusted, which is a comparison with the words
-around the posting, since a posting carries its document's words.  Postings are
-made for the terms that are looked up and no others.
-
-Windows are matched against all documents in blocks of ``block`` windows, so
-what is broadcast is bounded whatever the size of the test set.  Documents are
-told apart by id and text hash, so rows that are repeated share their result.
+window).  The corpus is indexed for them in two stored tables of postings
+(term, document, position):
+
+1. Counts say how often each test term stands in the corpus; a window with a
+   term that no document has cannot occur and goes.  The postings of every
+   window's two rarest terms are stored, over all documents.  Their lists are
+   intersected with offsets adjusted: a window may start where both lists say.
+2. For the documents where that happens the postings of all test terms are
+   stored, and the lists of the window's other terms are intersected in the
+   same way.  What is left are the exact occurrences.
+
+Proximity matches come from the same two tables: the rarest term's postings name
+the documents, and the lists of the others are read around them.
+
+A list is split by document, so a term that is everywhere is no single key.  The
+test terms, and the documents of step 2, are broadcast if they number at most
+``MAX_TERMS`` and ``MAX_DOCS``, else joined by shuffles.  Documents are told
+apart by id and text hash, so rows that are repeated share their result.
 
 Defined results: a null text has no words; an item without words has no window;
 a null item id counts as an empty one; items with equal ids are one item; every
@@ -26,10 +33,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmill.plans.shared import materialize
+from dockmill.plans.shared import materialize, small
 
 WINDOW = 10
-BLOCK = 100_000
+MAX_TERMS = 500_000
+MAX_DOCS = 2_000_000
+SALT = 32
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -44,76 +53,105 @@ def words(text: Column) -> Column:
 
 
 def count_words(text: Column) -> Column:
-    """Size of :func:`words` without making them: upper and lower case are both word characters here."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
+    """Size of :func:`words`: upper and lower case are both word characters here, so nothing is lower-cased."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")).cast("long")
 
 
-def windows(items: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """Distinct windows (``phrase``, ``size``) with the ids of the items that have them."""
+def windows(items: DataFrame, item_id: str, text: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """(distinct windows (``nr``, ``phrase``, ``size``), (``nr``, ``item``): the items that have them)."""
     cut = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words(F.col(text)).alias("w")).where(F.size("w") > 0)
     cut = cut.select("item", "w", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1)))).alias("at"))
-    cut = cut.select("item", F.slice("w", F.col("at"), n).alias("phrase"))
-    return cut.groupBy("phrase").agg(F.collect_set("item").alias("items")).withColumn("size", F.size("phrase"))
+    cut = materialize(cut.select("item", F.slice("w", F.col("at"), n).alias("phrase")).distinct(), "windows")
+    phrases = materialize(cut.select("phrase").distinct().select(F.monotonically_increasing_id().alias("nr"), "phrase", F.size("phrase").alias("size")), "phrases")
+    return phrases, cut.join(phrases.select("nr", "phrase"), "phrase").select("nr", "item")
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(``k1``, ``k2``, ``w``): what tells documents apart, and their words.
-
-    Words are exploded with ``outer`` below: a plain explode makes the optimizer
-    add a filter for empty arrays, which would cut each text a second time.
-    """
-    return docs.select(F.col(doc_id).alias("k1"), F.xxhash64(F.col(text)).alias("k2"), words(F.col(text)).alias("w"))
+def documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(``k1``, ``k2``, ``text``): what tells documents apart, and their texts."""
+    return docs.select(F.col(doc_id).alias("k1"), F.xxhash64(F.col(text)).alias("k2"), F.col(text).alias("text"))
 
 
-def anchored(cut: DataFrame, docs: DataFrame) -> DataFrame:
-    """Windows that may occur, each with its rarest term (``term``), that term's offset and its document frequency."""
-    terms = cut.select(F.explode("phrase").alias("term")).distinct()
-    counts = docs.select(F.explode_outer(F.array_distinct("w")).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    counts = materialize(counts, "term-counts")
-    placed = cut.select("phrase", "items", "size", F.posexplode("phrase").alias("offset", "term"))
-    rarest = placed.join(counts, "term").groupBy("phrase", "items", "size").agg(F.count("*").alias("known"), F.min(F.struct("df", "term", "offset")).alias("best"))
-    return rarest.where(F.col("known") == F.col("size")).select("phrase", "items", "size", "best.*")
+def term_counts(corpus: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(``term``, ``n``): how often each term of the windows stands in the corpus; terms that don't are left out.
 
-
-def occurrences(docs: DataFrame, looked_up: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """(``k1``, ``k2``, ``start``, ``stop``, ``items``) of every place where a window stands.
-
-    ``docs``: of :func:`keyed`; ``looked_up``: of :func:`anchored`.
+    Words are exploded with ``outer``: a plain explode makes the optimizer add a
+    filter for empty arrays, which would cut each text a second time.
     """
-    looked_up = materialize(looked_up.withColumn("__nr", F.monotonically_increasing_id()), "windows")
-    n_blocks = max(1, -(-looked_up.count() // block))
-    found = None
-    for b in range(n_blocks):
-        part = looked_up.where(F.pmod(F.xxhash64("__nr"), F.lit(n_blocks)) == b) if n_blocks > 1 else looked_up
-        postings = docs.select("k1", "k2", "w", F.posexplode_outer("w").alias("pos", "term"))
-        at = postings.join(F.broadcast(part), "term").withColumn("start", F.col("pos") - F.col("offset"))
-        inside = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w"))
-        same = F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("size")) == F.col("phrase")
-        hits = at.where(inside).where(same).select("k1", "k2", "start", (F.col("start") + F.col("size")).alias("stop"), "items")
-        found = hits if found is None else found.unionAll(hits)
-    return found
-
-
-def proximity(docs: DataFrame, queries: DataFrame, slack: int, *, block: int = BLOCK) -> DataFrame:
-    """Places where all terms of a query stand within its size plus ``slack`` words, in any order.
-
-    ``docs``: of :func:`keyed`; ``queries``: of :func:`anchored`.  Returns (``k1``,
-    ``k2``, ``start``, ``stop``, ``items``): the first such stretch around each
-    posting of the query's rarest term.
+    terms = materialize(phrases.select(F.explode("phrase").alias("term")).distinct(), "terms")
+    seen = corpus.select(F.explode_outer(words(F.col("text"))).alias("term")).join(small(terms, MAX_TERMS), "term", "left_semi")
+    return materialize(seen.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
+
+
+def anchored(phrases: DataFrame, counts: DataFrame) -> DataFrame:
+    """Windows that may occur, with their ``anchors``: (``n``, ``term``, ``offset``) of the two rarest terms, rarest first."""
+    placed = phrases.select("nr", "phrase", "size", F.posexplode("phrase").alias("offset", "term")).join(counts, "term")
+    per = placed.groupBy("nr", "phrase", "size").agg(F.count("*").alias("known"), F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("rare"))
+    return materialize(per.where(F.col("known") == F.col("size")).select("nr", "phrase", "size", F.slice("rare", 1, 2).alias("anchors")), "anchored")
+
+
+def postings(corpus: DataFrame, terms: DataFrame, name: str) -> DataFrame:
+    """The stored lists (``term``, ``k1``, ``k2``, ``pos``) of some terms, by term and position; a term's list is split by document."""
+    at = corpus.select("k1", "k2", F.posexplode_outer(words(F.col("text"))).alias("pos", "term")).join(small(terms, MAX_TERMS), "term", "left_semi")
+    return materialize(at.repartition("term", F.pmod("k2", F.lit(SALT))).sortWithinPartitions("term", "k2", "pos"), name)
+
+
+class Index:
+    """The postings of a corpus for a set of windows (of :func:`anchored`)."""
+
+    def __init__(self, corpus: DataFrame, looked_up: DataFrame):
+        self.corpus, self.windows = corpus, looked_up
+        self.rarest = postings(corpus, materialize(looked_up.select(F.explode("anchors").alias("a")).select("a.term").distinct(), "anchors"), "rarest")
+        self.terms = looked_up.select(F.explode("phrase").alias("term")).distinct()
+
+    def starts(self, which: int) -> DataFrame:
+        """(``nr``, ``size``, ``k1``, ``k2``, ``pos``, ``start``): where windows stand by their rarest (0) or second rarest (1) term."""
+        anchor = F.get("anchors", F.lit(which))
+        by = self.windows.select("nr", "size", anchor.alias("a")).where("a is not null").select("nr", "size", "a.term", "a.offset")
+        return self.rarest.join(by, "term").select("nr", "size", "k1", "k2", "pos", (F.col("pos") - F.col("offset")).alias("start"))
+
+    def lists_in(self, found: DataFrame) -> DataFrame:
+        """The postings of all test terms in the documents (``k1``, ``k2``) of ``found``."""
+        wanted = materialize(found.select(F.col("k1").alias("w1"), F.col("k2").alias("w2")).distinct(), "wanted")
+        wanted = small(wanted, MAX_DOCS)
+        near = self.corpus.join(wanted, F.col("k1").eqNullSafe(F.col("w1")) & (F.col("k2") == F.col("w2")), "left_semi")
+        return postings(near, materialize(self.terms, "terms"), "lists")
+
+
+def occurrences(index: Index) -> DataFrame:
+    """(``k1``, ``k2``, ``start``, ``stop``, ``nr``) of every place where a window stands."""
+    key = ["nr", "size", "k1", "k2", "start"]
+    both = index.starts(0).select(*key, F.lit(1).alias("by")).unionAll(index.starts(1).select(*key, F.lit(2).alias("by")))
+    met = both.groupBy(*key).agg(F.bit_or("by").alias("by")).where(F.col("by") == F.when(F.col("size") == 1, 1).otherwise(3))
+    met = materialize(met.select(*key), "met")
+    lists = index.lists_in(met.where("size > 2")).withColumnsRenamed({"k1": "p1", "k2": "p2", "term": "p_term", "pos": "p_pos"})
+    other = index.windows.select("nr", "anchors", F.posexplode("phrase").alias("offset", "term")).where(~F.exists("anchors", lambda a: a.offset == F.col("offset"))).drop("anchors")
+    needed = met.where("size > 2").join(other, "nr").withColumn("pos", F.col("start") + F.col("offset"))
+    there = (F.col("k1").eqNullSafe(F.col("p1"))) & (F.col("k2") == F.col("p2")) & (F.col("term") == F.col("p_term")) & (F.col("pos") == F.col("p_pos"))
+    whole = needed.join(lists, there, "left_semi").groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") == F.col("size") - 2)
+    found = met.where("size <= 2").unionAll(whole.select(*key))
+    return found.select("k1", "k2", "start", (F.col("start") + F.col("size")).alias("stop"), "nr")
+
+
+def proximity(index: Index, slack: int) -> DataFrame:
+    """(``k1``, ``k2``, ``start``, ``stop``, ``nr``) where all terms of a window stand within its size plus ``slack`` words, in any order.
+
+    Around each posting of the window's rarest term the first such stretch is
+    given; it is shorter where the document is.
     """
-    queries = materialize(queries.withColumn("__nr", F.monotonically_increasing_id()), "queries")
-    n_blocks = max(1, -(-queries.count() // block))
-    found = None
-    for b in range(n_blocks):
-        part = queries.where(F.pmod(F.xxhash64("__nr"), F.lit(n_blocks)) == b) if n_blocks > 1 else queries
-        at = docs.select("k1", "k2", "w", F.posexplode_outer("w").alias("pos", "term")).join(F.broadcast(part), "term")
-        reach = F.least(F.col("size") + slack, F.size("w"))
-        starts = F.sequence(F.greatest(F.col("pos") - reach + 1, F.lit(0)), F.greatest(F.least(F.col("pos"), F.size("w") - reach), F.lit(0)))
-        fits = F.filter(starts, lambda i: F.size(F.array_except(F.col("phrase"), F.slice(F.col("w"), i + 1, F.least(F.col("size") + slack, F.size("w"))))) == 0)
-        hits = at.select("k1", "k2", "items", fits.alias("fits"), reach.alias("reach")).where(F.size("fits") > 0)
-        hits = hits.select("k1", "k2", F.get("fits", F.lit(0)).alias("start"), (F.get("fits", F.lit(0)) + F.col("reach")).alias("stop"), "items")
-        found = hits if found is None else found.unionAll(hits)
-    return found.distinct()
+    at = materialize(index.starts(0).select("nr", "size", "k1", "k2", "pos"), "around")
+    lists = index.lists_in(at).withColumnsRenamed({"k1": "p1", "k2": "p2", "term": "p_term", "pos": "p_pos"})
+    terms = index.windows.select("nr", F.explode(F.array_distinct("phrase")).alias("term"), F.size(F.array_distinct("phrase")).alias("n_terms"))
+    lengths = index.corpus.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), count_words(F.col("text")).cast("int").alias("n_words")).distinct()
+    near = at.join(lengths, F.col("k1").eqNullSafe(F.col("l1")) & (F.col("k2") == F.col("l2"))).join(terms, "nr")
+    reach = F.least(F.col("size") + slack, F.col("n_words"))
+    beside = (F.col("k1").eqNullSafe(F.col("p1"))) & (F.col("k2") == F.col("p2")) & (F.col("term") == F.col("p_term")) & (F.abs(F.col("p_pos") - F.col("pos")) < reach)
+    # Of at most 2 * reach places around the posting: the first start from which all terms are met.
+    key = ["nr", "k1", "k2", "pos", "n_terms", "n_words", reach.alias("reach")]
+    seen = near.join(lists, beside).groupBy(*key).agg(F.collect_list(F.struct(F.col("p_pos").alias("at"), "term")).alias("seen"))
+    starts = F.sequence(F.greatest(F.col("pos") - F.col("reach") + 1, F.lit(0)), F.greatest(F.least(F.col("pos"), F.col("n_words") - F.col("reach")), F.lit(0)))
+    met = lambda i: F.size(F.array_distinct(F.transform(F.filter("seen", lambda x: (x["at"] >= i) & (x["at"] < i + F.col("reach"))), lambda x: x.term)))
+    first = seen.withColumn("start", F.get(F.filter(starts, lambda i: met(i) == F.col("n_terms")), F.lit(0))).where("start is not null")
+    return first.select("k1", "k2", "start", (F.col("start") + F.col("reach")).alias("stop"), "nr").distinct()
 
 
 def _covered(spans: Column) -> Column:
@@ -126,12 +164,20 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, state, add, lambda a: a.n.cast("long"))
 
 
-def hits(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, *, n: int = WINDOW, block: int = BLOCK) -> DataFrame:
+def indexed(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, *, n: int = WINDOW) -> tuple[Index, DataFrame]:
+    """(the corpus' index for the items' windows, the items (``nr``, ``item``) of each window)."""
+    corpus = documents(docs, doc_id, text)
+    phrases, having = windows(items, item_id, item_text, n)
+    return Index(corpus, anchored(phrases, term_counts(corpus, phrases))), having
+
+
+def hits(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, *, n: int = WINDOW) -> DataFrame:
     """Per document that has any hit: (``k1``, ``k2``, ``n_hit``, ``items``)."""
-    corpus = keyed(docs, doc_id, text)
-    found = occurrences(corpus, anchored(windows(items, item_id, item_text, n), corpus), block=block)
-    spans = F.array_sort(F.collect_set(F.struct("start", "stop")))
-    return found.groupBy("k1", "k2").agg(_covered(spans).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    index, having = indexed(docs, doc_id, text, items, item_id, item_text, n=n)
+    found = materialize(occurrences(index), "occurrences")
+    spans = found.groupBy("k1", "k2").agg(_covered(F.array_sort(F.collect_set(F.struct("start", "stop")))).alias("n_hit"))
+    named = found.select("k1", "k2", "nr").distinct().join(having, "nr").groupBy(F.col("k1").alias("i1"), F.col("k2").alias("i2")).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return spans.join(named, F.col("k1").eqNullSafe(F.col("i1")) & (F.col("k2") == F.col("i2"))).select("k1", "k2", "n_hit", "items")
 
 
 def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, *, carry: list[str] | None = None, n: int = WINDOW) -> DataFrame:
@@ -147,6 +193,7 @@ def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, ite
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items; a null text has no words."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate(docs, "doc_id", "text", items, "item_id", "text", carry=["doc_id"])
