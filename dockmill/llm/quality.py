@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from dockmill.plans.shared import materialize
 
 SPACE = " \t\n\x0b\f\r"
+BAD_COST = 4.0
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 # Common function words of the corpus languages.
@@ -37,12 +38,14 @@ el los las y del se con una por lo no es
 """.split()
 
 
-def measures(df: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+def measures(df: DataFrame, text: Column, keep: list[str], hashed=F.xxhash64) -> DataFrame:
     """The columns ``keep`` of ``df`` with the base measures and those that only the rules use (``__q_*``).
 
     Repeated words: start positions of the 3-word windows are sorted by a hash
     of the window, packed with the position into one long, so the sort is one of
-    primitives; equal neighbours are then compared word by word.
+    primitives; equal neighbours are then compared word by word.  In a text where
+    neighbours have equal hashes and different words, the windows themselves are
+    sorted instead.
     """
     out = df.select(*keep, F.coalesce(text, F.lit("")).alias("__q_text"))
     out = out.withColumn("__q_trim", F.trim(F.col("__q_text"), F.lit(SPACE)))
@@ -53,21 +56,31 @@ def measures(df: DataFrame, text: Column, keep: list[str]) -> DataFrame:
 
     def window(i: Column) -> Column:
         words = F.col("__q_words")
-        return F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+        return hashed(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
 
     out = out.withColumn("__q_at", F.when(F.col("n_words") >= 3, F.sequence(F.lit(0), F.size("__q_words") - 3)).otherwise(F.array().cast("array<int>")))
     out = out.withColumn("__q_sorted", F.sort_array(F.transform("__q_at", lambda i: F.call_function("shiftleft", window(i), F.col("__q_bits")).bitwiseOR(i.cast("long")))))
 
+    high = lambda v: F.call_function("shiftrightunsigned", v, F.col("__q_bits"))
+    low = lambda v, k: F.get(F.col("__q_words"), (v.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__q_bits")) - 1)).cast("int") + k)
+
+    def words_alike(x: Column, y: Column) -> Column:
+        return (low(x, 0) == low(y, 0)) & (low(x, 1) == low(y, 1)) & (low(x, 2) == low(y, 2))
+
     def same(x: Column, y: Column) -> Column:
         """Two packed windows, one of which may be null, have the same words."""
-        words, bits = F.col("__q_words"), F.col("__q_bits")
-        high = lambda v: F.call_function("shiftrightunsigned", v, bits)
-        low = lambda v, k: F.get(words, (v.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)).cast("int") + k)
-        return (high(x) == high(y)) & (low(x, 0) == low(y, 0)) & (low(x, 1) == low(y, 1)) & (low(x, 2) == low(y, 2))
+        return (high(x) == high(y)) & words_alike(x, y)
 
     packed = F.col("__q_sorted")
-    out = out.withColumn("__q_twice", F.filter(packed, lambda x, j: F.coalesce(same(x, F.get(packed, j - 1)) | same(x, F.get(packed, j + 1)), same(x, F.get(packed, j - 1)), same(x, F.get(packed, j + 1)), F.lit(False))))
-    out = out.withColumn("__q_twice", F.sort_array(F.transform("__q_twice", lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__q_bits")) - 1))))
+    clash = F.size(F.filter(packed, lambda x, j: (high(x) == high(F.get(packed, j + 1))) & ~words_alike(x, F.get(packed, j + 1)))) > 0
+    triple = lambda i: F.struct(*(F.get(F.col("__q_words"), i + k).alias(f"w{k}") for k in range(3)), i.cast("long").alias("at"))
+    out = out.withColumn("__q_exact", F.when(clash, F.sort_array(F.transform("__q_at", triple))))
+    alike = lambda x, y: (x.w0 == y.w0) & (x.w1 == y.w1) & (x.w2 == y.w2)
+    exact = F.col("__q_exact")
+    beside = lambda f, of: lambda x, j: F.coalesce(f(x, F.get(of, j - 1)) | f(x, F.get(of, j + 1)), f(x, F.get(of, j - 1)), f(x, F.get(of, j + 1)), F.lit(False))
+    by_words = F.transform(F.filter(exact, beside(alike, exact)), lambda x: x["at"])
+    by_hash = F.transform(F.filter(packed, beside(same, packed)), lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__q_bits")) - 1))
+    out = out.withColumn("__q_twice", F.sort_array(F.when(exact.isNotNull(), by_words).otherwise(by_hash)))
     repeat = F.transform("__q_twice", lambda p, j: F.least(F.lit(3).cast("long"), F.coalesce(F.get(F.col("__q_twice"), j + 1) - p, F.lit(3).cast("long"))))
 
     lines = F.filter(F.split("__q_text", "\n"), lambda x: F.trim(x, F.lit(SPACE)) != "")
@@ -156,9 +169,12 @@ def logit(prior: float, accuracy: list[tuple[float, float]], votes: list[int]) -
     return math.log(prior / (1 - prior)) + sum(weights(a)[x < 0] for x, a in zip(votes, accuracy, strict=True) if x)
 
 
-def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, threshold: float = 0.8) -> DataFrame:
+def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, bad_cost: float = BAD_COST) -> DataFrame:
     """``df`` with the base measures, ``base_failed``, ``p_good`` and ``kept``.
 
+    A bad document that is kept costs ``bad_cost`` times as much as a good one
+    that is lost, so a document is kept where its posterior is at least
+    ``bad_cost / (1 + bad_cost)``.
     ``carry``: columns to go along (all by default); fewer make the table that
     is written between the two steps smaller.
     """
@@ -175,9 +191,10 @@ def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, thresh
         score = score + F.when(cast[k] > 0, good).when(cast[k] < 0, bad).otherwise(0.0)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = voted.withColumn("base_failed", failed).withColumn("p_good", 1 / (1 + F.exp(-score)))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)).select(*keep, *MEASURES, "base_failed", "p_good", "kept")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= bad_cost / (1 + bad_cost))).select(*keep, *MEASURES, "base_failed", "p_good", "kept")
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document; a null text has no words and fails."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return judge(docs, F.col("text"), carry=["doc_id"]).select("doc_id", *MEASURES, "base_failed", "kept", "p_good")
