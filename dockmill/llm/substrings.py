@@ -6,8 +6,9 @@ document (smaller id) has too are removed.  Two steps:
 1. Candidates.  Window hashes are dealt to shards by hash; per hash the earliest
    document is the reference of the others.  A batch of documents sends each
    hash once and settles its own repeats, so a window that a third of all
-   documents share costs a row per batch.  The result is pairs of a document and
-   a reference, a few per document with repeats.
+   documents share costs a row per batch.  Shards hold some ``SHARD_BYTES``
+   however large the corpus is, and a task settles one at a time.  The result
+   is pairs of a document and a reference, a few per document with repeats.
 2. Automata.  A reference's text goes to the tasks that hold its documents, as a
    suffix automaton over words that is built once and kept for the next pairs.
    A document is streamed through it: the matching statistics (length of the
@@ -15,8 +16,10 @@ document (smaller id) has too are removed.  Two steps:
    spans, and those of ``n`` words or more are removed.
 
 References are delivered by a join rather than broadcast to every executor: what
-a broadcast would carry grows with the corpus.  Hashes only choose references
-(64 bits); what is removed is decided on the words.
+a broadcast would carry grows with the corpus.  Hashes only choose references;
+what is removed is decided on the words.  A hash has 96 bits: of 10**13 windows
+no two different ones are expected to share one (6e-4), and if they did, only a
+repeat that shares no other window with its reference could be missed.
 
 Defined results: a null text has no words; a null id counts as later than all
 others; rows with equal ids are not earlier than each other; every row gives one
@@ -25,7 +28,6 @@ row; an empty table gives an empty result; columns named like an output are repl
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -37,13 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockmill.llm.memo import only, register
-from dockmill.plans.shared import discard, materialize
+from dockmill.plans.shared import discard, materialize, spread
 
 WINDOW = 13
 BATCH_WORDS = 400_000
 MEMO_WORDS = 600_000
 AUTOMATA_WORDS = 150_000
-MIN_SHARDS = 64
+SHARD_BYTES = 4 << 20
+PART_SHARDS = 8
+MAX_PARTS = 100_000
 LAST = 2**63 - 1
 
 
@@ -128,51 +132,76 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_hashes(texts: list[list[bytes]], ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _factors(n: int, salt: int) -> np.ndarray:
+    return _mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(salt << 32)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+Hashes = tuple[np.ndarray, np.ndarray]  # 64 bits and 32 more
+
+
+def window_hashes(texts: list[list[bytes]], ids: np.ndarray, n: int) -> tuple[Hashes, np.ndarray]:
     """Hashes of all windows and the ids of their documents."""
     sizes = np.array([len(t) for t in texts])
     total = int(sizes.sum())
     if total < n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return (np.empty(0, np.uint64), np.empty(0, np.uint32)), np.empty(0, np.int64)
     words = np.fromiter((_hashes[w] for t in texts for w in t), np.uint64, total)
-    factors = _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    sums = np.zeros(total - n + 1, np.uint64)
-    for j in range(n):
-        sums += words[j : total - n + 1 + j] * factors[j]
+    upper = (words >> np.uint64(32)).astype(np.uint32)
+    sums, more = np.zeros(total - n + 1, np.uint64), np.zeros(total - n + 1, np.uint32)
+    for j, (f, g) in enumerate(zip(_factors(n, 0), _factors(n, 1).astype(np.uint32), strict=True)):
+        sums += words[j : total - n + 1 + j] * f
+        more += upper[j : total - n + 1 + j] * g
     owner = np.repeat(np.arange(len(texts)), sizes)
     inside = owner[: total - n + 1] == owner[n - 1 :]
-    return _mix(sums[inside]), ids[owner[: total - n + 1][inside]]
+    return (_mix(sums[inside]), more[inside]), ids[owner[: total - n + 1][inside]]
 
 
-def settle(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def settle(hashes: Hashes, docs: np.ndarray) -> tuple[Hashes, np.ndarray, np.ndarray]:
     """Per hash its earliest document: (hashes, documents, pairs of a later document and it)."""
-    by_doc = np.argsort(docs, kind="stable")
-    hashes, docs = hashes[by_doc], docs[by_doc]
-    by_hash = np.argsort(hashes, kind="stable")
-    hashes, docs = hashes[by_hash], docs[by_hash]
-    first = np.ones(len(hashes), bool)
-    first[1:] = hashes[1:] != hashes[:-1]
+    order = np.argsort(docs, kind="stable")
+    order = order[np.argsort(hashes[0][order], kind="stable")]
+    high, low, docs = hashes[0][order], hashes[1][order], docs[order]
+    if ((high[1:] == high[:-1]) & (low[1:] != low[:-1])).any():  # rare: order by all 96 bits
+        order = np.lexsort((docs, low, high))
+        high, low, docs = high[order], low[order], docs[order]
+    first = np.ones(len(high), bool)
+    first[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
     earliest = docs[first][np.cumsum(first) - 1] if len(docs) else docs
     later = docs > earliest
     pairs = np.unique(np.stack([docs[later], earliest[later]], axis=1), axis=0)
-    return hashes[first], docs[first], pairs
+    return (high[first], low[first]), docs[first], pairs
+
+
+def packed(ids: np.ndarray) -> bytes:
+    """Ids in order: the first, then the steps from each to the next in as few bytes as the largest needs."""
+    steps = np.diff(ids).view(np.uint64)
+    width = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(steps) or int(steps.max()) <= np.iinfo(t).max)
+    return ids[:1].tobytes() + bytes([np.dtype(width).itemsize]) + steps.astype(width).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, f"u{data[8]}", offset=9).astype(np.int64)
+    return np.concatenate([np.frombuffer(data, np.int64, 1), steps]).cumsum()
 
 
 def _pairs(docs: DataFrame, n: int) -> DataFrame:
     """Distinct (``doc``, ``ref``) of (``doc``, ``text``): the reference has a window of the document and comes first."""
-    n_shards = max(MIN_SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_shards = max(1, -(-3 * size // SHARD_BYTES))  # a window is a word: some 6 bytes of text, 20 of hash and id
+    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-n_shards // PART_SHARDS), MAX_PARTS))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent(texts: list[list[bytes]], ids: list[int]) -> pa.RecordBatch:
-            hashes, owners, pairs = settle(*window_hashes(texts, np.array(ids, np.int64), n))
-            shard = (hashes >> np.uint64(32)) % np.uint64(n_shards)
+            (high, low), owners, pairs = settle(*window_hashes(texts, np.array(ids, np.int64), n))
+            shard = ((high >> np.uint64(16)) % np.uint64(n_shards)).astype(np.int64)
             order = np.lexsort((owners, shard))
-            hashes, owners, shard = hashes[order], owners[order], shard[order]
-            edges = np.searchsorted(shard, np.arange(n_shards + 1, dtype=np.uint64))
-            rows = [(s, hashes[a:b].tobytes(), owners[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+            high, low, owners, shard = high[order], low[order], owners[order], shard[order]
+            starts = np.flatnonzero(np.diff(shard, prepend=-1))
+            rows = [(int(shard[a]), high[a:b].tobytes(), low[a:b].tobytes(), packed(owners[a:b])) for a, b in zip(starts, [*starts[1:], len(shard)], strict=True)] if len(shard) else []
             if len(pairs):  # settled here; any shard passes them on
-                rows.append((int(pairs[0, 0]) % n_shards, b"", pairs.tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "hashes", "docs"])
+                rows.append((int(pairs[0, 0]) % n_shards, b"", b"", pairs.astype(np.int64).tobytes()))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["shard", "hashes", "more", "docs"])
 
         only("substrings")
         texts: list[list[bytes]] = []
@@ -193,31 +222,30 @@ def _pairs(docs: DataFrame, n: int) -> DataFrame:
             yield sent(texts, ids)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            hashes = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
-            docs = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
-            part = hashes >> np.uint64(61)  # an eighth at a time, to sort less at once
-            pairs = np.unique(np.concatenate([settle(hashes[m], docs[m])[2] for m in (part == np.uint64(i) for i in range(8))]), axis=0)
+        def out(pairs: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["doc", "ref"])
 
+        def found(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+            high, low = (np.frombuffer(b"".join(r[i] for r in rows), t) for i, t in enumerate((np.uint64, np.uint32)))
+            return out(settle((high, low), np.concatenate([unpacked(r[2]) for r in rows]))[2])
+
         shard, rows = None, []
         for batch in batches:
-            for s, hashes, docs in zip(batch.column("shard").to_pylist(), batch.column("hashes"), batch.column("docs"), strict=True):
-                hashes, docs = hashes.as_py(), docs.as_py()
+            for s, *row in zip(batch.column("shard").to_pylist(), *(batch.column(c) for c in ("hashes", "more", "docs")), strict=True):
+                hashes, more, docs = (x.as_py() for x in row)
                 if not hashes:
-                    pairs = np.frombuffer(docs, np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["doc", "ref"])
+                    yield out(np.frombuffer(docs, np.int64).reshape(-1, 2))
                     continue
                 if s != shard and rows:
                     yield found(rows)
                     rows = []
                 shard = s
-                rows.append((hashes, docs))
+                rows.append((hashes, more, docs))
         if rows:
             yield found(rows)
 
-    dealt = docs.mapInArrow(deal, "shard int, hashes binary, docs binary")
-    dealt = dealt.repartition(n_shards, "shard").sortWithinPartitions("shard")
+    dealt = docs.mapInArrow(deal, "shard long, hashes binary, more binary, docs binary")
+    dealt = dealt.repartition(n_parts, "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(collect, "doc long, ref long").distinct()
 
 
@@ -250,11 +278,9 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
     """Columns ``carry`` (default all but the text) with ``n_words``, ``n_removed``, ``kept_sha256`` and, if asked for, ``kept_text``."""
     made = {"n_words": "long", "n_removed": "long", "kept_sha256": "string"} | ({"kept_text": "string"} if keep_text else {})
     keep = [c for c in (df.columns if carry is None else carry) if c not in made and c != text]
-    spark = df.sparkSession
     order = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     docs = df.select(order.alias("doc"), F.col(text).alias("text"))
     pairs = materialize(_pairs(docs, n), "pairs")
-    release(spark)
 
     # Texts that a pair needs; other documents' results are done here.  Sort-merge joins at every
     # size: what they exchange grows with the corpus, so it is planned as growing from the start.
@@ -293,14 +319,12 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts, *finished(batch, batch.column("__text"), none, none)], names=[*names, "__text", *made])
 
     rows = materialize(rows.mapInArrow(plain, ", ".join(x for x in (kept, "doc long, k2 long, __hit boolean, __ref boolean, __text string", results) if x)), "marked")
-    release(spark)
     texts = rows.where("__hit").select("doc", "k2", F.col("__text").alias("text"))
     refs = rows.where("__ref").select(F.col("doc").alias("ref"), F.col("k2").alias("ref_k2"), F.col("__text").alias("ref_text")).dropDuplicates(["ref", "ref_k2"])
     spans = _streamed(pairs.join(texts.dropDuplicates(["doc", "k2"]).hint("merge"), "doc").join(refs.hint("merge"), "ref"), n)
     spans = spans.where(F.size("start") > 0).groupBy("doc", "k2").agg(F.flatten(F.collect_list("start")).alias("__start"), F.flatten(F.collect_list("stop")).alias("__stop"))
     spans = materialize(spans.withColumnsRenamed({"doc": "__d", "k2": "__k"}), "spans")
     discard(pairs)
-    release(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,14 +338,9 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
     return out.toDF(*keep, *made)
 
 
-def release(spark) -> None:
-    """Let Spark delete shuffle files that no plan refers to any more, now rather than at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def op3_substrings(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    """Every document without the 13-word windows that an earlier one has; a null text has no words."""
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return remove_repeats(docs, "doc_id", "text", carry=["doc_id"], keep_text=False)
 
 
