@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from dockmill.llm.memo import only, register
 from dockmill.llm.prefix_tables import PrefixTables
+from dockmill.plans.shared import spread
 
 # The white space of the pattern's \s.
 WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
@@ -424,5 +425,5 @@ def op6_bpe(spark, sf_dir: str) -> DataFrame:
     """Number and digest of the token ids of every document, and the digest of what they decode to; a null text is an empty one."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return encode_frame(docs, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)

@@ -33,7 +33,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmill.plans.shared import materialize, small
+from dockmill.plans.shared import materialize, small, spread
 
 WINDOW = 10
 MAX_TERMS = 500_000
@@ -77,7 +77,7 @@ def term_counts(corpus: DataFrame, phrases: DataFrame) -> DataFrame:
     Words are exploded with ``outer``: a plain explode makes the optimizer add a
     filter for empty arrays, which would cut each text a second time.
     """
-    terms = materialize(phrases.select(F.explode("phrase").alias("term")).distinct(), "terms")
+    terms = phrases.select(F.explode("phrase").alias("term")).distinct()
     seen = corpus.select(F.explode_outer(words(F.col("text"))).alias("term")).join(small(terms, MAX_TERMS), "term", "left_semi")
     return materialize(seen.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
 
@@ -100,7 +100,7 @@ class Index:
 
     def __init__(self, corpus: DataFrame, looked_up: DataFrame):
         self.corpus, self.windows = corpus, looked_up
-        self.rarest = postings(corpus, materialize(looked_up.select(F.explode("anchors").alias("a")).select("a.term").distinct(), "anchors"), "rarest")
+        self.rarest = postings(corpus, looked_up.select(F.explode("anchors").alias("a")).select("a.term").distinct(), "rarest")
         self.terms = looked_up.select(F.explode("phrase").alias("term")).distinct()
 
     def starts(self, which: int) -> DataFrame:
@@ -111,10 +111,9 @@ class Index:
 
     def lists_in(self, found: DataFrame) -> DataFrame:
         """The postings of all test terms in the documents (``k1``, ``k2``) of ``found``."""
-        wanted = materialize(found.select(F.col("k1").alias("w1"), F.col("k2").alias("w2")).distinct(), "wanted")
-        wanted = small(wanted, MAX_DOCS)
+        wanted = small(found.select(F.col("k1").alias("w1"), F.col("k2").alias("w2")).distinct(), MAX_DOCS)
         near = self.corpus.join(wanted, F.col("k1").eqNullSafe(F.col("w1")) & (F.col("k2") == F.col("w2")), "left_semi")
-        return postings(near, materialize(self.terms, "terms"), "lists")
+        return postings(near, self.terms, "lists")
 
 
 def occurrences(index: Index) -> DataFrame:
@@ -194,7 +193,7 @@ def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, ite
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
     """Words of every document that stand in windows of benchmark items; a null text has no words."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate(docs, "doc_id", "text", items, "item_id", "text", carry=["doc_id"])
 

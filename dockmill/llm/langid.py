@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmill.llm.sampling import smallest
+from dockmill.plans.shared import spread
 
 N_BUCKETS = 1 << 16
 BLOCK = 64
@@ -311,7 +312,7 @@ def predict_frame(df: DataFrame, text: str, carry: list[str], field: Field) -> D
 
 def op8_langid(spark, sf_dir: str) -> DataFrame:
     """Language of every document by a field that learns outside the held-out third; a text without letters is ``und``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
     field = train(sample(docs.where(~held_out), "text", "lang", F.col("doc_id")))
     found = predict_frame(docs.select("doc_id", "text"), "text", ["doc_id"], field)

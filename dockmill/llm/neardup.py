@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from dockmill.llm.memo import only, register
 from dockmill.plans.components import components
-from dockmill.plans.shared import discard, materialize, small
+from dockmill.plans.shared import discard, materialize, small, spread
 
 BANDS, ROWS = 64, 7
 BLOCK = 1024
@@ -271,7 +271,7 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, *, k: int = 5, percen
 
 def op2_neardup(spark, sf_dir: str) -> DataFrame:
     """Class and component of every document under 4-word shingles at 80 percent; a document without words is alone."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     found = near_duplicates(docs, "doc_id", "text", k=4, carry=["doc_id"])
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockmill.plans.shared import materialize
+from dockmill.plans.shared import materialize, spread
 
 KINDS = ["email", "ip", "card", "phone"]
 MIN_SUPPORT = 3
@@ -244,5 +244,5 @@ def mask(text: Column, spans: Column) -> Column:
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
     """Counts, base spans and all spans of every document; a null text has none."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return sanitise(docs, "text", ["doc_id"]).select("doc_id", *COUNTS, "base_sha256", "spans")

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmill.plans.shared import materialize
+from dockmill.plans.shared import materialize, spread
 
 SPACE = " \t\n\x0b\f\r"
 BAD_COST = 4.0
@@ -196,5 +196,5 @@ def judge(df: DataFrame, text: Column, *, carry: list[str] | None = None, bad_co
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document; a null text has no words and fails."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return judge(docs, F.col("text"), carry=["doc_id"]).select("doc_id", *MEASURES, "base_failed", "kept", "p_good")

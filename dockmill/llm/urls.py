@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmill.llm.sampling import smallest
+from dockmill.plans.shared import spread
 
 MAX_ROWS = 20_000
 MAX_RULES = 100_000
@@ -282,5 +283,5 @@ OP4_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 
 def op4_urls(spark, sf_dir: str) -> DataFrame:
     """Every page judged by the rules, else by the trees; a null URL has an empty host and path and no rule."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return filter_urls(pages, "url", ["page_id"], OP4_RULES)
