@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dockmill.plans.shared import spread
+
 
 class Views:
     """Engine tables over a folder of Parquet tables."""
@@ -14,7 +16,8 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(table) if name in ("documents", "pages", "conversations") else table  # what is done with texts takes long
 
     def comments(self) -> DataFrame:
         d = self.table("documents")

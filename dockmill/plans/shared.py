@@ -12,7 +12,6 @@ from __future__ import annotations
 import atexit
 import contextlib
 import contextvars
-import gc
 import re
 import shutil
 import tempfile
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 _made: set[str] = set()
 _collecting: contextvars.ContextVar[set[str] | None] = contextvars.ContextVar("tables", default=None)
-_scratch: set[str] = set()
 _lock = threading.Lock()
 _writers: list[int] = []  # writes under way, in any thread
 _before: list[str | None] = []
@@ -74,7 +72,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    _scratch.add(path)
     if (made := _collecting.get()) is not None:
         made.add(path)
     with shuffles_dropped(spark):
@@ -96,18 +93,17 @@ def delete(spark: SparkSession, path: str) -> None:
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     _made.discard(path)
-    _scratch.discard(path)
 
 
-def scratch() -> set[str]:
-    """Paths of the tables of :func:`materialize` that are still there."""
-    return set(_scratch)
+def spread(df: DataFrame, most: int = 1 << 30) -> DataFrame:
+    """``df`` over all cores, if it is a small table in fewer files than there are cores.
 
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no plan refers to any more, now rather than at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    A file's row group is one task, however much work its rows are.  Larger
+    tables are left as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= most and 0 < len(df.inputFiles()) < cores else df
 
 
 def small(df: DataFrame, most: int) -> DataFrame:
