@@ -235,15 +235,15 @@ FEATURES = r"""w AS (SELECT ord, list_filter(string_split_regex(lower(comment),
 f AS (SELECT DISTINCT ord, concat('n', k, ':', array_to_string(list_slice(w, i0, i0 + k - 1), ' ')) AS f FROM w, (SELECT unnest([3, 4, 5]) AS k), LATERAL (SELECT unnest(range(1, greatest(len(w) - k + 2, 1))) AS i0))"""
 
 
-@query(f"WITH {FEATURES} SELECT ord, count(*) AS n FROM f GROUP BY 1")
+@query(f"WITH {FEATURES}, n AS (SELECT ord, count(*) AS n FROM f GROUP BY 1) SELECT c.ord, coalesce(n, 0) AS n FROM fx_comments c LEFT JOIN n ON n.ord = c.ord")
 def ngram_features(v: Views) -> DataFrame:
-    return v.comments().select("ord", F.size(t.feature_ids(F.col("comment"))).cast("long").alias("n")).where("n > 0")
+    return v.comments().select("ord", F.size(t.feature_ids(F.col("comment"))).cast("long").alias("n"))
 
 
-@query(f"WITH {FEATURES}, m AS (SELECT ord, f FROM f UNION SELECT ord, concat('w:', unnest(w)) FROM w) SELECT ord, count(*) AS n, count(*) FILTER (f LIKE 'w:%') AS words FROM m WHERE f NOT LIKE 'w:%' OR length(f) > 4 GROUP BY 1")
+@query(f"WITH {FEATURES}, m AS (SELECT ord, f FROM f UNION SELECT ord, concat('w:', unnest(w)) FROM w), n AS (SELECT ord, count(*) AS n, count(*) FILTER (f LIKE 'w:%') AS words FROM m WHERE f NOT LIKE 'w:%' OR length(f) > 4 GROUP BY 1) SELECT c.ord, coalesce(n, 0) AS n, coalesce(words, 0) AS words FROM fx_comments c LEFT JOIN n ON n.ord = c.ord")
 def both_features(v: Views) -> DataFrame:
     texts = F.col("comment")
-    return v.comments().select("ord", F.size(t.features(texts, "both")).cast("long").alias("n"), F.size(t.features(texts, "words")).cast("long").alias("words")).where("n > 0")
+    return v.comments().select("ord", F.size(t.features(texts, "both")).cast("long").alias("n"), F.size(t.features(texts, "words")).cast("long").alias("words"))
 
 
 PAIRS = f"""{FEATURES}, n AS (SELECT ord, count(*) AS n FROM f GROUP BY 1),
