@@ -4,10 +4,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from dockmill.llm.decontamination import anchored, decontaminate, keyed, proximity, windows
-from dockmill.llm.substrings import Automaton, remove_repeats
+from dockmill.llm.decontamination import decontaminate, indexed, proximity
+from dockmill.llm.substrings import Automaton, packed, remove_repeats, settle, unpacked, window_hashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -23,6 +24,26 @@ def test_automaton_matches_brute_force():
         assert {i for a, b in Automaton(ref).spans(doc, n) for i in range(a, b)} == want
 
 
+def test_windows_that_share_64_bits_are_told_apart():
+    """Documents 1 and 2 have different windows with the same first 64 bits; 3 and 4 repeat one each."""
+    high, low = np.array([5, 5, 5, 5, 9], np.uint64), np.array([1, 2, 2, 1, 1], np.uint32)
+    (h, g), docs, pairs = settle((high, low), np.array([1, 2, 3, 4, 2]))
+    assert pairs.tolist() == [[3, 2], [4, 1]] and sorted(zip(h.tolist(), g.tolist(), docs.tolist())) == [(5, 1, 1), (5, 2, 2), (9, 1, 2)]
+    texts = [[b"%d" % (i * j) for j in range(30)] for i in range(1, 9)]
+    (h, g), owners = window_hashes(texts, np.arange(8), 13)
+    words = [tuple(t[k : k + 13]) for t in texts for k in range(18)]
+    assert len(h) == len(g) == len(owners) == len(words) and len(set(g.tolist())) == len(set(h.tolist())) == len(set(words))
+
+
+def test_ids_are_packed_whole():
+    rng = random.Random(1)
+    for most in (1, 200, 60_000, 2**31, 2**62):
+        for n in (1, 2, 500):
+            ids = np.sort(np.array([rng.randrange(-most, most) for _ in range(n)], np.int64))
+            assert (unpacked(packed(ids)) == ids).all() and len(packed(ids)) <= 9 + 8 * n
+    assert unpacked(packed(np.array([-(2**63), 2**63 - 1]))).tolist() == [-(2**63), 2**63 - 1]
+
+
 def brute_repeats(rows, n):
     texts = [(2**63 - 1 if i is None else i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
     out = []
@@ -82,11 +103,30 @@ def test_hits_match_brute_force(spark):
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one x two y three"), (2, "three two one"), (3, "one two q q q three")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
-    corpus = keyed(docs, "doc_id", "text")
-    find = lambda slack: {r.k1 for r in proximity(corpus, anchored(windows(items, "item_id", "text", 10), corpus), slack).collect()}
+    index, _ = indexed(docs, "doc_id", "text", items, "item_id", "text", n=10)
+    find = lambda slack: {r.k1 for r in proximity(index, slack).collect()}
     assert find(0) == {2} and find(2) == {1, 2} and find(3) == {1, 2, 3}
 
 
+def test_proximity_matches_brute_force(spark):
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(25)))) for i in range(40)] + [(None, "a b c d"), (50, None)]
+    items = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 5)))) for i in range(6)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    index, having = indexed(d, "doc_id", "text", b, "item_id", "text", n=3)
+    phrases = {tuple(w[k : k + 3]) for _, t in items for w in [t.split()] for k in range(max(1, len(w) - 2))}
+    want = set()
+    for i, t in docs:
+        w = (t or "").split()
+        for p in phrases:
+            reach = min(len(p) + 2, len(w))
+            if any(set(p) <= set(w[k : k + reach]) for k in range(len(w) - reach + 1)) and w:
+                want.add((i, p))
+    name = {r.nr: tuple(r.phrase) for r in index.windows.collect()}
+    assert {(r.k1, name[r.nr]) for r in proximity(index, 2).collect()} == want and want
+    assert {r.nr for r in having.collect()} >= set(name)
+
+
 def test_pipeline_matches_its_parts(spark, tmp_path):
     import corpus_pipeline as p
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dockmill.llm.bpe import EncodedText, PrefixTable, encode_frame, encoder_of, read_ranks
 from dockmill.llm.langid import marginal_shares, predict_frame, train
 from dockmill.llm.pii import KINDS, find_spans, mask, sanitise
-from dockmill.llm.quality import MEASURES, fit, judge
+from dockmill.llm.quality import MEASURES, fit, judge, measures
 from dockmill.llm.sharding import assign_shards, communication_matrix, write_shards
 
 VOCABULARY = P.path("byte_bpe_50k.tiktoken")
@@ -191,6 +191,22 @@ def test_measures_and_posteriors(spark):
     assert judge(df.limit(0), F.col("text")).count() == 0
 
 
+def test_windows_with_equal_hashes_are_told_apart(spark):
+    """Whatever the hash does, repeats are those of the words."""
+    rng = random.Random(9)
+    texts = ["a b c x y z a b c", "a b c d e f g a b c q a b c", ""] + [" ".join(rng.choice("abcd") for _ in range(rng.randrange(30))) for _ in range(60)]
+
+    def brute(text):
+        w = text.split()
+        seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        return len({i + k for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for k in range(3)})
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for hashed in (F.xxhash64, lambda a, b, c: F.length(a).cast("long"), lambda a, b, c: F.ascii(a).cast("long")):
+        got = {r.id: r.n_repeat_words for r in measures(df, F.col("text"), ["id"], hashed).collect()}
+        assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
 def test_em_finds_a_poor_rule():
     rng, counts = random.Random(1), Counter()
     for _ in range(5000):
