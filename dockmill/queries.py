@@ -219,13 +219,6 @@ def stage_label(v: Views) -> DataFrame:
 # ---------------------------------------------------------------- text
 
 
-@query("SELECT id, coalesce(organization, 'Anonymous') AS submitter, coalesce(category, 'Individual') AS submitter_type, region AS location FROM fx_comments")
-def metadata_derivation(v: Views) -> DataFrame:
-    c = v.comments().withColumns({"first": F.lit(""), "last": F.lit(None).cast("string"), "country": F.lit("United States")})
-    kind = t.first_given("category", F.when(t.given("organization").isNotNull(), "Organization").otherwise("Individual"))
-    return c.select("id", t.submitter("organization", "first", "last").alias("submitter"), kind.alias("submitter_type"), t.location(None, "region", "country").alias("location"))
-
-
 @query(f"SELECT id, {WC.format('comment')} AS words FROM fx_comments")
 def word_counts(v: Views) -> DataFrame:
     return v.comments().select("id", t.word_count(F.col("comment")).cast("long").alias("words"))

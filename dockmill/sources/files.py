@@ -21,7 +21,7 @@ def scan_attachments(spark: SparkSession, path: str) -> DataFrame:
 
 def extract_text(attachments: DataFrame) -> DataFrame:
     """``text`` of each attachment: txt in the JVM, pdf and docx by tools where an executor has them, else empty."""
-    plain = attachments.where("format = 'txt'").withColumn("text", F.decode("blob_data", F.lit("UTF-8")))
+    plain = attachments.where("format = 'txt'").withColumn("text", F.make_valid_utf8(F.col("blob_data").cast("string")))
     other = attachments.where("format is null or format <> 'txt'")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
