@@ -44,7 +44,7 @@ WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0            
 MEMO_WORDS = 300_000  # in each of two generations
 MEMO_PAIRS = 400_000
 SHORT = 64
-ARRAY_WORDS = 30_000
+ARRAY_WORDS = 12_000
 _NEVER = 1 << 60
 
 
