@@ -71,13 +71,15 @@ def measures(df: DataFrame, text: Column, keep: list[str], hashed=F.xxhash64) ->
         """Two packed windows, one of which may be null, have the same words."""
         return (high(x) == high(y)) & words_alike(x, y)
 
-    packed = F.col("__q_sorted")
+    beside = lambda f, of: lambda x, j: F.coalesce(f(x, F.get(of, j - 1)) | f(x, F.get(of, j + 1)), f(x, F.get(of, j - 1)), f(x, F.get(of, j + 1)), F.lit(False))
+    # Runs of equal hashes, which are few; what follows looks at them only.
+    out = out.withColumn("__q_near", F.filter("__q_sorted", beside(lambda x, y: high(x) == high(y), F.col("__q_sorted"))))
+    packed = F.col("__q_near")
     clash = F.size(F.filter(packed, lambda x, j: (high(x) == high(F.get(packed, j + 1))) & ~words_alike(x, F.get(packed, j + 1)))) > 0
     triple = lambda i: F.struct(*(F.get(F.col("__q_words"), i + k).alias(f"w{k}") for k in range(3)), i.cast("long").alias("at"))
     out = out.withColumn("__q_exact", F.when(clash, F.sort_array(F.transform("__q_at", triple))))
     alike = lambda x, y: (x.w0 == y.w0) & (x.w1 == y.w1) & (x.w2 == y.w2)
     exact = F.col("__q_exact")
-    beside = lambda f, of: lambda x, j: F.coalesce(f(x, F.get(of, j - 1)) | f(x, F.get(of, j + 1)), f(x, F.get(of, j - 1)), f(x, F.get(of, j + 1)), F.lit(False))
     by_words = F.transform(F.filter(exact, beside(alike, exact)), lambda x: x["at"])
     by_hash = F.transform(F.filter(packed, beside(same, packed)), lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__q_bits")) - 1))
     out = out.withColumn("__q_twice", F.sort_array(F.when(exact.isNotNull(), by_words).otherwise(by_hash)))
