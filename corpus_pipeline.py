@@ -2,8 +2,10 @@
 
 Every stage reads what the one before it wrote.  All but the last return the
 columns of ``documents``; the last has a row per document that is left, with
-its token ids in place of the text.  A stage's result has to be written before
-the next stage is called: that call deletes the tables the result was read from.
+its token ids in place of the text.  Where stages are called one by one, a
+stage's result has to be written before the next stage is called for the same
+folder: that call deletes the tables the result was read from.  :func:`run` does
+this itself, and runs don't disturb each other.
 """
 
 from __future__ import annotations
@@ -18,23 +20,21 @@ from dockmill.llm.decontamination import decontaminate
 from dockmill.llm.neardup import near_duplicates
 from dockmill.llm.pii import mask, sanitise
 from dockmill.llm.quality import judge
-from dockmill.plans.shared import delete, new_path, release, scratch
+from dockmill.plans.shared import delete, new_path, spread, tables_made
 
-_last: set[str] = set()
+_left: dict[str, set[str]] = {}  # by folder of tables: what its last stage has left in the shared folder
 
 
 def _stage(f):
-    """First delete what the stage before has left in the shared folder."""
+    """First delete what the stage before, over the same folder, has left."""
 
     @functools.wraps(f)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        for path in _last & scratch():
+        for path in _left.pop(sf_dir, ()):
             delete(spark, path)
-        _last.clear()
-        release(spark)
-        before = scratch()
-        out = f(spark, docs, sf_dir)
-        _last.update(scratch() - before)
+        with tables_made() as made:
+            out = f(spark, docs, sf_dir)
+        _left[sf_dir] = made
         return out
 
     return run
@@ -43,7 +43,7 @@ def _stage(f):
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return judge(docs, F.col("text")).where("kept").select(*docs.columns)
+    return judge(spread(docs), F.col("text")).where("kept").select(*docs.columns)
 
 
 @_stage
@@ -98,6 +98,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with tables_made() as made:
+            stage.__wrapped__(spark, docs, sf_dir).write.parquet(path)
+        for used in made:
+            delete(spark, used)
         docs = spark.read.parquet(path)
     return docs
