@@ -5,6 +5,7 @@ from __future__ import annotations
 from dockmill.llm import companions
 from dockmill.llm.bpe import op6_bpe
 from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
+from dockmill.llm.importance import OP13_SQL, op13_importance
 from dockmill.llm.langid import op8_langid
 from dockmill.llm.neardup import OP2_SQL, op2_neardup
 from dockmill.llm.pii import op5_pii
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op13_importance": op13_importance,
 } | companions.QUERIES
 ORACLES = {
     "op1_warc": OP1_SQL,
     "op2_neardup": OP2_SQL,
     "op3_substrings": OP3_SQL,
     "op7_decontamination": OP7_SQL,
+    "op13_importance": OP13_SQL,
 } | companions.ORACLES
