@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dockmill.llm import companions
 from dockmill.llm.bpe import op6_bpe
+from dockmill.llm.collocations import OP11_SQL, op11_collocations
 from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
 from dockmill.llm.importance import OP13_SQL, op13_importance
 from dockmill.llm.langid import op8_langid
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op13_importance": op13_importance,
 } | companions.QUERIES
 ORACLES = {
@@ -33,5 +35,6 @@ ORACLES = {
     "op2_neardup": OP2_SQL,
     "op3_substrings": OP3_SQL,
     "op7_decontamination": OP7_SQL,
+    "op11_collocations": OP11_SQL,
     "op13_importance": OP13_SQL,
 } | companions.ORACLES
