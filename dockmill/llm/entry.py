@@ -7,6 +7,7 @@ from dockmill.llm.bpe import op6_bpe
 from dockmill.llm.collocations import OP11_SQL, op11_collocations
 from dockmill.llm.decontamination import OP7_SQL, op7_decontamination
 from dockmill.llm.importance import OP13_SQL, op13_importance
+from dockmill.llm.katz import BASE12_SQL, base12_lm, op12_lm
 from dockmill.llm.langid import op8_langid
 from dockmill.llm.neardup import OP2_SQL, op2_neardup
 from dockmill.llm.pii import op5_pii
@@ -28,6 +29,8 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
+    "op12_lm": op12_lm,
+    "base12_lm": base12_lm,
     "op13_importance": op13_importance,
 } | companions.QUERIES
 ORACLES = {
@@ -36,5 +39,6 @@ ORACLES = {
     "op3_substrings": OP3_SQL,
     "op7_decontamination": OP7_SQL,
     "op11_collocations": OP11_SQL,
+    "base12_lm": BASE12_SQL,
     "op13_importance": OP13_SQL,
 } | companions.ORACLES

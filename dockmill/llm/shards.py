@@ -78,30 +78,38 @@ def width(largest: int) -> np.dtype:
     return np.dtype(np.uint32 if largest < 1 << 32 else np.uint64)
 
 
+def packed(n: np.ndarray) -> bytes:
+    """Counts in as many bytes each as the largest needs."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+def unpacked(blob: bytes, size: int) -> np.ndarray:
+    """``size`` counts."""
+    return np.frombuffer(blob, dtype=f"u{len(blob) // max(size, 1) or 1}").astype(np.int64)
+
+
 def asked(shard: int, columns: list[np.ndarray], n: np.ndarray, parts: int, form: np.dtype) -> list[tuple]:
     """Rows (part, shard, keys, n) that send a shard's keys and counts to their parts; keys are the columns one after the other."""
     order, begin = deal(columns, parts)
-    keys, n = [c[order].astype(form) for c in columns], n[order].astype(np.uint32)
+    keys, n = [c[order].astype(form) for c in columns], n[order]
     full = np.flatnonzero(np.diff(begin))
-    return [(int(p), shard, b"".join(c[begin[p] : begin[p + 1]].tobytes() for c in keys), n[begin[p] : begin[p + 1]].tobytes()) for p in full]
+    return [(int(p), shard, b"".join(c[begin[p] : begin[p + 1]].tobytes() for c in keys), packed(n[begin[p] : begin[p + 1]])) for p in full]
 
 
 ASKED = "part int, shard long, keys binary, n binary"
+ASKED_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
 
 
 def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
 
 
-ASKED_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
-
-
 def added(rows: pa.Table, n_columns: int, form: np.dtype) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys by column, their sums, for each key as sent its place among them, where each row's keys begin)."""
     blobs = [np.frombuffer(b, dtype=form).reshape(n_columns, -1) for b in rows.column("keys").to_pylist()]
     begin = np.concatenate([[0], np.cumsum([b.shape[1] for b in blobs])]).astype(np.int64)
     columns = [np.concatenate([b[j] for b in blobs]) for j in range(n_columns)]
-    n = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows.column("n").to_pylist()]).astype(np.int64)
+    n = np.concatenate([unpacked(x, b.shape[1]) for x, b in zip(rows.column("n").to_pylist(), blobs, strict=True)])
     order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
     new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]) if len(n) else np.zeros(0, bool)
