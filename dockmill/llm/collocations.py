@@ -32,10 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from dockmill.llm import shards
 from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, dense_ids, segments, table, width
+from dockmill.plans.ordering import numbered
 from dockmill.plans.shared import materialize, spread
 
 LEAST = 30
@@ -305,9 +305,10 @@ def collocations(docs: DataFrame, lang: str, text: str, *, least: int = LEAST, t
     spelt = best.select("*", F.posexplode("p").alias("at", "id")).join(words.select("id", "lang", "word"), "id")
     named = spelt.groupBy("p", "a", "l", "r", "score", "lang").agg(F.array_sort(F.collect_list(F.struct("at", F.col("word").cast("string").alias("word")))).alias("w"))
     named = named.withColumn("phrase", F.array_join("w.word", " "))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # Numbered through all languages, so that a large one is no single task; a language's ranks count from its first number.
+    ranked = numbered(named.drop("p", "w"), "at", "lang", F.col("score").desc(), F.col("a").desc(), "phrase")
+    first = ranked.groupBy("lang").agg(F.min("at").alias("first")).join(totals, "lang")
+    return ranked.join(first, "lang").withColumn("rank", F.col("at") - F.col("first") + 1).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op11_collocations(spark, sf_dir: str) -> DataFrame:
