@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockmill.fixtures import Views
 from dockmill.functions import text as t
-from dockmill.operators import batching, collection, entities, explore, similarity
+from dockmill.operators import batching, collection, entities, explore, search_index, similarity
 from dockmill.registry import ORACLES, QUERIES, query
 
 WORDS = r"regexp_extract_all({0}, '[^\s]+')"
@@ -384,7 +384,9 @@ def _searchable(v: Views) -> DataFrame:
 
 
 def _search(v: Views, q: str) -> DataFrame:
-    return explore.facets(_searchable(v), tokens=explore.parse_search(q)).select("id")
+    c = v.comments()
+    index = search_index.index_of(c.select("id", "comment", "organization"), explore.search_text(F.col("comment"), F.col("organization"), F.col("id")), "comments")
+    return index.search(explore.parse_search(q)).select("id")
 
 
 @query(f"SELECT id FROM fx_comments WHERE contains({TEXT}, 'thre') AND contains({TEXT}, 'org')")
