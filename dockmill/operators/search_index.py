@@ -155,7 +155,8 @@ class TextIndex:
         needs = {t: Need.of(t.value) for t in tokens}
         ranges = [*dict.fromkeys(r for n in needs.values() for r in n.ranges)]
         within = {r: F.col("gram") == r[0] if r[0] == r[1] else F.col("gram").between(*r) for r in ranges}
-        read = self.postings.where(reduce(lambda a, b: a | b, within.values()))
+        single = F.col("gram").isin([r[0] for r in ranges if r[0] == r[1]])
+        read = self.postings.where(reduce(lambda a, b: a | b, [single, *(within[r] for r in ranges if r[0] != r[1])]))
         met = read.groupBy("block").agg(*(F.bit_or(F.when(within[r], F.col("mask"))).alias(f"m{i}") for i, r in enumerate(ranges)))
         if _combined(tokens, dict.fromkeys(tokens, 0), 0, -1)[1]:  # rows without any of the grams may match
             there = self.texts.groupBy(F.shiftright("__n", BLOCK_BITS).alias("block")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__n").bitwiseAND(63).cast("int"))).alias("all"))
