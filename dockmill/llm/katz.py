@@ -13,11 +13,13 @@ no discount frees anything in a context, it counts as seen once more than it was
 
 All of it runs over shards (:mod:`dockmill.llm.shards`):
 
-1. Words are counted and numbered by a join.
-2. Shards ask for the sums of their pairs.  The parts keep the table of pairs, by
-   part, and answer with the sums; for each pair one shard is named its owner.
+1. Shards ask for their words, dealt to parts by a hash.  A part adds up the counts,
+   keeps its table of words, and answers with numbers and counts.
+2. Shards ask for their pairs.  The parts keep the table of pairs and answer with
+   the counts; for each pair one shard is named its owner.
 3. For each context the owners add up the discounted counts and the words'
-   probabilities of what was seen; the sums over shards give the weights.
+   probabilities of what was seen; parts add up the sums of all shards and answer
+   with the weights.
 4. Shards look up their tokens and add up the scores by document.
 
 The driver sees counts of counts only.  The order is 2: sums and answers for
@@ -32,6 +34,7 @@ of any length is cut between words, and the next shard knows the last word.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,10 +44,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmill.llm import shards
-from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, dense_ids, packed, segments, table, unpacked, width
+from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, packed, segments, table, unpacked, width
 from dockmill.plans.shared import discard, materialize, spread
 
 GOOD_TURING = 5
+SHARD = 1 << 20
 START, END = 0, 1  # local numbers
 
 #: A-Z lower-cased, white space as blanks.
@@ -80,7 +84,7 @@ class Cutter:
         for segment in segments(text.translate(FOLD)):
             self._put(tokens := segment.split(b" "))
             last = next(filter(None, reversed(tokens)), last)
-            if self.size >= shards.SHARD:
+            if self.size >= SHARD:
                 yield self.close()
                 self.docs.append((row, 0, held_out))
                 if last is None:
@@ -88,50 +92,57 @@ class Cutter:
                 else:
                     self._put([last])
         self._put([b" "])
-        if self.size >= shards.SHARD:
+        if self.size >= SHARD:
             yield self.close()
 
     def close(self) -> tuple:
-        """(shard, words, local numbers, training counts, places, documents)."""
+        """(shard, words from local number 1 on, their training counts, places, documents)."""
         places = np.concatenate([*self.places, np.zeros(0, np.int32)])
         rows, begin, held_out = (np.array([d[j] for d in self.docs], dtype=t) for j, t in enumerate((np.int64, np.int64, bool)))
         token, doc = tokens_of(len(places), begin)
         n = np.bincount(places[token], weights=~held_out[doc], minlength=next(self.numbers._count)).astype(np.int64)
         words = [w for w, i in self.numbers.items() if i >= 0]
-        local = np.fromiter((i for i in self.numbers.values() if i >= 0), dtype=np.int32, count=len(words))
-        out = self.shard, words, local, n[local], places, (rows, begin, held_out)
+        out = self.shard, words, n[1 : len(words) + 1], places, (rows, begin, held_out)
         self._open()
         return out
 
 
 def tokens_of(size: int, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the positions that are tokens, the document of each): all but those where stretches begin."""
-    doc = np.zeros(size, dtype=np.int64)
+    doc = np.zeros(size, dtype=np.int32)
     doc[begin[1:]] = 1
     token = np.ones(size, dtype=bool)
     token[begin] = False
     at = np.flatnonzero(token)
-    return at, np.cumsum(doc)[at]
+    return at, np.cumsum(doc, dtype=np.int32)[at]
 
 
-_BODY = [("shard", pa.int64()), ("word", pa.binary()), ("local", pa.int32()), ("n", pa.int64()), ("places", pa.binary()), ("rows", pa.binary()), ("begin", pa.binary()), ("held", pa.binary()), ("row", pa.int64()), ("held_out", pa.bool_())]
+def joined(words: list[bytes]) -> bytes:
+    """Words in one text; the end is an empty one."""
+    return b" ".join(w.strip(b" ") for w in words)
+
+
+def dealt(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the order in which words are sent, where each part begins in it)."""
+    part = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words)) % np.uint32(parts)
+    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
+_CUT = [("shard", pa.int64()), ("n_words", pa.int64()), *((c, pa.binary()) for c in ("words", "n", "places", "rows", "begin", "held")), ("row", pa.int64()), ("held_out", pa.bool_())]
 
 
 def cut(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> DataFrame:
-    """The shards of a corpus: rows of words (``word``, ``local``, ``n``), of ``places`` with their documents, and a ``row`` for each document."""
+    """The shards of a corpus, and a ``row`` for each document."""
     typed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    schema = T.StructType([*T.StructType.fromDDL("shard long, word binary, local int, n long, places binary, rows binary, begin binary, held binary, row long, held_out boolean").fields, typed.schema["doc_id"]])
+    schema = T.StructType([*T.StructType.fromDDL("shard long, n_words long, words binary, n binary, places binary, rows binary, begin binary, held binary, row long, held_out boolean").fields, typed.schema["doc_id"]])
 
     def batch_of(size: int, ids: pa.Array | pa.DataType, **columns) -> pa.RecordBatch:
         ids = pa.nulls(size, ids) if isinstance(ids, pa.DataType) else ids
-        return pa.RecordBatch.from_arrays([*(pa.array(columns[k], t) if k in columns else pa.nulls(size, t) for k, t in _BODY), ids], names=[*(k for k, _ in _BODY), "doc_id"])
+        return pa.RecordBatch.from_arrays([*(pa.array(columns[k], t) if k in columns else pa.nulls(size, t) for k, t in _CUT), ids], names=[*(k for k, _ in _CUT), "doc_id"])
 
-    def shard_rows(id_type: pa.DataType, shard, words, local, n, places, docs) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(words), 50_000):
-            part = slice(at, at + 50_000)
-            yield batch_of(len(words[part]), id_type, shard=[shard] * len(words[part]), word=words[part], local=local[part], n=n[part])
+    def shard_row(id_type: pa.DataType, shard, words, n, places, docs) -> pa.RecordBatch:
         rows, begin, held = docs
-        yield batch_of(1, id_type, shard=[shard], places=[places.tobytes()], rows=[rows.tobytes()], begin=[begin.tobytes()], held=[held.tobytes()])
+        return batch_of(1, id_type, shard=[shard], n_words=[len(words)], words=[joined(words)], n=[packed(n)], places=[places.tobytes()], rows=[rows.tobytes()], begin=[begin.tobytes()], held=[held.tobytes()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -143,10 +154,10 @@ def cut(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> DataFrame:
             yield batch_of(batch.num_rows, ids, row=np.arange(row, row + batch.num_rows), held_out=held_out)
             for text, held in zip(batch.column("text").cast(pa.binary()), held_out, strict=True):
                 for shard in cutter.add(row, text.as_py(), held):
-                    yield from shard_rows(ids.type, *shard)
+                    yield shard_row(ids.type, *shard)
                 row += 1
         if cutter.docs:
-            yield from shard_rows(ids.type, *cutter.close())
+            yield shard_row(ids.type, *cutter.close())
 
     return typed.mapInArrow(run, schema)
 
@@ -198,19 +209,24 @@ class Shard:
 
     def __init__(self, r: dict):
         self.number = r["shard"]
-        self.x = np.frombuffer(r["places"], dtype=np.int32).astype(np.int64)
-        self.ids, self.n = (np.frombuffer(r[c], dtype=np.int64) for c in ("ids", "n"))
+        x = np.frombuffer(r["places"], dtype=np.int32)
+        self.ids = np.frombuffer(r["ids"], dtype=np.int64)
+        self.n = unpacked(r["n"], len(self.ids))
         self.rows, begin = (np.frombuffer(r[c], dtype=np.int64) for c in ("rows", "begin"))
-        self.token, self.doc = tokens_of(len(self.x), begin)
+        token, self.doc = tokens_of(len(x), begin)
         self.trained = ~np.frombuffer(r["held"], dtype=bool)[self.doc]
-        self.before, self.word = self.x[self.token - 1], self.x[self.token]
+        self.before, self.word = x[token - 1], x[token]
         self.base = len(self.ids)
 
+    def contexts(self) -> np.ndarray:
+        """Known words that anything follows, known or not."""
+        return np.unique(self.before[self.before >= 0])
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(context, word, place among the pairs of each token, -1 if one of its two is unknown), pairs in order."""
         known = np.flatnonzero((self.before >= 0) & (self.word >= 0))
-        key, place = np.unique(self.before[known] * self.base + self.word[known], return_inverse=True)
-        of = np.full(len(self.word), -1, dtype=np.int64)
+        key, place = np.unique(self.before[known] * np.int64(self.base) + self.word[known], return_inverse=True)
+        of = np.full(len(self.word), -1, dtype=np.int32)
         of[known] = place
         return key // self.base, key % self.base, of
 
@@ -225,74 +241,115 @@ class Shard:
         return n, owned
 
 
-def _numbered(known: pa.Table, body: pa.Table) -> pa.Table:
-    """A shard with the numbers and counts of its known words."""
-    out = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("places", "rows", "begin", "held", "ids", "n"))])
-    if not body.num_rows:
-        return out.empty_table()
-    r = body.to_pylist()[0]
-    places = np.frombuffer(r["places"], dtype=np.int32)
-    local, ids, n = (known.column(c).to_numpy() for c in ("local", "id", "f"))
-    order = np.argsort(local)
-    to = np.full(int(max(places.max(initial=0), local.max(initial=0))) + 1, -1, dtype=np.int32)
-    to[START] = 0
-    to[local[order]] = np.arange(1, len(local) + 1)
-    ids, n = (np.concatenate([[0], c[order]]).astype(np.int64) for c in (ids, n))
-    return table([(r["shard"], to[places].tobytes(), r["rows"], r["begin"], r["held"], ids.tobytes(), n.tobytes())], out)
+def _schema(*fields: tuple[str, pa.DataType]) -> pa.Schema:
+    return pa.schema(fields)
 
 
-_NUMBERED = "shard long, places binary, rows binary, begin binary, held binary, ids binary, n binary"
-_TOLD = "shard long, part int, counts binary, owned binary, context array<long>, word array<long>, f array<long>, counts_of_counts array<long>"
-_TOLD_ARROW = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("counts", pa.binary()), ("owned", pa.binary()), *((c, pa.list_(pa.int64())) for c in ("context", "word", "f", "counts_of_counts"))])
-_SEEN = f"{_NUMBERED}, counts binary, h int, id long, c long, seen double, lower double"
-_SCORES = "row long, n_tokens long, n_known long, base_score double, score double"
+_B, _L, _I, _A = pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64())
+_DDL = {_B: "binary", _L: "long", _I: "int", _A: "array<long>", pa.list_(_B): "array<binary>", pa.float64(): "double"}
+_BODY = [("shard", _L), *((c, _B) for c in ("places", "rows", "begin", "held", "ids", "n"))]
+_ASK_WORDS = _schema(("part", _I), ("shard", _L), ("words", _B), ("n", _B))
+_WORDS = _schema(("shard", _L), ("part", _I), ("ids", _B), ("f", _B), ("word", pa.list_(_B)), ("id", _A), ("count", _A), ("counts_of_counts", _A), ("tokens", _L), ("ends", _L))
+_NUMBERED = _schema(*_BODY)
+_PAIRS = _schema(("shard", _L), ("part", _I), ("counts", _B), ("owned", _B), ("context", _A), ("word", _A), ("count", _A), ("counts_of_counts", _A))
+_SEEN = _schema(*_BODY, ("counts", _B), ("part", _I), ("keys", _B), ("c", _B), ("seen", _B), ("lower", _B))
+_WEIGHTS = _schema(("shard", _L), ("part", _I), ("weights", _B), ("id", _A), ("weight", pa.list_(pa.float64())))
+_SCORES = _schema(("row", _L), ("n_tokens", _L), ("n_known", _L), ("base_score", pa.float64()), ("score", pa.float64()))
+_DDL[pa.list_(pa.float64())] = "array<double>"
 
 
-def lm_scores(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``, learned from rows not held out."""
-    corpus = materialize(cut(docs, doc_id, text, held_out), "lm-shards")
-    keys = materialize(corpus.where("row is not null").select("row", "doc_id", "held_out"), "lm-documents")
-    listed = corpus.where("word is not null")
-    vocabulary = dense_ids(listed.groupBy("word").agg(F.sum("n").alias("f")).where("f > 0"), "lm-words")
-    small = [F.count(F.when(F.col("f") == r, 1)) for r in range(1, GOOD_TURING + 2)]
-    n_words, n_tokens, *of_words = vocabulary.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0)), *small).first()
-    words = Words(n_tokens, n_words, of_words)
-    n_end = vocabulary.where(F.col("word") == F.lit(b" ")).select("f").first()  # the start's count: a row at most
-    n_start = n_end.f if n_end else 0
-
-    known = listed.join(vocabulary, "word").select("shard", "local", "id", "f")
-    bodies = materialize(by_shard(known, corpus.where("places is not null").select("shard", "places", "rows", "begin", "held"), _numbered, _NUMBERED), "lm-places")
-    discard(corpus)
-    form, parts = width(n_words), max(1, -(-n_tokens // shards.PART))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {_DDL[f.type]}" for f in schema)
+
+
+def _row(schema: pa.Schema, **values) -> tuple:
+    return tuple(values.get(name) for name in schema.names)
+
+
+def _ask_words(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                shard = Shard(batch.slice(i, 1).to_pylist()[0])
-                context, word, of = shard.pairs()
-                n = np.bincount(of[of >= 0], weights=shard.trained[of >= 0], minlength=len(context)).astype(np.int64)
-                yield from table(asked(shard.number, [shard.ids[context], shard.ids[word]], n, parts, form), ASKED_ARROW).to_batches()
+            for shard, words, n in zip(*(batch.column(c) for c in ("shard", "words", "n")), strict=True):
+                words = words.as_py().split(b" ")
+                n, (order, begin) = unpacked(n.as_py(), len(words)), dealt(words, parts)
+                of = lambda p: order[begin[p] : begin[p + 1]]  # noqa: B023, E731
+                yield from table([(int(p), shard.as_py(), b" ".join([words[i] for i in of(p)]), packed(n[of(p)])) for p in np.flatnonzero(np.diff(begin))], _ASK_WORDS).to_batches()
+
+    return run
+
+
+def _answer_words(parts: int):
+    def run(rows: pa.Table) -> pa.Table:
+        """The part's table of words, and to each shard their numbers (0 for words that were not learned) and counts."""
+        part, numbers = rows.column("part")[0].as_py(), Numbers({}, itertools.count())
+        sent = []
+        for blob in rows.column("words"):
+            words = blob.as_py().split(b" ")
+            sent.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+        n = np.concatenate([unpacked(b.as_py(), len(s)) for b, s in zip(rows.column("n"), sent, strict=True)])
+        f = np.zeros(len(numbers), dtype=np.int64)
+        np.add.at(f, np.concatenate(sent), n)
+        ids = np.where(f > 0, (np.cumsum(f > 0) - 1) * parts + part + 1, 0)
+        told = [_row(_WORDS, shard=s, part=part, ids=ids[at].tobytes(), f=packed(f[at])) for s, at in zip(rows.column("shard").to_pylist(), sent, strict=True)]
+        of = np.bincount(np.minimum(f, GOOD_TURING + 2), minlength=GOOD_TURING + 3)[1 : GOOD_TURING + 2]
+        known = np.flatnonzero(f)
+        words = [*numbers]
+        own = _row(_WORDS, part=part, word=[words[i] for i in known], id=ids[known], count=f[known], counts_of_counts=of, tokens=int(f.sum()), ends=int(f[numbers[b""]]) if b"" in numbers else 0)
+        return table([*told, own], _WORDS)
 
-    def answer(rows: pa.Table) -> pa.Table:
+    return run
+
+
+def _number(parts: int):
+    def run(told: pa.Table, body: pa.Table) -> pa.Table:
+        """A shard with the numbers and counts of its known words."""
+        if not body.num_rows:
+            return _NUMBERED.empty_table()
+        r = body.to_pylist()[0]
+        words = r["words"].split(b" ")
+        order, begin = dealt(words, parts)
+        ids, f = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        for p, i, n in zip(*(told.column(c).to_pylist() for c in ("part", "ids", "f")), strict=True):
+            at = order[begin[p] : begin[p + 1]]
+            ids[at], f[at] = np.frombuffer(i, dtype=np.int64), unpacked(n, len(at))
+        known = f > 0
+        to = np.concatenate([[START], np.where(known, np.cumsum(known), -1)]).astype(np.int32)
+        ids, f = np.concatenate([[0], ids[known]]), np.concatenate([[0], f[known]])
+        return table([_row(_NUMBERED, **{c: r[c] for c in ("shard", "rows", "begin", "held")}, places=to[np.frombuffer(r["places"], dtype=np.int32)].tobytes(), ids=ids.tobytes(), n=packed(f))], _NUMBERED)
+
+    return run
+
+
+def _ask_pairs(parts: int, form: np.dtype):
+    def run(body: pa.Table) -> pa.Table:
+        shard = Shard(body.to_pylist()[0])
+        context, word, of = shard.pairs()
+        n = np.bincount(of[of >= 0], weights=shard.trained[of >= 0], minlength=len(context)).astype(np.int64)
+        return table(asked(shard.number, [shard.ids[context], shard.ids[word]], n, parts, form), ASKED_ARROW)
+
+    return run
+
+
+def _answer_pairs(form: np.dtype):
+    def run(rows: pa.Table) -> pa.Table:
         """The part's table of pairs, and to each shard the counts it asked for and which of them are its own."""
         (context, word), f, place, begin = added(rows, 2, form)
         part, owner = rows.column("part")[0].as_py(), np.empty(len(f), dtype=np.int64)
         owner[place[::-1]] = np.arange(len(place))[::-1]  # who asked first
         own = owner[place] == np.arange(len(place))
-        told = [(s, part, packed(f[place[x:y]]), np.packbits(own[x:y]).tobytes(), None, None, None, None) for s, x, y in zip(rows.column("shard").to_pylist(), begin, begin[1:], strict=False)]
+        told = [_row(_PAIRS, shard=s, part=part, counts=packed(f[place[x:y]]), owned=np.packbits(own[x:y]).tobytes()) for s, x, y in zip(rows.column("shard").to_pylist(), begin, begin[1:], strict=False)]
         seen = f > 0
         of = np.bincount(np.minimum(f, GOOD_TURING + 2), minlength=GOOD_TURING + 3)[1 : GOOD_TURING + 2]
-        return table([*told, (None, part, None, None, context[seen].astype(np.int64), word[seen].astype(np.int64), f[seen], of)], _TOLD_ARROW)
+        return table([*told, _row(_PAIRS, part=part, context=context[seen].astype(np.int64), word=word[seen].astype(np.int64), count=f[seen], counts_of_counts=of)], _PAIRS)
+
+    return run
 
-    pairs = materialize(bodies.mapInArrow(ask, ASKED).groupBy("part").applyInArrow(answer, _TOLD), "lm-pairs")
-    of_pairs = pairs.where("context is not null").select([F.coalesce(F.sum(F.col("counts_of_counts")[r]), F.lit(0)) for r in range(GOOD_TURING + 1)]).first()
-    d = discounts([*of_pairs])
 
-    def contexts(told: pa.Table, body: pa.Table) -> pa.Table:
+def _ask_contexts(parts: int, form: np.dtype, words: Words, d: np.ndarray, n_start: int):
+    def run(told: pa.Table, body: pa.Table) -> pa.Table:
         """The shard with its pairs' counts, and for each of its contexts the sums over the pairs that it owns."""
-        out = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("places", "rows", "begin", "held", "ids", "n", "counts")), ("h", pa.int32()), ("id", pa.int64()), ("c", pa.int64()), ("seen", pa.float64()), ("lower", pa.float64())])
         if not body.num_rows:
-            return out.empty_table()
+            return _SEEN.empty_table()
         r = body.to_pylist()[0]
         shard = Shard(r)
         context, word, _ = shard.pairs()
@@ -300,44 +357,90 @@ def lm_scores(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> Data
         mine = owned & (n > 0)
         seen = np.bincount(context[mine], weights=discounted(n[mine], d), minlength=shard.base)
         lower = np.bincount(context[mine], weights=words.p(shard.n[word[mine]]), minlength=shard.base)
-        h = np.unique(shard.before[shard.before >= 0])  # also where only unknown words follow
-        first = pa.Table.from_pylist([r | {"counts": packed(n)}], schema=out)
-        more = pa.table({"shard": pa.array([shard.number] * len(h), pa.int64()), "h": pa.array(h, pa.int32()), "id": shard.ids[h], "c": np.where(h == START, n_start, shard.n[h]), "seen": seen[h], "lower": lower[h]})
-        return pa.concat_tables([first, pa.table({c: more.column(c) if c in more.column_names else pa.nulls(len(h), t) for c, t in zip(out.names, out.types, strict=True)}, schema=out)])
-
-    told = pairs.where("counts is not null").select("shard", "part", "counts", "owned")
-    seen = materialize(by_shard(told, bodies, contexts, _SEEN), "lm-contexts")
-    discard(pairs, bodies)
-    per = seen.where("h is not null").groupBy("id", "c").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).where("c > 0")
-    free = F.col("c") - F.col("seen")
-    whole = F.when(free > 0, F.col("c")).otherwise(F.col("c") + 1)
-    unseen = F.greatest(1 - F.col("lower"), F.lit(words.unknown))
-    weights = per.select("id", whole.alias("whole"), (F.when(free > 0, free).otherwise(1) / whole / unseen).alias("weight"))
-    weighed = seen.where("h is not null").select("shard", "h", "id").join(weights, "id").select("shard", "h", "whole", "weight")
-
-    def score(weighed: pa.Table, body: pa.Table) -> pa.Table:
-        out = pa.schema([("row", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        h = shard.contexts()
+        order, begin = deal([shard.ids[h]], parts)
+        c = np.where(h == START, n_start, shard.n[h])[order]
+        seen, lower, keys = seen[h][order], lower[h][order], shard.ids[h][order].astype(form)
+        asks = [_row(_SEEN, shard=shard.number, part=int(p), keys=keys[x:y].tobytes(), c=packed(c[x:y]), seen=seen[x:y].tobytes(), lower=lower[x:y].tobytes()) for p, x, y in zip(range(parts), begin, begin[1:], strict=False) if y > x]
+        return table([_row(_SEEN, **r, counts=packed(n)), *asks], _SEEN)
+
+    return run
+
+
+def _answer_contexts(form: np.dtype, unknown: float):
+    def run(rows: pa.Table) -> pa.Table:
+        """The part's table of backoff weights, and to each shard those of its contexts, negative where a context counts as seen once more."""
+        sent = [np.frombuffer(b, dtype=form) for b in rows.column("keys").to_pylist()]
+        all_of = lambda name: np.concatenate([np.frombuffer(b, dtype=np.float64) for b in rows.column(name).to_pylist()])
+        ids, first, place = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
+        c = np.concatenate([unpacked(b, len(s)) for b, s in zip(rows.column("c").to_pylist(), sent, strict=True)])[first]
+        free = c - np.bincount(place, weights=all_of("seen"))
+        unseen = np.maximum(1 - np.bincount(place, weights=all_of("lower")), unknown)
+        weight = np.where(c == 0, 1.0, np.where(free > 0, free / np.maximum(c, 1), -1 / (c + 1)) / unseen)
+        begin = np.concatenate([[0], np.cumsum([len(s) for s in sent])])
+        part = rows.column("part")[0].as_py()
+        told = [_row(_WEIGHTS, shard=s, part=part, weights=weight[place[x:y]].tobytes()) for s, x, y in zip(rows.column("shard").to_pylist(), begin, begin[1:], strict=False)]
+        return table([*told, _row(_WEIGHTS, part=part, id=ids.astype(np.int64), weight=weight)], _WEIGHTS)
+
+    return run
+
+
+def _score(parts: int, words: Words, d: np.ndarray, n_start: int):
+    def run(told: pa.Table, body: pa.Table) -> pa.Table:
         if not body.num_rows:
-            return out.empty_table()
+            return _SCORES.empty_table()
         r = body.to_pylist()[0]
         shard = Shard(r)
         context, word, of = shard.pairs()
         n = unpacked(r["counts"], len(context))
-        whole, weight = np.ones(shard.base), np.ones(shard.base)
-        h = weighed.column("h").to_numpy()
-        whole[h], weight[h] = weighed.column("whole").to_numpy(), weighed.column("weight").to_numpy()
+        h, weight = shard.contexts(), np.ones(shard.base)
+        order, begin = deal([shard.ids[h]], parts)
+        for p, weights in zip(told.column("part").to_pylist(), told.column("weights").to_pylist(), strict=True):
+            weight[h[order[begin[p] : begin[p + 1]]]] = np.frombuffer(weights, dtype=np.float64)
+        whole = np.concatenate([[n_start], shard.n[1:]]) + (weight < 0)
         count = np.where(shard.word >= 0, shard.n[shard.word], 0)
-        p = np.log10(words.p(count)) + np.where(shard.before >= 0, np.log10(weight)[shard.before], 0.0)
+        p = np.log10(words.p(count)) + np.where(shard.before >= 0, np.log10(np.abs(weight))[shard.before], 0.0)
         by_pair = np.log10(np.maximum(discounted(n, d), 1e-300) / whole[context])
         found = of >= 0
         found[found] = n[of[found]] > 0
         p[found] = by_pair[of[found]]
         add = lambda v: np.bincount(shard.doc, weights=v, minlength=len(shard.rows))
-        return pa.table([shard.rows, *(pa.array(add(v).astype(np.int64)) for v in (np.ones(len(p)), count > 0)), add(words.base(count)), add(p)], schema=out)
+        return pa.table([shard.rows, *(pa.array(add(v).astype(np.int64)) for v in (np.ones(len(p)), count > 0)), add(words.base(count)), add(p)], schema=_SCORES)
+
+    return run
 
-    body = seen.where("places is not null").select(*(c for c in seen.columns if c not in ("h", "id", "c", "seen", "lower")))
-    per_stretch = by_shard(weighed, body, score, _SCORES)
-    total = per_stretch.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
+
+def lm_scores(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``, learned from rows not held out."""
+    corpus = materialize(cut(docs, doc_id, text, held_out), "lm-shards")
+    keys = materialize(corpus.where("row is not null").select("row", "doc_id", "held_out"), "lm-documents")
+    bodies = corpus.where("places is not null")
+    n_sent = bodies.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    of_words = max(1, -(-n_sent // shards.PART))
+    asks = bodies.select("shard", "words", "n").mapInArrow(_ask_words(of_words), ddl(_ASK_WORDS))
+    vocabulary = materialize(asks.groupBy("part").applyInArrow(_answer_words(of_words), ddl(_WORDS)), "lm-words")
+    counts = [F.coalesce(F.sum(F.col("counts_of_counts")[r]), F.lit(0)) for r in range(GOOD_TURING + 1)]
+    learned = vocabulary.where("word is not null")
+    n_words, n_tokens, n_start, largest, *small = learned.agg(*(F.coalesce(x, F.lit(0)) for x in (F.sum(F.size("id")), F.sum("tokens"), F.sum("ends"), F.max(F.array_max("id")))), *counts).first()
+    words = Words(n_tokens, n_words, small)
+    form, parts = width(largest), max(1, -(-n_tokens // shards.PART))
+
+    told = vocabulary.where("ids is not null").select("shard", "part", "ids", "f")
+    numbered = materialize(by_shard(told, bodies.drop("n", "n_words", "row", "held_out", "doc_id"), _number(of_words), ddl(_NUMBERED)), "lm-places")
+    discard(corpus, vocabulary)
+    # One shard at a time, so that a task never holds several.
+    pairs = numbered.groupBy("shard").applyInArrow(_ask_pairs(parts, form), ASKED).groupBy("part").applyInArrow(_answer_pairs(form), ddl(_PAIRS))
+    pairs = materialize(pairs, "lm-pairs")
+    d = discounts([*pairs.where("context is not null").agg(*counts).first()])
+    told = pairs.where("counts is not null").select("shard", "part", "counts", "owned")
+    seen = materialize(by_shard(told, numbered, _ask_contexts(parts, form, words, d, n_start), ddl(_SEEN)), "lm-contexts")
+    discard(pairs, numbered)
+    weights = seen.where("keys is not null").select("part", "shard", "keys", "c", "seen", "lower").groupBy("part").applyInArrow(_answer_contexts(form, words.unknown), ddl(_WEIGHTS))
+    weights = materialize(weights, "lm-weights")
+    told = weights.where("weights is not null").select("shard", "part", "weights")
+    body = seen.where("places is not null").select(*_NUMBERED.names, "counts")
+    stretches = by_shard(told, body, _score(parts, words, d, n_start), ddl(_SCORES))
+    total = stretches.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     return keys.join(total, "row").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
