@@ -127,7 +127,7 @@ class Bitmaps:
     def of_words(cls, x: np.ndarray) -> Bitmaps:
         at = np.flatnonzero(x)
         at = at[np.argsort(x[at], kind="stable")]
-        word, block = x[at].astype(np.int64), at >> 3
+        word, block = x[at], (at >> 3).astype(np.int32)
         first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (block[1:] != block[:-1])])) if len(at) else at
         bit = np.left_shift(1, at & 7).astype(np.uint8)
         return cls(word[first], block[first], np.bitwise_or.reduceat(bit, first) if len(first) else bit)
@@ -150,8 +150,8 @@ class Shard:
         order = np.argsort(words.block, kind="stable")
         self.words = words.rows(order)  # by block
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(words.block, minlength=(len(x) >> 3) + 2))])
-        self.every, self.starts = words, Bitmaps.of_words(x[:n_start])
-        self.base = int(x.max(initial=0)) + 1
+        self.every, self.starts = words, words if n_start == len(x) else Bitmaps.of_words(x[:n_start])
+        self.base = np.int64(x.max(initial=0) + 1)
         self.end = x[n_start:].tolist()
 
     def extend(self, phrases: Bitmaps) -> tuple[np.ndarray, Bitmaps]:
@@ -182,7 +182,7 @@ class Shard:
         new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         n = np.add.reduceat(np.bitwise_count(rows.mask).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        return key[first] // self.base, key[first] % self.base, n, Bitmaps(np.cumsum(new) - 1, rows.block, rows.mask)
+        return (key[first] // self.base).astype(np.int32), (key[first] % self.base).astype(np.int32), n, Bitmaps(np.cumsum(new, dtype=np.int32) - 1, rows.block, rows.mask)
 
     @staticmethod
     def runs(words: Bitmaps) -> Iterator[Bitmaps]:
@@ -200,7 +200,7 @@ class Shard:
         a, b, n = (np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in range(3))
         for x, y in itertools.pairwise(self.end):
             if x and y:
-                n[np.searchsorted(a * self.base + b, x * self.base + y)] -= 1
+                n[np.searchsorted(a * self.base + b, x * self.base + y)] -= 1  # pairs are in order
         return a, b, n
 
     def longer(self, alive: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -248,12 +248,10 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int = LEAST) -> tuple[
     n_words, n_tokens = words.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
     form, parts = width(n_words), max(1, -(-n_tokens // shards.PART))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                number, shard, ids = _of(*(batch.column(c)[row].as_py() for c in ("shard", "n_start", "places", "ids")))
-                a, b, n = shard.pairs()
-                yield from table(asked(number, [ids[a], ids[b]], n, parts, form), ASKED_ARROW).to_batches()
+    def ask(body: pa.Table) -> pa.Table:
+        number, shard, ids = _of(*(body.column(c)[0].as_py() for c in ("shard", "n_start", "places", "ids")))
+        a, b, n = shard.pairs()
+        return table(asked(number, [ids[a], ids[b]], n, parts, form), ASKED_ARROW)
 
     def answer(rows: pa.Table) -> pa.Table:
         """Frequent pairs with their sums, and to each shard a bit for each of its keys."""
@@ -262,7 +260,7 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int = LEAST) -> tuple[
         told = [(s, part, np.packbits(good[place[x:y]]).tobytes(), None, None) for s, x, y in zip(rows.column("shard").to_pylist(), begin, begin[1:], strict=False)]
         return table(told + [(None, None, None, [int(x), int(y)], int(n)) for x, y, n in zip(a[good], b[good], f[good], strict=True)], pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("bits", pa.binary()), ("p", pa.list_(pa.int64())), ("f", pa.int64())]))
 
-    pairs = materialize(bitmaps.mapInArrow(ask, ASKED).groupBy("part").applyInArrow(answer, "shard long, part int, bits binary, p array<long>, f long"), "phrase-pairs")
+    pairs = materialize(bitmaps.groupBy("shard").applyInArrow(ask, ASKED).groupBy("part").applyInArrow(answer, "shard long, part int, bits binary, p array<long>, f long"), "phrase-pairs")
 
     def ask_longer(told: pa.Table, body: pa.Table) -> pa.Table:
         if not body.num_rows or not told.num_rows:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dockmill.plans.shared import materialize
 
-SHARD = 1 << 21
+SHARD = 1 << 20
 PART = 1 << 21  # keys that a part gets at most, on average
 SEGMENT = 1 << 20  # bytes of a text that are split at once
 
