@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 from dockmill.llm import shards
 from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, dense_ids, segments, table, width
 from dockmill.plans.ordering import numbered
-from dockmill.plans.shared import materialize, spread
+from dockmill.plans.shared import materialize, small, spread
 
 LEAST = 30
 LONGEST = 4
 TOP = 2000
+MAX_LANGUAGES = 100_000  # rows that are broadcast; more are joined by a shuffle
 ROWS = 300_000  # bytes of bitmaps that are extended at once
 
 #: A-Z lower-cased, tabs as blanks, ends of pieces as line feeds.
@@ -306,7 +307,7 @@ def collocations(docs: DataFrame, lang: str, text: str, *, least: int = LEAST, t
     # Numbered through all languages, so that a large one is no single task; a language's ranks count from its first number.
     ranked = numbered(named.drop("p", "w"), "at", "lang", F.col("score").desc(), F.col("a").desc(), "phrase")
     first = ranked.groupBy("lang").agg(F.min("at").alias("first")).join(totals, "lang")
-    return ranked.join(first, "lang").withColumn("rank", F.col("at") - F.col("first") + 1).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(small(first, MAX_LANGUAGES), "lang").withColumn("rank", F.col("at") - F.col("first") + 1).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op11_collocations(spark, sf_dir: str) -> DataFrame:
