@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from dockmill.plans.ordering import numbered
+from dockmill.operators.similarity import distinct_pairs
+from dockmill.plans.ordering import numbered, running
+from dockmill.plans.shared import discard, materialize
 from dockmill.sources.store import Store
 
+BLOCK_BITS = 12  # consecutive rows whose maxima run in one task
+
 
 def clustering(clusters: DataFrame, length: Column, least: int, threshold: float, method: str = "word-ngrams") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(``comment_clusters``, ``comment_cluster_membership``, ``clustering_status``) of (``k``, ``leader``) with what ``length`` needs.
@@ -118,31 +122,52 @@ def caption(shown: DataFrame, comments: DataFrame) -> DataFrame:
     return n.crossJoin(total).select(text.alias("caption"))  # one row each
 
 
+def _records(state: DataFrame) -> DataFrame:
+    """(``c``, ``node``, ``at``, ``until``): each cluster's longest members in turn, and the row that takes over.
+
+    Maxima run inside blocks of consecutive rows and over blocks, so a large
+    cluster is no single task.
+    """
+    blocked = state.withColumn("block", F.shiftright("i", BLOCK_BITS))
+    tops = blocked.groupBy("c", "block").agg(F.max("n").alias("top"))
+    before = tops.select("c", "block", F.max("top").over(Window.partitionBy("c").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    inside = F.max("n").over(Window.partitionBy("c", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
+    seen = blocked.withColumn("inside", inside).join(before, ["c", "block"])
+    new = seen.where(F.coalesce(F.col("n") > F.greatest("inside", "before"), F.lit(True)))
+    return new.select("c", "node", F.col("i").alias("at"), F.lead("i").over(Window.partitionBy("c").orderBy("i")).alias("until"))
+
+
 def first_match_clusters(rows: DataFrame, group: str, order: str, words: str, length: str, threshold: float = 0.8) -> DataFrame:
     """(``group``, ``order``, ``cluster``) by first match: a row joins the first cluster whose longest member is similar, else it founds one.
 
-    The longest member changes as a cluster grows, so the pass is serial inside
-    a group (a campaign, a day, a collection of bounded size); groups run side
-    by side.  ``words``: arrays of distinct words; two empty ones are not similar.
+    The longest member changes as a cluster grows, so where a row goes depends on
+    rows before it.  Starting from rows that stand alone, each round works out
+    every row's cluster from all clusters of the round before: which members were
+    the longest and for which rows, and which of them are similar to the row.  Rows
+    that depend on rows that are right are right, so the rounds end, after as many
+    as the longest chain of such dependencies, in what the serial pass gives.
+    Similar sets are found once, over distinct sets; a group may be the whole
+    table.  ``words``: arrays of words; two empty ones are not similar.
     """
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(order, kind="stable")
-        longest: list[tuple[int, frozenset]] = []
-        out = []
-        for w, n in zip(df[words], df[length], strict=True):
-            own = frozenset(w)
-            for number, (size, other) in enumerate(longest):
-                both = len(own & other)
-                if both and both >= threshold * (len(own) + len(other) - both):
-                    if n > size:
-                        longest[number] = n, own
-                    break
-            else:
-                number = len(longest)
-                longest.append((n, own))
-            out.append(number)
-        return pd.DataFrame({group: df[group], order: df[order], "cluster": out})
-
-    types = dict(rows.dtypes)
-    return rows.select(group, order, words, length).groupBy(group).applyInPandas(run, f"`{group}` {types[group]}, `{order}` {types[order]}, cluster long")
+    tagged = F.transform(F.array_distinct(words), lambda w: F.concat(F.coalesce(F.col(group).cast("string"), F.lit("")), F.lit("\x01"), F.col(group).isNull().cast("string"), F.lit("\x01"), w))
+    placed = numbered(rows.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(length), F.lit(0)).alias("n"), F.sort_array(tagged).alias("f")), "i", "g", "o")
+    placed = materialize(placed, "rows")
+    distinct = materialize(placed.where(F.size("f") > 0).groupBy("f").agg(F.min("i").alias("node")), "sets")
+    member = materialize(placed.join(distinct, "f", "left").select("g", "o", "i", "n", "node"), "members")
+    pairs = materialize(distinct_pairs(distinct, threshold).select("x", "y"), "pairs")
+    beside = materialize(pairs.unionAll(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).unionAll(distinct.select(F.col("node").alias("x"), F.col("node").alias("y"))), "beside")
+    state = materialize(member.select("i", "n", "node", F.col("i").alias("c")), "state")
+    while True:
+        near = _records(state).join(beside.withColumnRenamed("x", "node"), "node").select("y", "c", "at", "until")
+        joining = member.select(F.col("i").alias("r"), F.col("node").alias("y")).join(near, "y").where((F.col("r") > F.col("at")) & (F.col("until").isNull() | (F.col("r") <= F.col("until"))))
+        first = joining.groupBy("r").agg(F.min("c").alias("to"))
+        fresh = materialize(state.join(first, F.col("i") == F.col("r"), "left").select("i", "n", "node", F.coalesce("to", "i").alias("c"), F.col("c").alias("old")), "state")
+        discard(state)
+        state = fresh
+        if not fresh.where("c <> old").limit(1).count():
+            break
+    founders = running(member.select("g", "i").join(state.where("c = i").select("i"), "i"), {"nr": F.lit(1).cast("long")}, "i")
+    founders = materialize(founders.select("g", F.col("i").alias("c"), "nr"), "founders")
+    least = founders.groupBy("g").agg(F.min("nr").alias("least")).withColumnRenamed("g", "__g")
+    number = founders.join(least, F.col("g").eqNullSafe(F.col("__g"))).select("c", (F.col("nr") - F.col("least")).alias("cluster"))
+    return member.select("g", "o", "i").join(state.select("i", "c"), "i").join(number, "c").select(F.col("g").alias(group), F.col("o").alias(order), "cluster")
