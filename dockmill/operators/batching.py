@@ -1,18 +1,23 @@
 """Word budgets: samples, sequential and even batches, merge trees.
 
-Sequential and even batches are folds over one group's items in order, so they
-run per group; an item is its id and word count, never its text.
+Items are an id and a word count, never a text.  Sequential batches come from
+running sums and jumps, even batches from counts of equal weights, so a group may
+be as large as the table.
 """
 
 from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dockmill.plans.ordering import numbered, running
+from dockmill.plans.shared import materialize
+
 
 def budget_sample(rows: DataFrame, words: str, budget: int, key: str, filled: float = 0.9, digits: int = 4) -> DataFrame:
     """Rows in order of ``key`` until one would exceed the budget when 90 % of it is used already.
@@ -34,38 +39,97 @@ def budget_sample(rows: DataFrame, words: str, budget: int, key: str, filled: fl
 
 
 def sequential_batches(rows: DataFrame, group: str, order: str, words: str, total_limit: int, batch_limit: int) -> DataFrame:
-    """``batch`` numbers from 1: a new batch where the limit would be exceeded; one batch if all fits ``total_limit``."""
-
-    def deal(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values([order, words], kind="stable")
-        number, filled, out = 1, 0, []
-        cut = df[words].sum() > total_limit
-        for w in df[words].to_list():
-            if cut and filled and filled + w > batch_limit:
-                number, filled = number + 1, 0
-            filled += w
-            out.append(number)
-        return pd.DataFrame({group: df[group], order: df[order], "batch": out})
-
-    types = dict(rows.dtypes)
-    return rows.select(group, order, words).groupBy(group).applyInPandas(deal, f"`{group}` {types[group]}, `{order}` {types[order]}, batch long")
+    """``batch`` numbers from 1: a new batch where the limit would be exceeded; one batch if all fits ``total_limit``.
+
+    A batch that began with item i ends before the first item whose running sum
+    exceeds that before i by more than the limit, so every item has a successor:
+    the item that would begin the next batch if it began one.  Running sums find
+    the successors, and those that follow each other from a group's first item are
+    found by doubling: each round joins jumps of 2, 4, 8 ... batches, as many
+    rounds as the most batches of a group have bits.  Groups may be of any size.
+    """
+    items = rows.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(words).cast("long"), F.lit(0)).alias("w"))
+    items = materialize(running(items, {"upto": F.col("w"), "i": F.lit(1).cast("long")}, "g", "o", "w"), "items")
+    per = items.groupBy("g").agg(F.min("i").alias("first"), F.max("i").alias("last"), F.sum("w").alias("total")).where(F.col("total") > total_limit)
+    cut = items.join(per.withColumnRenamed("g", "__g"), F.col("g").eqNullSafe(F.col("__g")))
+    before = F.col("upto") - F.col("w")
+    # How many items have a sum up to that before i, and up to that and the limit.
+    asked = cut.select("i", "first", "last", F.explode(F.array(F.struct(before.alias("v"), F.lit(0).alias("kind")), F.struct((before + batch_limit).alias("v"), F.lit(1).alias("kind")))).alias("q"))
+    line = items.select(F.col("upto").alias("v"), F.lit(-1).alias("kind"), "i", F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last")).unionAll(asked.select("q.v", "q.kind", "i", "first", "last"))
+    counted = running(line, {"n": (F.col("kind") < 0).cast("long")}, "v", "kind", "i").where("kind >= 0")
+    over = F.max(F.when(F.col("kind") == 1, F.col("n"))) + 1
+    # An item above the limit, with nothing or only empty ones before it, fills a batch of its own.
+    next_ = over + F.when(F.max(F.when(F.col("kind") == 0, F.col("n"))) < over - 1, 0).otherwise(1)
+    jump = materialize(counted.groupBy("i", "first", "last").agg(next_.alias("to")).where(F.col("to") <= F.col("last")).select("i", "to"), "jumps")
+    jumps = [jump]
+    while jumps[-1].limit(1).count():
+        again = jumps[-1].select(F.col("i").alias("to"), F.col("to").alias("on"))
+        jumps.append(materialize(jumps[-1].join(again, "to").select("i", F.col("on").alias("to")), "jumps"))
+    starts = items.groupBy("g").agg(F.min("i").alias("i")).select("i")
+    for jump in reversed(jumps[:-1]):
+        starts = materialize(starts.unionAll(starts.join(jump, "i").select(F.col("to").alias("i"))), "starts")
+    marked = items.select("g", "o", "i").join(starts.withColumn("start", F.lit(1)), "i", "left")
+    numbered = materialize(running(marked, {"n": F.coalesce("start", F.lit(0)).cast("long")}, "i"), "batches")
+    least = numbered.groupBy("g").agg(F.min("n").alias("least")).withColumnRenamed("g", "__g")
+    return numbered.join(least, F.col("g").eqNullSafe(F.col("__g"))).select(F.col("g").alias(group), F.col("o").alias(order), (F.col("n") - F.col("least") + 1).alias("batch"))
+
+
+def _poured(weights: list[int], counts: list[int], batch_limit: int) -> list[tuple[int, int, int, int]]:
+    """(weight, batch, its load before, how many items of the weight it gets) when items, largest first, each go to the smallest batch.
+
+    ``weights`` descend.  Items of one weight w fill a batch of load l up at l, l + w,
+    l + 2 w ...; of these marks of all batches the smallest are taken, as many as
+    there are items.  Few items are dealt one by one, many by the level they reach.
+    """
+    k = max(1, -(-sum(w * c for w, c in zip(weights, counts, strict=True)) // batch_limit))
+    heap, out = [(0, b) for b in range(k)], []
+    for w, c in zip(weights, counts, strict=True):
+        if w == 0:
+            out.append((w, heap[0][1], heap[0][0], c))
+        elif 8 * c < k:
+            for _ in range(c):
+                load, b = heap[0]
+                heapq.heapreplace(heap, (load + w, b))
+                out.append((w, b, load, 1))
+        else:
+            load = np.empty(k, dtype=np.int64)
+            load[[b for _, b in heap]] = [x for x, _ in heap]
+            below = lambda x: np.maximum((x - load) // w + 1, 0)  # noqa: B023, E731  marks up to x
+            low, high = int(load.min()), int(load.max()) + w * (c // k + 1)
+            while low < high:
+                low, high = ((low + high) // 2 + 1, high) if below((low + high) // 2).sum() < c else (low, (low + high) // 2)
+            n = below(low - 1)
+            at = np.flatnonzero((low >= load) & ((low - load) % w == 0))[: c - int(n.sum())]
+            n[at] += 1
+            some = np.flatnonzero(n)
+            out += zip([w] * len(some), some.tolist(), load[some].tolist(), n[some].tolist(), strict=True)
+            heap = list(zip((load + n * w).tolist(), range(k), strict=True))
+            heapq.heapify(heap)
+    return out
 
 
 def even_batches(rows: DataFrame, group: str, order: str, words: str, batch_limit: int) -> DataFrame:
-    """``batch`` numbers from 0: as many batches as the words need, each item (largest first) to the smallest batch."""
-
-    def deal(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(order, kind="stable").reset_index(drop=True)
-        k = max(1, -(-int(df[words].sum()) // batch_limit))
-        heap, batch = [(0, b) for b in range(k)], [0] * len(df)
-        for i in df[words].sort_values(ascending=False, kind="stable").index:
-            size, b = heapq.heappop(heap)
-            batch[i] = b
-            heapq.heappush(heap, (size + int(df[words][i]), b))
-        return pd.DataFrame({group: df[group], order: df[order], "batch": batch})
-
-    types = dict(rows.dtypes)
-    return rows.select(group, order, words).groupBy(group).applyInPandas(deal, f"`{group}` {types[group]}, `{order}` {types[order]}, batch long")
+    """``batch`` numbers from 0: as many batches as the words need, each item (largest first) to the smallest batch.
+
+    A group's task sees how many items have which number of words, and says how
+    many of them each batch gets from which load on; items and these places are
+    then numbered in one order, by ranges, and matched by number.
+    """
+    items = rows.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(words).cast("long"), F.lit(0)).alias("w"))
+    ranked = numbered(items, "i", "g", F.col("w").desc(), "o")
+    counts = items.groupBy("g", "w").agg(F.count("*").alias("c"))
+
+    def deal(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("w", ascending=False)
+        out = pd.DataFrame(_poured(df["w"].to_list(), df["c"].to_list(), batch_limit), columns=["w", "batch", "load", "n"])
+        out.insert(0, "g", pd.Series([key[0]] * len(out), dtype=object))
+        return out
+
+    kind = dict(items.dtypes)["g"]
+    places = counts.groupBy("g").applyInPandas(deal, f"g {kind}, w long, batch long, load long, n long")
+    each = places.select("g", "w", "batch", "load", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("m"))
+    slots = numbered(each.select("g", "w", "batch", (F.col("load") + F.col("m") * F.col("w")).alias("mark")), "i", "g", F.col("w").desc(), "mark", "batch")
+    return ranked.select("g", "o", "i").join(slots.select("i", "batch"), "i").select(F.col("g").alias(group), F.col("o").alias(order), "batch")
 
 
 def merge_groups(n: Column, i: Column, width: int) -> Column:

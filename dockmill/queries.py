@@ -359,7 +359,10 @@ def sequential_batches(v: Views) -> DataFrame:
     return batching.sequential_batches(rows, "conv_id", "turn", "w", 60, 40)
 
 
-@query()
+@query(r"""/*recursive*/ WITH x AS (SELECT conv_id, turn, len(regexp_extract_all(text, '[^ \t\n\r]+')) AS w, row_number() OVER (PARTITION BY conv_id ORDER BY len(regexp_extract_all(text, '[^ \t\n\r]+')) DESC, turn) AS i0, cast(greatest(1, ceil(sum(len(regexp_extract_all(text, '[^ \t\n\r]+'))) OVER (PARTITION BY conv_id) / 40)) AS bigint) AS k FROM conversations),
+r AS (SELECT DISTINCT conv_id, 0::bigint AS i0, NULL::bigint AS turn, NULL::bigint AS batch, list_transform(range(k), lambda b: 0::bigint) AS loads FROM x UNION ALL
+SELECT x.conv_id, x.i0, x.turn, list_position(loads, list_min(loads)) - 1, list_transform(range(1, len(loads) + 1), lambda b: CASE WHEN b = list_position(loads, list_min(loads)) THEN loads[b] + x.w ELSE loads[b] END) FROM r JOIN x ON x.conv_id = r.conv_id AND x.i0 = r.i0 + 1)
+SELECT conv_id, turn, batch FROM r WHERE i0 > 0""")
 def even_batches(v: Views) -> DataFrame:
     rows = v.table("conversations").select("conv_id", "turn", t.word_count(F.col("text")).cast("long").alias("w"))
     return batching.even_batches(rows, "conv_id", "turn", "w", 40)
@@ -383,10 +386,13 @@ def _searchable(v: Views) -> DataFrame:
     return c.withColumns({"theme_scores": scores, "entities": named, "submitter_type": F.col("category"), "is_representative": F.when(F.col("ord") % 11 != 0, F.col("ord") % 2 == 0)})
 
 
-def _search(v: Views, q: str) -> DataFrame:
-    c = v.comments()
-    index = search_index.index_of(c.select("id", "comment", "organization"), explore.search_text(F.col("comment"), F.col("organization"), F.col("id")), "comments")
-    return index.search(explore.parse_search(q)).select("id")
+def _index(v: Views) -> search_index.TextIndex:
+    keep = ["id", "theme_scores", "entities", "submitter_type"]
+    return search_index.index_of(_searchable(v), F.col("search_text"), "comments", keep=keep, facets=search_index.comment_facets())
+
+
+def _search(v: Views, q: str = "", **facets) -> DataFrame:
+    return _index(v).search(explore.parse_search(q), search_index.wanted_facets(**facets)).select("id")
 
 
 @query(f"SELECT id FROM fx_comments WHERE contains({TEXT}, 'thre') AND contains({TEXT}, 'org')")
@@ -411,22 +417,28 @@ def search_phrase(v: Views) -> DataFrame:
 
 @query("SELECT id FROM fx_comments WHERE ord % 4 IN (1, 2) OR ord % 3 IN (1, 2)")
 def facet_theme(v: Views) -> DataFrame:
-    return explore.facets(_searchable(v), themes=["1", "2.1", "9"]).select("id")
+    return _search(v, themes=["1", "2.1", "9"])
 
 
 @query("SELECT id FROM fx_comments WHERE ord % 7 = 0 AND region IN ('de', 'fr')")
 def facet_entity(v: Views) -> DataFrame:
-    return explore.facets(_searchable(v), entities=[("Place", "de"), ("Place", "fr")]).select("id")
+    return _search(v, entities=[("Place", "de"), ("Place", "fr")])
 
 
 @query("SELECT id FROM fx_comments WHERE category IN ('src1', 'src2')")
 def facet_type(v: Views) -> DataFrame:
-    return explore.facets(_searchable(v), types=["src1", "src2"]).select("id")
+    return _search(v, types=["src1", "src2"])
 
 
 @query(f"SELECT id FROM fx_comments WHERE category IN ('src1', 'src2', 'src3') AND ord % 4 IN (1, 2) AND contains({TEXT}, 'en')")
 def facet_combined(v: Views) -> DataFrame:
-    return explore.facets(_searchable(v), types=["src1", "src2", "src3"], themes=["1"], tokens=explore.parse_search("en")).select("id")
+    return _search(v, "en", types=["src1", "src2", "src3"], themes=["1"])
+
+
+@query(f"SELECT category AS value, count(*) AS n FROM fx_comments WHERE ord % 4 IN (1, 2) AND contains({TEXT}, 'ting') AND NOT contains({TEXT}, 'org src1') GROUP BY 1")
+def facet_counts(v: Views) -> DataFrame:
+    """How many comments on a theme that a search finds each submitter type has."""
+    return _index(v).counts("type", explore.parse_search('ting -"org src1"'), search_index.wanted_facets(themes=["1"]))
 
 
 @query("SELECT id FROM fx_comments WHERE ord % 11 <> 0 AND ord % 2 = 0")

@@ -84,3 +84,22 @@ def test_empty_tables_clashes_and_reuse(spark, tmp_path):
     rows.write.mode("append").parquet(f"{tmp_path}/t")
     fresh = index_of(spark.read.parquet(f"{tmp_path}/t"), F.col("text"), "t")
     assert fresh.path != built.path and fresh.search(parse_search("needle")).count() == 2
+
+
+def test_facets_and_their_counts(spark):
+    from collections import Counter
+
+    from dockmill.operators.explore import facets, search_text
+    from dockmill.operators.search_index import comment_facets, wanted_facets
+
+    rng = random.Random(4)
+    rows = [(i, t, {rng.choice("12"): rng.randrange(4) for _ in range(2)} if i % 9 else None, [(rng.choice("AB"), rng.choice("xy")) for _ in range(rng.randrange(3))], rng.choice(["p", "q", None])) for i, t in enumerate(texts(300, 8))]
+    df = spark.createDataFrame(rows, "id long, comment string, theme_scores map<string,int>, entities array<struct<category:string,label:string>>, submitter_type string").repartition(3)
+    df = df.withColumn("search_text", search_text(F.col("comment"))).cache()
+    built = TextIndex.build(df, F.col("search_text"), facets=comment_facets(), part_bits=6)
+    for query, chosen in itertools.product(["", "them -the", "t", "-no"], [{}, {"themes": ["1", "9"]}, {"themes": ["2"], "max_score": 1, "types": ["p"]}, {"entities": [("A", "x"), ("B", "y")]}, {"types": ["zz"]}]):
+        tokens = parse_search(query)
+        want = facets(df, tokens=tokens, **chosen).select("id", "submitter_type").collect()
+        assert sorted(r.id for r in built.search(tokens, wanted_facets(**chosen)).collect()) == sorted(r.id for r in want)
+        counted = {r.value: r.n for r in built.counts("type", tokens, wanted_facets(**chosen)).collect()}
+        assert counted == {k: n for k, n in Counter(r.submitter_type for r in want).items() if k}
