@@ -96,10 +96,11 @@ def _files(base: str, attachment: str, fetch: Fetch, download: bool) -> Iterator
             yield {"id": f.get("formatId") or attachment, "format": kind, "file_name": f"{attachment}.{kind}", "url": url, "size": size or None, "blob_data": blob}
 
 
-def fetch_details(ids: DataFrame, base: str, fetch: Fetch, *, download: bool = True) -> DataFrame:
+def fetch_details(ids: DataFrame, base: str, fetch: Fetch, *, download: bool = True, report: bool = False) -> DataFrame:
     """(``id``, ``attributes_json``, ``attachments`` with their bytes); a comment with an attachment that fails is left out whole.
 
     ``download=False`` keeps the list of files and leaves their bytes out.
+    ``report=True`` gives those that failed too, with nulls and the reason in ``error``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,11 +110,14 @@ def fetch_details(ids: DataFrame, base: str, fetch: Fetch, *, download: bool = T
                     got = fetch(f"{base}/comments/{i}?include=attachments")["data"]
                     listed = ((got.get("relationships") or {}).get("attachments") or {}).get("data") or []
                     files = [f for a in listed for f in _files(base, a["id"], fetch, download)]
-                except (KeyError, OSError, ValueError):
-                    continue
-                yield pd.DataFrame([(i, json.dumps(got["attributes"]), files)], columns=["id", "attributes_json", "attachments"])
+                    row = (i, json.dumps(got["attributes"]), files, None)
+                except (KeyError, OSError, ValueError) as e:
+                    row = (i, None, None, f"{type(e).__name__}: {e}")
+                if report or row[3] is None:
+                    yield pd.DataFrame([row], columns=["id", "attributes_json", "attachments", "error"])
 
-    return ids.select("id").mapInPandas(run, _DETAILS)
+    found = ids.select("id").mapInPandas(run, f"{_DETAILS}, error string")
+    return found if report else found.drop("error")
 
 
 METADATA = ["docketId", "agencyId", "agencyName", "documentType", "title", "postedDate", "commentStartDate", "commentEndDate"]
@@ -139,18 +143,14 @@ def fetch_metadata(ids: DataFrame, base: str, fetch: Fetch, stored: DataFrame |
 
 
 def load_document(spark: SparkSession, base: str, document_id: str, fetch: Fetch, stored: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Details of a document's comments that are not stored yet.
-
-    The list pages come one after the other by the API's nature; the details are
-    fetched by executors.
-    """
+    """Details of a document's comments that are not stored yet; executors read the list's pages and the details."""
     from dockmill.operators.collection import only_new
+    from dockmill.sources.paged import listed
 
     object_id = fetch(f"{base}/documents/{document_id}")["data"]["attributes"]["objectId"]
-    rows = [(r["id"], n) for n, r in enumerate(list_comments(base, object_id, fetch), 1)]
-    listed = spark.createDataFrame(rows, "id string, ord long")
+    rows = listed(spark, base, object_id, fetch).select("id", "ord")
     if stored is not None:
-        listed = only_new(listed, stored, "id", limit)
+        rows = only_new(rows, stored, "id", limit)
     elif limit is not None:
-        listed = listed.orderBy("ord").limit(limit)
-    return fetch_details(listed.where(F.col("id").isNotNull()), base, fetch)
+        rows = rows.orderBy("ord").limit(limit)
+    return fetch_details(rows.where(F.col("id").isNotNull()), base, fetch)
