@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmill.llm import shards
-from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, packed, segments, table, unpacked, width
+from dockmill.llm.shards import ASKED, ASKED_ARROW, Numbers, added, asked, by_shard, deal, expanded, packed, segments, squeezed, table, unpacked, width
 from dockmill.plans.shared import discard, materialize, spread
 
 GOOD_TURING = 5
@@ -141,7 +141,7 @@ def cut(docs: DataFrame, doc_id: str, text: str, held_out: Column) -> DataFrame:
 
     def shard_row(id_type: pa.DataType, shard, words, n, places, docs) -> pa.RecordBatch:
         rows, begin, held = docs
-        return batch_of(1, id_type, shard=[shard], n_words=[len(words)], words=[joined(words)], n=[packed(n)], places=[places.tobytes()], rows=[rows.tobytes()], begin=[begin.tobytes()], held=[held.tobytes()])
+        return batch_of(1, id_type, shard=[shard], n_words=[len(words)], words=[joined(words)], n=[packed(n)], places=[squeezed(places)], rows=[rows.tobytes()], begin=[begin.tobytes()], held=[held.tobytes()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -208,7 +208,7 @@ class Shard:
 
     def __init__(self, r: dict):
         self.number = r["shard"]
-        x = np.frombuffer(r["places"], dtype=np.int32)
+        x = expanded(r["places"], np.int32)
         self.ids = np.frombuffer(r["ids"], dtype=np.int64)
         self.n = unpacked(r["n"], len(self.ids))
         self.rows, begin = (np.frombuffer(r[c], dtype=np.int64) for c in ("rows", "begin"))
@@ -314,7 +314,7 @@ def _number(parts: int):
         known = f > 0
         to = np.concatenate([[START], np.where(known, np.cumsum(known), -1)]).astype(np.int32)
         ids, f = np.concatenate([[0], ids[known]]), np.concatenate([[0], f[known]])
-        return table([_row(_NUMBERED, **{c: r[c] for c in ("shard", "rows", "begin", "held")}, places=to[np.frombuffer(r["places"], dtype=np.int32)].tobytes(), ids=ids.tobytes(), n=packed(f))], _NUMBERED)
+        return table([_row(_NUMBERED, **{c: r[c] for c in ("shard", "rows", "begin", "held")}, places=squeezed(to[expanded(r["places"], np.int32)]), ids=ids.tobytes(), n=packed(f))], _NUMBERED)
 
     return run
 

@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,13 +80,24 @@ def width(largest: int) -> np.dtype:
 
 
 def packed(n: np.ndarray) -> bytes:
-    """Counts in as many bytes each as the largest needs."""
-    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+    """Counts as a byte each; those from 255 on follow in full."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes()
 
 
 def unpacked(blob: bytes, size: int) -> np.ndarray:
     """``size`` counts."""
-    return np.frombuffer(blob, dtype=f"u{len(blob) // max(size, 1) or 1}").astype(np.int64)
+    n = np.frombuffer(blob, dtype=np.uint8, count=size).astype(np.int64)
+    n[n == 255] = np.frombuffer(blob, dtype=np.int64, offset=size)
+    return n
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """An array in less space than the exchange's own compression takes."""
+    return zstandard.compress(x.tobytes(), 1)
+
+
+def expanded(blob: bytes, form: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), dtype=form)
 
 
 def asked(shard: int, columns: list[np.ndarray], n: np.ndarray, parts: int, form: np.dtype) -> list[tuple]:
