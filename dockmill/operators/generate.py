@@ -9,14 +9,14 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from dockmill.plans.shared import materialize
+from dockmill.operators.answers import asked
+from dockmill.plans.shared import materialize, new_path
 
 Provider = Callable[[str], str]
 
@@ -64,16 +64,18 @@ def with_timeout(call: Provider, seconds: float) -> Provider:
     return run
 
 
-def generate(prompts: DataFrame, prompt: str, model: str, cache: DataFrame | None = None, *, task_type: str = "generate", concurrency: int | None = None, post: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def generate(prompts: DataFrame, prompt: str, model: str, cache: DataFrame | None = None, *, task_type: str = "generate", concurrency: int | None = None, post: Callable[[Column], Column] | None = None, log: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(``prompts`` with ``prompt_hash``, ``result`` and, with ``post``, ``parsed``; new cache rows).
 
     ``post`` turns a result into what the caller wants, NULL if it can't.  A
     cached result that is blank or that ``post`` can't use is asked for again,
     and the fresh one counts.  A prompt has one result however many rows the
-    cache has for it: the latest usable one.
+    cache has for it: the latest usable one.  ``log``: a folder that keeps answers as
+    they come (:mod:`dockmill.operators.answers`), for another run to go on from; by
+    default a new one, which saves them from tasks that fail.
     """
     keyed = prompts.withColumn("prompt_hash", F.sha2(F.concat_ws("\n", F.lit(model), F.col(prompt)), 256))
-    return _answered(keyed, F.col(prompt), "string", with_retry(provider(model)), model, cache, task_type, concurrency, post)
+    return _answered(keyed, F.col(prompt), "string", with_retry(provider(model)), model, cache, task_type, concurrency, post, log)
 
 
 PARTS = "array<struct<mime:string,text:string,data:binary>>"
@@ -94,16 +96,16 @@ def parts_key(model: str, parts: Column) -> Column:
     return F.sha2(F.concat_ws("\n", F.lit(model), F.array_join(of, "\n")), 256)
 
 
-def generate_multimodal(rows: DataFrame, parts: str, model: str, cache: DataFrame | None = None, *, task_type: str = "multimodal", concurrency: int | None = None, post: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def generate_multimodal(rows: DataFrame, parts: str, model: str, cache: DataFrame | None = None, *, task_type: str = "multimodal", concurrency: int | None = None, post: Callable[[Column], Column] | None = None, log: str | None = None) -> tuple[DataFrame, DataFrame]:
     """:func:`generate` for a column of typed parts (``PARTS``) in place of a prompt."""
     if model not in MULTIMODAL:
         raise KeyError(f"unknown model {model!r}; known: {sorted(MULTIMODAL)}")
     keyed = rows.withColumn("prompt_hash", parts_key(model, F.col(parts)))
     call = with_retry(MULTIMODAL[model])
-    return _answered(keyed, F.col(parts), PARTS, lambda p: call([dict(x) for x in p]), model, cache, task_type, concurrency, post)
+    return _answered(keyed, F.col(parts), PARTS, lambda p: call([x.asDict() if isinstance(x, Row) else dict(x) for x in p]), model, cache, task_type, concurrency, post, log)
 
 
-def _answered(keyed: DataFrame, payload: Column, kind: str, call: Callable, model: str, cache: DataFrame | None, task_type: str, concurrency: int | None, post) -> tuple[DataFrame, DataFrame]:
+def _answered(keyed: DataFrame, payload: Column, kind: str, call: Callable, model: str, cache: DataFrame | None, task_type: str, concurrency: int | None, post, log: str | None) -> tuple[DataFrame, DataFrame]:
     wanted = keyed.select("prompt_hash", payload.cast(kind).alias("payload")).dropDuplicates(["prompt_hash"])
     usable = None
     if cache is not None:
@@ -116,11 +118,7 @@ def _answered(keyed: DataFrame, payload: Column, kind: str, call: Callable, mode
     if concurrency:
         wanted = wanted.repartition(concurrency)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
-            yield pd.DataFrame({"prompt_hash": df["prompt_hash"], "result": [call(p) for p in df["payload"]]})
-
-    fresh = wanted.mapInPandas(run, "prompt_hash string, result string")
+    fresh = asked(wanted, call, new_path(wanted.sparkSession, "answers") if log is None else log)
     fresh = fresh.select("prompt_hash", F.lit(task_type).alias("task_type"), "result", F.lit(model).alias("model"), F.current_timestamp().alias("created_at"))
     fresh = materialize(fresh, "generated")  # a provider is asked once
     known = fresh.select("prompt_hash", "result")
