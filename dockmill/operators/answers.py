@@ -14,7 +14,6 @@ any URI that Arrow's file systems know (``s3a://`` is read as ``s3://``).
 
 from __future__ import annotations
 
-import hashlib
 import json
 import time
 import uuid
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-BUCKETS = 1024
+BUCKETS = 256
 SECONDS = 2.0
 MOST = 1000
 ANSWER = "prompt_hash string, result string"
@@ -37,10 +36,6 @@ def _system(uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-def bucket_of(prompt_hash: str) -> int:
-    return int.from_bytes(hashlib.blake2b(prompt_hash.encode(), digest_size=4).digest()) % BUCKETS
-
-
 @dataclass
 class Written(WriterCommitMessage):
     asked: int
@@ -82,7 +77,7 @@ class _Writer(DataSourceWriter):
         asked, found, since = 0, 0, time.monotonic()
         try:
             for row in iterator:
-                bucket = bucket_of(row["prompt_hash"])
+                bucket = row["bucket"]
                 if bucket not in known:
                     known[bucket] = self._known(bucket)
                 if row["prompt_hash"] in known[bucket]:
@@ -118,12 +113,18 @@ def _source(call: Callable) -> type[DataSource]:
     return AnswerLog
 
 
-def asked(prompts: DataFrame, call: Callable, root: str) -> DataFrame:
-    """(``prompt_hash``, ``result``) of distinct ``prompts`` (``prompt_hash``, ``payload``), from the log at ``root`` where it has them."""
+def asked(prompts: DataFrame, call: Callable, root: str, tasks: int | None = None) -> DataFrame:
+    """(``prompt_hash``, ``result``) of distinct ``prompts`` (``prompt_hash``, ``payload``), from the log at ``root`` where it has them.
+
+    ``tasks`` ask side by side, by default as many as there are cores; each has
+    buckets of its own, and so reads and writes these only.
+    """
     spark = prompts.sparkSession
     system, path = _system(root)
     system.create_dir(path, recursive=True)
     spark.dataSource.register(_source(call))
-    prompts.select("prompt_hash", "payload").write.format("answer_log").mode("append").option("root", root).save()
+    bucket = F.pmod(F.xxhash64("prompt_hash"), F.lit(BUCKETS)).cast("int")
+    dealt = prompts.select("prompt_hash", "payload", bucket.alias("bucket")).repartition(tasks or spark.sparkContext.defaultParallelism, "bucket")
+    dealt.write.format("answer_log").mode("append").option("root", root).save()
     log = spark.read.schema(ANSWER).option("recursiveFileLookup", "true").json(root).where(F.col("prompt_hash").isNotNull())
     return log.join(prompts.select("prompt_hash"), "prompt_hash", "left_semi").groupBy("prompt_hash").agg(F.max("result").alias("result"))

@@ -169,6 +169,36 @@ def export_comments(comments: DataFrame, extracts: DataFrame, entities: DataFram
     )
 
 
+def shown_sections(sections: Column, transcription: Column) -> Column:
+    """A comment's sections; a transcription takes the place of the detailed content."""
+    none = F.create_map().cast("map<string,string>")
+    others = F.map_filter(F.coalesce(sections, none), lambda k, _: k != "detailedContent")
+    return F.when(given(transcription).isNull(), sections).otherwise(F.map_concat(others, F.create_map(F.lit("detailedContent"), transcription)))
+
+
+def export_records(comments: DataFrame, extracts: DataFrame, entities: DataFrame, membership: DataFrame) -> DataFrame:
+    """The records of a browser's comment list, one a comment.
+
+    ``comments``: ``id``, ``document_id``, ``attributes_json``, ``word_count``,
+    ``structured_sections`` (map), ``transcription_markdown``, ``attachment_count``.
+    """
+    at = lambda name: given(F.get_json_object("attributes_json", f"$.{name}"))
+    linked = export_comments(comments.select("id"), extracts, entities, membership)
+    organization, names = at("organization"), given(F.trim(F.concat_ws(" ", at("firstName"), at("lastName"))))
+    own = comments.select(
+        "id",
+        "document_id",
+        F.coalesce(organization, names, F.lit("Anonymous")).alias("submitter"),
+        F.coalesce(at("category"), F.when(organization.isNotNull(), "Organization").otherwise("Individual")).alias("submitter_type"),
+        F.coalesce(at("postedDate"), at("receiveDate")).alias("date"),
+        F.concat_ws(", ", at("city"), at("stateProvinceRegion"), at("country")).alias("location"),
+        shown_sections(F.col("structured_sections"), F.col("transcription_markdown")).alias("structured_sections"),
+        (F.coalesce("attachment_count", F.lit(0)) > 0).alias("has_attachments"),
+        F.coalesce(F.col("word_count").cast("long"), F.lit(0).cast("long")).alias("word_count"),
+    )
+    return own.join(linked.withColumn("theme_scores", theme_scores(F.col("theme_codes"))).drop("theme_codes"), "id")
+
+
 def theme_scores(codes: Column) -> Column:
     """Map from each theme code to 1."""
     return F.map_from_arrays(codes, F.transform(codes, lambda c: F.lit(1)))
@@ -279,3 +309,24 @@ def last_posted(comments: DataFrame) -> DataFrame:
 def aligned_catalogue(collections: DataFrame) -> DataFrame:
     """Catalogue of collections, latest first."""
     return collections.withColumn("title", first_given("title", "document_id")).withColumn("agency", first_given("agency_name", "agency_id", F.lit("Unknown"))).orderBy(F.desc("last_date"), "document_id")
+
+
+def catalogue_rows(comments: DataFrame, metadata: DataFrame, themes: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row a collection (``document_id`` in all four), latest first: its names, counts and the date of its last comment.
+
+    The date is the end of the comment period, or that of the latest comment where no
+    end is known.  Of several rows of ``metadata`` for a collection the first by title counts.
+    """
+    count = lambda rows, name: rows.groupBy("document_id").agg(F.count("*").alias(name))
+    per = comments.groupBy("document_id").agg(F.count("*").alias("comment_count"), F.max(F.get_json_object("attributes_json", "$.postedDate")).alias("__latest"))
+    known = metadata.groupBy("document_id").agg(F.min_by(F.struct("title", "agency_name", "agency_id", "comment_end_date", "docket_id"), F.struct("title", "docket_id")).alias("__m"))
+    out = per.join(known, "document_id", "full").join(count(themes, "theme_count"), "document_id", "left").join(count(entities, "entity_count"), "document_id", "left")
+    named = lambda *names: [given(F.col(f"__m.{n}")) for n in names]
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("comment_count", "theme_count", "entity_count")]
+    return out.select(
+        F.coalesce(*named("docket_id"), "document_id").alias("id"),
+        F.coalesce(*named("title"), "document_id").alias("title"),
+        F.coalesce(*named("agency_name", "agency_id"), F.lit("Unknown Agency")).alias("agency"),
+        *counts,
+        F.coalesce(*named("comment_end_date"), given(F.col("__latest")), F.lit("")).alias("last_comment_date"),
+    ).orderBy(F.desc("last_comment_date"), "id")

@@ -115,10 +115,7 @@ def _answered(keyed: DataFrame, payload: Column, kind: str, call: Callable, mode
         last = F.max_by("result", "created_at") if "created_at" in cache.columns else F.max("result")
         usable = cache.where(good).groupBy("prompt_hash").agg(last.alias("result"))
         wanted = wanted.join(usable.select("prompt_hash"), "prompt_hash", "left_anti")
-    if concurrency:
-        wanted = wanted.repartition(concurrency)
-
-    fresh = asked(wanted, call, new_path(wanted.sparkSession, "answers") if log is None else log)
+    fresh = asked(wanted, call, new_path(wanted.sparkSession, "answers") if log is None else log, concurrency)
     fresh = fresh.select("prompt_hash", F.lit(task_type).alias("task_type"), "result", F.lit(model).alias("model"), F.current_timestamp().alias("created_at"))
     fresh = materialize(fresh, "generated")  # a provider is asked once
     known = fresh.select("prompt_hash", "result")

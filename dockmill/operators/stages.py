@@ -115,8 +115,10 @@ def removed_items(before: Column, after: Column) -> Column:
     return n(before) - F.coalesce(n(after), F.lit(0))
 
 
-def extract_words(extract: Column) -> Column:
-    return t.word_count(F.array_join(F.flatten(F.map_values(extract)), " "))
+def extract_words(extract: Column, profile: Column | None = None) -> Column:
+    """Words of an extract's items and of the commenter's profile."""
+    text = F.array_join(F.flatten(F.map_values(extract)), " ")
+    return t.word_count(text if profile is None else F.concat_ws(" ", text, profile))
 
 
 def represented(sizes: DataFrame, by: str) -> DataFrame:
@@ -128,14 +130,16 @@ def represented(sizes: DataFrame, by: str) -> DataFrame:
 def summarize(extracts: DataFrame, model: str, known: DataFrame, *, batch_words: int = 40_000, least: int = 1, cache: DataFrame | None = None) -> DataFrame:
     """(``theme_code``, ``summary``, ``sections``, ``comment_count``) of the themes with ``least`` comments or more.
 
-    ``extracts``: (``theme_code``, ``comment_id``, ``extract``, ``cluster_size``).  A
+    ``extracts``: (``theme_code``, ``comment_id``, ``extract``, ``cluster_size``), and
+    ``structured_sections`` if the commenter's profile is to count as words too.  A
     theme's extracts are summarised in even batches and the parts merged.
     ``sections`` is the JSON of the answer with comment ids that were cut short
     completed from ``known`` (``id``); NULL where the answer has no valid JSON.
     """
     kept = extracts.join(themes_with_at_least(extracts, least).select("theme_code"), "theme_code", "left_semi")
+    profile = F.col("structured_sections")["commenterProfile"] if "structured_sections" in extracts.columns else None
     block = extract_block(F.col("comment_id"), F.col("extract"), F.lit(1), F.lit(None).cast("string"), F.col("cluster_size"))
-    texts = kept.select("theme_code", F.col("comment_id").cast("string").alias("comment_id"), "cluster_size", block.alias("line"), extract_words(F.col("extract")).cast("long").alias("w"))
+    texts = kept.select("theme_code", F.col("comment_id").cast("string").alias("comment_id"), "cluster_size", block.alias("line"), extract_words(F.col("extract"), profile).cast("long").alias("w"))
     dealt = even_batches(texts, "theme_code", "comment_id", "w", batch_words)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("cluster_size")).alias("n"), "comment_id", "line")))
     parts = texts.join(dealt, ["theme_code", "comment_id"]).groupBy("theme_code", "batch").agg(F.array_join(F.transform(ordered, lambda x: x.line), "\n\n---\n\n").alias("text"), F.sum("cluster_size").alias("n"))

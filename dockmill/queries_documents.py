@@ -242,3 +242,59 @@ def cluster_leaders(v: Views) -> DataFrame:
     """Orders that share their one feature follow the earliest."""
     sets = v.table("orders").select("o_orderkey", F.array(F.col("o_custkey").cast("string")).alias("f"))
     return similarity.leaders(sets, "o_orderkey", "f", 0.8).select(F.col("k").alias("a"), F.col("leader").alias("b"))
+
+
+# ---------------------------------------------------------------- whole records
+
+
+@query("""SELECT p.ord AS id, p.text IS NOT NULL AS there, coalesce(organization, nullif(concat_ws(' ', first, last), ''), 'Anonymous') AS submitter, coalesce(category, CASE WHEN organization IS NOT NULL THEN 'Organization' ELSE 'Individual' END) AS submitter_type, coalesce(posted, received) AS date, concat_ws(', ', city, state, country) AS location,
+  CASE WHEN ord % 10 <> 0 THEN s.one_line END AS one_line, CASE WHEN ord % 3 = 0 THEN concat('full ', ord) END AS detailed, cast(CASE WHEN ord % 10 <> 0 THEN 4 ELSE 0 END + CASE WHEN ord % 3 = 0 THEN 1 ELSE 0 END AS bigint) AS n_sections,
+  f.comment_id IS NOT NULL AS has_attachments, cast(CASE WHEN ord % 6 <> 0 THEN len(regexp_extract_all(s.one_line || ' ' || s.core_position || ' ' || ord, '[^ ]+')) ELSE 0 END AS bigint) AS word_count, coalesce(m.cluster_size, 1) AS cluster_size, coalesce(a.codes, b.codes, '') AS codes
+  FROM fx_people p JOIN fx_sections s USING (ord) LEFT JOIN (SELECT DISTINCT comment_id FROM fx_files) f ON f.comment_id = p.id LEFT JOIN fx_membership m ON m.comment_id = p.ord LEFT JOIN (SELECT cluster_id, comment_id FROM fx_membership WHERE is_representative) r ON r.cluster_id = m.cluster_id
+  LEFT JOIN (SELECT comment_id, string_agg(DISTINCT theme_code, ',' ORDER BY theme_code) AS codes FROM fx_extracts GROUP BY 1) a ON a.comment_id = p.ord LEFT JOIN (SELECT comment_id, string_agg(DISTINCT theme_code, ',' ORDER BY theme_code) AS codes FROM fx_extracts GROUP BY 1) b ON b.comment_id = r.comment_id""")
+def export_records(v: Views) -> DataFrame:
+    """The records of a browser's comment list; a transcription takes the place of the detailed content."""
+    files = v.files().groupBy(F.col("comment_id").alias("__id")).agg(F.count("*").alias("attachment_count"))
+    sections = v.sections().select("ord", "structured_sections", "status")
+    o, words = F.col("ord"), F.concat_ws(" ", F.col("structured_sections")["oneLineSummary"], F.col("structured_sections")["corePosition"], F.col("ord").cast("string"))
+    whole = v.submissions().join(sections, "ord").join(files, F.col("id") == F.col("__id"), "left")
+    comments = whole.select(
+        o.alias("id"), F.lit("D").alias("document_id"), "attributes_json", "attachment_count",
+        F.when(o % 6 != 0, t.word_count(words)).alias("word_count"), F.when(F.col("status") == "completed", F.col("structured_sections")).alias("structured_sections"),
+        F.when(o % 3 == 0, F.concat(F.lit("full "), o.cast("string"))).otherwise("").alias("transcription_markdown"),
+    )
+    out = collection.export_records(comments, v.extracts(), v.comment_entities(), v.membership())
+    shown = F.col("structured_sections")
+    return out.select(
+        "id", (F.col("document_id") == "D").alias("there"), "submitter", "submitter_type", "date", "location", shown["oneLineSummary"].alias("one_line"), shown["detailedContent"].alias("detailed"),
+        F.coalesce(F.nullif(F.size(shown), F.lit(-1)), F.lit(0)).cast("long").alias("n_sections"), "has_attachments", "word_count", "cluster_size", F.array_join(F.array_sort(F.map_keys("theme_scores")), ",").alias("codes"),
+    )
+
+
+@query("""WITH d AS (SELECT source, lang, doc_id, concat('2024-0', doc_id % 9 + 1, '-0', doc_id % 7 + 1) AS posted, cast(regexp_extract(source, '[0-9]+') AS bigint) AS nr FROM documents)
+SELECT CASE WHEN nr % 3 = 0 THEN concat('docket ', source) ELSE source END AS id, CASE WHEN nr % 2 = 0 THEN concat('On ', source) ELSE source END AS title, CASE WHEN nr % 4 = 0 THEN 'Long name' WHEN nr % 4 = 2 THEN 'LN' ELSE 'Unknown Agency' END AS agency, count(*) AS comment_count, count(DISTINCT lang) AS theme_count, count(DISTINCT concat(lang, doc_id % 3)) AS entity_count, CASE WHEN nr % 6 = 0 THEN '2025-01-01' ELSE max(posted) END AS last_comment_date FROM d GROUP BY source, nr""")
+def catalogue_rows(v: Views) -> DataFrame:
+    """Collections by source with their counts, names and last dates; some have no metadata."""
+    nr, day = F.regexp_extract("source", "[0-9]+", 0).cast("long"), F.concat(F.lit("2024-0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("-0"), (F.col("doc_id") % 7 + 1).cast("string"))
+    d = v.table("documents").select(F.col("source").alias("document_id"), "lang", "doc_id", nr.alias("nr"), F.to_json(F.struct(day.alias("postedDate"))).alias("attributes_json"))
+    n = F.col("nr")
+    known = d.select("document_id", "nr").distinct().where("nr % 2 = 0 or nr % 3 = 0").select(
+        "document_id", F.when(n % 2 == 0, F.concat(F.lit("On "), "document_id")).otherwise("").alias("title"), F.when(n % 4 == 0, "Long name").alias("agency_name"), F.when(n % 2 == 0, "LN").otherwise("").alias("agency_id"),
+        F.when(n % 6 == 0, "2025-01-01").alias("comment_end_date"), F.when(n % 3 == 0, F.concat(F.lit("docket "), "document_id")).alias("docket_id"),
+    )
+    entities = d.select("document_id", F.concat("lang", (F.col("doc_id") % 3).cast("string"))).distinct()
+    return collection.catalogue_rows(d.select("document_id", "attributes_json"), known, d.select("document_id", "lang").distinct(), entities)
+
+
+@query(r"SELECT ord, cast(len(regexp_extract_all(concat_ws(' ', array_to_string(string_split(comment, '.'), ' '), region, concat('who ', category)), '[^ \t\n\x0B\f\r\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+')) AS bigint) AS words FROM fx_comments")
+def extract_word_counts(v: Views) -> DataFrame:
+    """Words of extracts and of the commenter's profile."""
+    extract = F.create_map(F.lit("positions"), F.split("comment", r"\."), F.lit("concerns"), F.array("region"))
+    return v.comments().select("ord", stages.extract_words(extract, F.concat(F.lit("who "), "category")).cast("long").alias("words"))
+
+
+@query("SELECT event_id, event_type IN ('click', 'signup') AS plain, CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN true ELSE false END AS is_org, strftime(ts, '%b %-d, %Y') AS shown FROM events")
+def kinds_and_dates(v: Views) -> DataFrame:
+    """Kinds of submitters that are organizations, and dates as they are shown."""
+    kind = F.element_at(F.array(F.lit(t.ORGANIZATION_TYPES[0]), F.lit(t.ORGANIZATION_TYPES[-1]), F.lit("Individual"), F.lit(None).cast("string")), (F.col("event_id") % 4 + 1).cast("int"))
+    return v.table("events").select("event_id", F.col("event_type").isin("click", "signup").alias("plain"), t.is_organization(kind).alias("is_org"), t.nice_date(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("shown"))

@@ -37,18 +37,27 @@ def meta(document: DataFrame, stats: DataFrame, now: Column) -> DataFrame:
     return document.crossJoin(stats).select(F.col("docket_id").alias("documentId"), F.col("document_id").alias("sourceDocumentId"), "title", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generatedAt"), F.struct(*stats.columns).alias("stats"))  # one row each
 
 
+def _shown(df: DataFrame, most: int) -> tuple[list, int]:
+    """(the first ``most`` rows, how many more there are)."""
+    rows = df.limit(most + 1).collect()
+    return rows[:most], df.count() - most if len(rows) > most else 0
+
+
 def markdown_table(df: DataFrame, most: int = 1000) -> str:
-    """The first rows as a Markdown table."""
-    rows = df.limit(most).collect()
+    """The first rows as a Markdown table; a last line says how many are left out."""
+    rows, more = _shown(df, most)
     out = ["| " + " | ".join(df.columns) + " |", "|" + " - |" * len(df.columns)]
-    return "\n".join(out + ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows])
+    out += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows]
+    return "\n".join(out + [f"\n{more} more rows are not shown."] * (more > 0))
 
 
 def html_page(title: str, df: DataFrame, most: int = 1000) -> str:
-    """A plain page with a table of the first rows."""
+    """A plain page with a table of the first rows; a last line says how many are left out."""
     cells = lambda tag, xs: "".join(f"<{tag}>{html.escape('' if x is None else str(x))}</{tag}>" for x in xs)
-    body = "".join(f"<tr>{cells('td', r)}</tr>" for r in df.limit(most).collect())
-    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{cells('th', df.columns)}</tr>{body}</table>"
+    rows, more = _shown(df, most)
+    body = "".join(f"<tr>{cells('td', r)}</tr>" for r in rows)
+    rest = f"<p>{more} more rows are not shown.</p>" if more else ""
+    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{cells('th', df.columns)}</tr>{body}</table>{rest}"
 
 
 def zip_texts(path: str, folder: str, texts: dict[str, str]) -> None:

@@ -44,7 +44,7 @@ def test_no_prompt_is_asked_twice(spark, tmp_path):
 
 def test_a_log_cut_off_is_read_to_there(tmp_path):
     writer = answers._Writer(f"file://{tmp_path}", str.upper)
-    (tmp_path / str(answers.bucket_of("a"))).mkdir()
-    (tmp_path / str(answers.bucket_of("a")) / "x.json").write_text(json.dumps({"prompt_hash": "a", "result": "kept"}) + '\n{"prompt_hash": "b", "re')
-    got = writer.write(iter([{"prompt_hash": "a", "payload": "x"}, {"prompt_hash": "c", "payload": "y"}]))
-    assert (got.asked, got.found) == (1, 1) and writer._known(answers.bucket_of("c"))["c"] == "Y"
+    (tmp_path / "7").mkdir()
+    (tmp_path / "7" / "x.json").write_text(json.dumps({"prompt_hash": "a", "result": "kept"}) + '\n{"prompt_hash": "b", "re')
+    got = writer.write(iter([{"prompt_hash": "a", "payload": "x", "bucket": 7}, {"prompt_hash": "c", "payload": "y", "bucket": 9}]))
+    assert (got.asked, got.found) == (1, 1) and writer._known(9) == {"c": "Y"} and writer._known(1) == {}

@@ -26,6 +26,9 @@ def test_attachment_files(spark, tmp_path):
 def test_reports(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b|<", None)], "k string, n int").coalesce(1)
     assert export.markdown_table(df) == "| k | n |\n| - | - |\n| a | 1 |\n| b\\|< |  |".replace("| - | - |", "| - | - |")
+    many = spark.range(30)
+    assert export.markdown_table(many, most=20).endswith("\n10 more rows are not shown.") and "<p>10 more rows are not shown.</p>" in export.html_page("t", many, most=20)
+    assert "more rows" not in export.markdown_table(many, most=30) + export.html_page("t", many, most=30)
     page = export.html_page("T & t", df)
     assert "<h1>T &amp; t</h1>" in page and "<td>b|&lt;</td><td></td>" in page and page.count("<tr>") == 3
     export.write_document(df, str(tmp_path / "x" / "a.json"))
