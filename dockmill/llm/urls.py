@@ -62,11 +62,11 @@ class Rules:
             self.by_host.setdefault(host, []).append((rule, "/" + path, verdict))
 
     def find(self, host: str, path: str) -> tuple[str | None, str | None]:
-        """The longest fitting rule and its verdict; of equally long ones the first by name."""
+        """The longest fitting rule and its verdict; of equally long ones the first by name, of equal ones the first verdict by name."""
         best, labels = None, host.split(".")
         for i in range(len(labels)):
             for rule, start, verdict in self.by_host.get(".".join(labels[i:]), ()):
-                if path.startswith(start) and (best is None or (-len(rule), rule) < (-len(best[0]), best[0])):
+                if path.startswith(start) and (best is None or (-len(rule), rule, verdict) < (-len(best[0]), *best)):
                     best = rule, verdict
         return best or (None, None)
 
