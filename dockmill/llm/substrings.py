@@ -37,8 +37,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockmill.llm.memo import only, register
+from dockmill.plans.ordering import numbered
 from dockmill.plans.shared import discard, materialize, spread
 
 WINDOW = 13
@@ -279,6 +281,9 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, *, n: int = WINDOW, ca
     made = {"n_words": "long", "n_removed": "long", "kept_sha256": "string"} | ({"kept_text": "string"} if keep_text else {})
     keep = [c for c in (df.columns if carry is None else carry) if c not in made and c != text]
     order = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
+    if not isinstance(df.schema[doc_id].dataType, T.IntegralType):  # other ids are compared as they are, by their places in order
+        places = numbered(df.select(F.col(doc_id).alias("__of_id")).where("__of_id is not null").distinct(), "__place", "__of_id")
+        df, order = df.join(places, F.col(doc_id) == F.col("__of_id"), "left"), F.coalesce("__place", F.lit(LAST))
     docs = df.select(order.alias("doc"), F.col(text).alias("text"))
     pairs = materialize(_pairs(docs, n), "pairs")
 

@@ -37,6 +37,14 @@ def test_long_texts_in_pairs(long_docs):
     assert left == {1: (120_000, 0), 2: (120_000, 119_999), 3: (50_010, 0), 4: (1, 0), 5: (300_000, 0), 6: (0, 0)}
 
 
+def test_text_ids_are_compared_as_texts(spark):
+    words = " ".join(f"w{i}" for i in range(20))
+    rows = [("b", words), ("a10", words + " tail"), ("a9", words), (None, words), ("é", "other words")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(docs, "doc_id", "text", keep_text=False).collect()}
+    assert got == {"a10": (21, 0), "a9": (20, 20), "b": (20, 20), None: (20, 20), "é": (2, 0)}
+
+
 def test_long_texts_beside_items(spark, long_docs):
     items = spark.createDataFrame([(1, "Unique phrase of ten words, that only benchmarks ever have"), (2, "y " * 40)], "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate(long_docs, "doc_id", "text", items, "item_id", "text").collect()}
@@ -55,6 +63,7 @@ def test_long_texts_alone(spark, long_docs):
 
 def test_rules_by_join_are_the_rules(spark):
     rules = [*OP4_RULES, ("x.org/", "block"), ("org/ab", "allow"), ("a.b.c.net/q", "block"), ("net/", "allow"), ("nopath.net", "block")]
+    rules += [("net/", "block"), ("x.org/", "allow"), ("com/", "block"), ("com/", "allow"), ("net/", "allow")]  # repeats with either verdict
     rng = random.Random(2)
     urls = [f"http://{'.'.join(rng.choice(['a', 'b', 'c', 'x', 'example', 'nopath', 'org', 'net', 'com']) for _ in range(rng.randrange(1, 5)))}{rng.choice(['', '/', '/ab', '/q?x', '/es/1', '/fr/'])}" for _ in range(300)]
     df = spark.createDataFrame([*enumerate([*urls, None, "", "http://x.org/ab", "http://x.org/ab"])], "page_id long, url string").withColumn("rule", F.lit("clash"))
