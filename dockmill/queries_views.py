@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockmill.fixtures import Views
 from dockmill.functions import text as t
-from dockmill.operators import explore
+from dockmill.operators import collection, explore, hierarchy
 from dockmill.registry import query
 
 
@@ -171,3 +171,18 @@ def exported_nothing(v: Views) -> DataFrame:
     """All sections off."""
     off = explore.comment_toggles(**dict.fromkeys(explore.comment_toggles(), False))
     return v.comments().select("id", explore.exported_comment(off).alias("markdown"))
+
+
+@query("/*recursive*/ WITH t AS (SELECT code, parent_code, coalesce(n, 0) AS n FROM fx_themes LEFT JOIN (SELECT theme_code, sum(cluster_size) AS n FROM fx_extracts GROUP BY 1) ON code = theme_code), r AS (SELECT code AS top, code, n FROM t UNION ALL SELECT r.top, t.code, t.n FROM r JOIN t ON t.parent_code = r.code) SELECT top AS code, cast(sum(n) AS bigint) AS subtree_count, count(*) AS themes FROM r GROUP BY 1")
+def theme_subtree_counts(v: Views) -> DataFrame:
+    """Weighted comments and themes below each theme, itself included."""
+    counted = collection.theme_counts(v.themes(), v.extracts()).select("code", "parent_code", "comment_count")
+    labels = hierarchy.labelled(counted, "code", "parent_code")
+    return hierarchy.rollup(labels, subtree_count=F.col("comment_count"), themes=F.lit(1)).select("code", F.col("subtree_count").cast("long").alias("subtree_count"), F.col("themes").cast("long").alias("themes"))
+
+
+@query("/*recursive*/ WITH t AS (SELECT ord, CASE WHEN ord > 0 THEN (ord - 1) // 3 END AS up, length(category) AS w FROM fx_comments), r AS (SELECT ord AS top, ord, w FROM t UNION ALL SELECT r.top, t.ord, t.w FROM r JOIN t ON t.up = r.ord) SELECT top AS ord, cast(sum(w) AS bigint) AS total, count(*) AS n FROM r GROUP BY 1")
+def reply_tree_totals(v: Views) -> DataFrame:
+    """A deep tree over all comments: totals of each subtree."""
+    nodes = v.comments().select("ord", F.when(F.col("ord") > 0, F.floor((F.col("ord") - 1) / 3)).alias("up"), F.length("category").cast("long").alias("w"))
+    return hierarchy.rollup(hierarchy.labelled(nodes, "ord", "up"), total=F.col("w"), n=F.lit(1)).select("ord", "total", F.col("n").cast("long").alias("n"))
