@@ -56,7 +56,8 @@ def test_dictionary_against_the_regex(spark):
     text = lambda n: "".join(rng.choice("ab+- .é") for _ in range(n))
     terms = list({x for x in (text(rng.randrange(1, 5)) for _ in range(60)) if x})
     docs = [(i, text(rng.randrange(12))) for i in range(80)]
-    found = entities.annotate(spark.createDataFrame(docs, "id int, content string"), "id", "content", spark.createDataFrame([("c", x, [x]) for x in terms], "category string, label string, terms array<string>"))
+    asked = spark.createDataFrame(docs, "id int, content string"), "id", "content", spark.createDataFrame([("c", x, [x]) for x in terms], "category string, label string, terms array<string>")
+    found = entities.annotate(*asked)
     word = re.compile("[A-Za-z0-9_]")
 
     def pattern(x):
@@ -64,6 +65,9 @@ def test_dictionary_against_the_regex(spark):
 
     want = {(i, x) for i, d in docs for x in terms if re.search(pattern(x), d)}
     assert {(r.id, r.label) for r in found.collect()} == want and len(want) > 20
+    entities.MAX_CHARS, kept = 0, entities.MAX_CHARS
+    assert {(r.id, r.label) for r in entities.annotate(*asked).collect()} == want
+    entities.MAX_CHARS = kept
 
 
 def serial_leaders(rows, threshold):
