@@ -8,11 +8,15 @@ be as large as the table.
 from __future__ import annotations
 
 import heapq
+import itertools
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from dockmill.plans.ordering import numbered, running
@@ -108,6 +112,12 @@ def _poured(weights: list[int], counts: list[int], batch_limit: int) -> list[tup
     return out
 
 
+def _placed(rows: list[tuple], kind: T.DataType) -> pa.RecordBatch:
+    columns = [*zip(*rows, strict=True)] if rows else [()] * 5
+    types = [to_arrow_type(kind), *[pa.int64()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["g", "w", "batch", "load", "n"])
+
+
 def even_batches(rows: DataFrame, group: str, order: str, words: str, batch_limit: int) -> DataFrame:
     """``batch`` numbers from 0: as many batches as the words need, each item (largest first) to the smallest batch.
 
@@ -119,14 +129,22 @@ def even_batches(rows: DataFrame, group: str, order: str, words: str, batch_limi
     ranked = numbered(items, "i", "g", F.col("w").desc(), "o")
     counts = items.groupBy("g", "w").agg(F.count("*").alias("c"))
 
-    def deal(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("w", ascending=False)
-        out = pd.DataFrame(_poured(df["w"].to_list(), df["c"].to_list(), batch_limit), columns=["w", "batch", "load", "n"])
-        out.insert(0, "g", pd.Series([key[0]] * len(out), dtype=object))
-        return out
-
-    kind = dict(items.dtypes)["g"]
-    places = counts.groupBy("g").applyInPandas(deal, f"g {kind}, w long, batch long, load long, n long")
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come one after the other, their weights descending."""
+        rows = ((g, w, c) for b in batches for g, w, c in zip(*(b.column(k).to_pylist() for k in ("g", "w", "c")), strict=True))
+        out: list[tuple] = []
+        for g, own in itertools.groupby(rows, key=lambda r: r[0]):
+            _, weights, sizes = zip(*own, strict=True)
+            out += [(g, *p) for p in _poured([*weights], [*sizes], batch_limit)]
+            if len(out) >= 50_000:
+                yield _placed(out, kind)
+                out = []
+        yield _placed(out, kind)
+
+    kind = items.schema["g"].dataType
+    schema = T.StructType([T.StructField("g", kind), *(T.StructField(c, T.LongType()) for c in ("w", "batch", "load", "n"))])
+    # Several groups a task, one at a time.
+    places = counts.repartition("g").sortWithinPartitions("g", F.col("w").desc()).mapInArrow(deal, schema)
     each = places.select("g", "w", "batch", "load", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("m"))
     slots = numbered(each.select("g", "w", "batch", (F.col("load") + F.col("m") * F.col("w")).alias("mark")), "i", "g", F.col("w").desc(), "mark", "batch")
     return ranked.select("g", "o", "i").join(slots.select("i", "batch"), "i").select(F.col("g").alias(group), F.col("o").alias(order), "batch")
