@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -192,9 +193,12 @@ def json_body(x: Column) -> Column:
 
 def weak(x: Column) -> Column:
     """Whether an item says nothing: short with the word "no", or one of the placeholder phrases."""
-    low = F.lower(x)
-    words = tokens(low)
-    return ((F.size(words) < 20) & F.array_contains(words, "no")) | F.exists(F.array(*(F.lit(p) for p in PLACEHOLDERS)), lambda p: F.contains(low, p))
+
+    def of(low: Column) -> Column:
+        short = let(tokens(low), lambda words: (F.size(words) < 20) & F.array_contains(words, "no"))
+        return reduce(lambda a, b: a | b, (F.contains(low, F.lit(p)) for p in PLACEHOLDERS), F.contains(low, F.lit("no")) & short)
+
+    return let(F.lower(x), of)
 
 
 def clean_items(items: Column) -> Column:
@@ -205,7 +209,7 @@ def clean_extract(extract: Column) -> Column:
     """Known sections of a map of item lists without weak items and empty sections; NULL if nothing is left."""
     known = F.array(*(F.lit(s) for s in ("positions", "concerns", "recommendations", "experiences", "key_quotes")))
     kept = F.map_filter(F.transform_values(F.map_filter(extract, lambda k, v: F.array_contains(known, k) & v.isNotNull()), lambda k, v: clean_items(v)), lambda k, v: F.size(v) > 0)
-    return F.when(F.size(kept) > 0, kept)
+    return let(kept, lambda m: F.when(F.size(m) > 0, m))
 
 
 def cut_description(x: Column) -> Column:
