@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dockmill.plans.shared import spread
+from dockmill.plans.shared import small, spread
 
 
 class Views:
@@ -85,7 +85,9 @@ class Views:
         return top.unionByName(self.theme_l2().drop("n_nationkey"))
 
     def extracts(self) -> DataFrame:
-        rows = self.table("lineitem").join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(self.theme_l2(), F.col("s_nationkey") == F.col("n_nationkey"))
+        # The few themes would be the keys of a join by shuffle, each with its share of all lines.
+        themes = self.table("supplier").join(small(self.theme_l2(), 10_000), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "code")
+        rows = self.table("lineitem").join(small(themes, 1_000_000), F.col("l_suppkey") == F.col("s_suppkey"))
         return rows.groupBy(F.col("l_orderkey").alias("comment_id"), F.col("code").alias("theme_code")).agg(F.count("*").alias("cluster_size"))
 
     def taxonomy(self) -> DataFrame:

@@ -109,7 +109,7 @@ def unprocessed(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def theme_counts(themes: DataFrame, extracts: DataFrame) -> DataFrame:
     """Themes with the number of comments, weighted by cluster size; 0 without any."""
-    per = extracts.groupBy("theme_code").agg(F.coalesce(F.sum("cluster_size"), F.countDistinct("comment_id")).alias("comment_count"))
+    per = extracts.groupBy("theme_code").agg(F.coalesce(F.sum("cluster_size"), F.countDistinct(F.when(F.col("cluster_size").isNull(), F.col("comment_id")))).alias("comment_count"))  # counted only where no size is given
     joined = themes.join(per, themes.code == per.theme_code, "left").drop("theme_code")
     return joined.withColumn("comment_count", F.coalesce("comment_count", F.lit(0)))
 

@@ -29,3 +29,14 @@ def test_features_are_counted_over_arrays(spark):
         assert len(pairs) == len({f for f, _ in pairs}) == len({i for _, i in pairs})
     got = df.select(shingles.feature_counts(F.col("x")).alias("c"), F.size(t.features(F.col("x"), "both")).alias("n"), F.size(t.features(F.col("x"), "words")).alias("w")).collect()
     assert [(r.c and r.c.n, r.c and r.c.words) for r in got] == [(None, None) if x is None else (r.n, r.w) for r, x in zip(got, odd, strict=True)]
+
+
+def test_themes_are_no_keys_of_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from dockmill.fixtures import Views
+
+        assert "SortMergeJoin" not in plan(Views(spark, DATA).extracts())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
