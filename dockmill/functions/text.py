@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # The white space of ECMAScript's \s, for Java's regexes.
 SPACE = r"[\s   -     　﻿]"
 
+# Its characters.
+SPACES = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
 # Phrases that mark an item without content.
 PLACEHOLDERS = [
     "nothing to extract",
@@ -60,7 +63,7 @@ def first_given(*xs: Column | str) -> Column:
 
 
 def trim_space(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def tokens(x: Column) -> Column:

@@ -28,9 +28,16 @@ def attribute(attrs: Column, name: str) -> Column:
     return given(F.get_json_object(attrs, f"$.{name}"))
 
 
+# The attributes that metadata come from, and those that hold the text.
+ATTRIBUTES, TEXTS = ("organization", "firstName", "lastName", "category", "city", "stateProvinceRegion", "country", "postedDate", "receiveDate"), ("comment", "text")
+
+
 def metadata(attrs: Column) -> Column:
     """(``submitter``, ``submitter_type``, ``organization``, ``location``, ``date``) of a JSON object of attributes."""
-    at = lambda name: attribute(attrs, name)
+    return _metadata(lambda name: attribute(attrs, name))
+
+
+def _metadata(at) -> Column:
     organization, country = at("organization"), at("country")
     name = given(F.concat_ws(" ", at("firstName"), at("lastName")))
     kind = F.coalesce(at("category"), F.when(organization.isNotNull(), "Organization").otherwise("Individual"))
@@ -76,7 +83,10 @@ def enriched(comments: DataFrame, attachments: DataFrame | None = None) -> DataF
     ``attachments``: of :func:`joined_attachments`' input.
     """
     attrs = F.col("attributes_json")
-    rows = comments.select("id", attrs, metadata(attrs).alias("metadata"), F.coalesce(attribute(attrs, "comment"), attribute(attrs, "text")).alias("text"))
+    # One pass over the JSON, whose longest part is the text itself; as a generator it isn't repeated for the filter.
+    names = [*ATTRIBUTES, *TEXTS]
+    parsed = comments.select("id", F.json_tuple(attrs, *names).alias(*(f"__{n}" for n in names)))
+    rows = parsed.select("id", _metadata(lambda name: given(f"__{name}")).alias("metadata"), first_given(*(f"__{n}" for n in TEXTS)).alias("text"))
     rows = rows.where(trim_space(F.col("text")) != "")
     m = F.col("metadata")
     lines = [

@@ -40,3 +40,18 @@ def test_themes_are_no_keys_of_a_shuffle(spark):
         assert "SortMergeJoin" not in plan(Views(spark, DATA).extracts())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_attributes_are_parsed_once(spark):
+    shown = plan(QUERIES["clustering_texts"](spark, DATA))
+    assert shown.count("Generate json_tuple(") == 1 and "get_json_object" not in shown
+
+
+def test_trimmed_white_space_is_that_of_the_pattern(spark):
+    from dockmill.functions import text as t
+
+    cases = [f"{chr(i)}a{chr(i)}b{chr(i)}{chr(i)}" for i in range(0x3001) if chr(i).isspace() or i in (0xFEFF, 0x180E)] + ["", " \n", None, "\ufeffx"]
+    df = spark.createDataFrame([(c,) for c in cases], "x string")
+    space = t.SPACE
+    got = df.select("x", t.trim_space(F.col("x")).alias("a"), F.regexp_replace("x", rf"^{space}+|{space}+\z", "").alias("b")).collect()
+    assert all(r.a == r.b for r in got)
