@@ -55,3 +55,8 @@ def test_trimmed_white_space_is_that_of_the_pattern(spark):
     space = t.SPACE
     got = df.select("x", t.trim_space(F.col("x")).alias("a"), F.regexp_replace("x", rf"^{space}+|{space}+\z", "").alias("b")).collect()
     assert all(r.a == r.b for r in got)
+
+
+def test_words_are_compared_as_numbers(spark):
+    shown = plan(QUERIES["word_jaccard"](spark, DATA))
+    assert "ArrowEvalPython" in shown and "isnan" not in shown.lower()
