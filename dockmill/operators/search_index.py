@@ -4,13 +4,13 @@ Building writes three tables to one folder:
 
 * ``texts``: the rows with a number each, in parts of ``PART_BITS`` bits of numbers,
   which are folders, so a read of some parts touches no others;
-* ``postings``: (``gram``, ``block``, ``mask``), sorted by ``gram``: which of the 64 rows
-  of a block have the trigram.  Grams are dealt by range together with their
-  blocks, so one that stands in every text is split like any other;
+* ``postings``: (``gram``, ``block``, ``mask``): which of the 64 rows of a block have the
+  trigram.  Each file is of the texts of one task and sorted by ``gram``, so nothing
+  is exchanged, and of each file a query reads the pages of its grams;
 * ``facets``: (``facet``, ``value``, ``block``, ``mask``), the same for the values of facets.
 
 A query is worked out on postings alone, block by block: of its terms' grams only
-those are read (the filter reaches the scan, and the table is sorted), a term of
+those are read (the filter reaches the scan, and the files are sorted), a term of
 more than three bytes may be where all its grams are, a shorter one surely is
 where a gram begins with it.  Groups, alternatives and negations combine these
 masks to rows that surely match and rows that may.  Only the latter have their
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmill.operators.explore import Token, matches
-from dockmill.plans.shared import discard, materialize, new_path, shuffles_dropped, small
+from dockmill.plans.shared import materialize, new_path, shuffles_dropped, small
 
 BLOCK_BITS = 6
 PART_BITS = 14
@@ -159,14 +159,11 @@ class TextIndex:
         with shuffles_dropped(spark):
             numbered.write.option("compression", "zstd").partitionBy("__part").parquet(f"{path}/texts")
             stored = spark.read.schema(numbered.schema).parquet(f"{path}/texts")
-            made = materialize(_postings(stored), "postings")  # ranges are drawn from a sample first, which would make them twice
-            made.repartitionByRange("gram", "block").sortWithinPartitions("gram", "block").write.option("compression", "zstd").parquet(f"{path}/postings")
-            discard(made)
+            _postings(stored).sortWithinPartitions("gram", "block").write.option("compression", "zstd").parquet(f"{path}/postings")
             parts = [stored.select(F.lit(name).alias("facet"), F.explode(F.array_distinct(values)).alias("value"), "__n") for name, values in (facets or {}).items()]
             valued = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], "facet string, value string, __n long")
-            bits = materialize(valued.groupBy("facet", "value", F.shiftright("__n", BLOCK_BITS).alias("block")).agg(F.bit_or(_bit()).alias("mask")), "facets")
-            bits.repartitionByRange("facet", "value", "block").sortWithinPartitions("facet", "value", "block").write.option("compression", "zstd").parquet(f"{path}/facets")
-            discard(bits)
+            bits = valued.groupBy("facet", "value", F.shiftright("__n", BLOCK_BITS).alias("block")).agg(F.bit_or(_bit()).alias("mask"))
+            bits.sortWithinPartitions("facet", "value", "block").write.option("compression", "zstd").parquet(f"{path}/facets")
         return cls(spark, path, part_bits, numbered.schema)
 
     def masks(self, tokens: list[Token], wanted: dict[str, list[str]] | None = None) -> DataFrame:

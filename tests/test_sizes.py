@@ -60,3 +60,17 @@ def test_trimmed_white_space_is_that_of_the_pattern(spark):
 def test_words_are_compared_as_numbers(spark):
     shown = plan(QUERIES["word_jaccard"](spark, DATA))
     assert "ArrowEvalPython" in shown and "isnan" not in shown.lower()
+
+
+def test_postings_of_a_block_stay_where_they_were_made(spark):
+    from dockmill.operators.search_index import TextIndex
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(600).select("id", F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 256)).alias("text")).repartition(3)
+        built = TextIndex.build(rows, F.col("text"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = built.postings.select("block", F.input_file_name().alias("file")).groupBy("block").agg(F.countDistinct("file").alias("n"))
+    assert files.count() >= 10 and files.where("n > 1").count() == 0
