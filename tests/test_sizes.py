@@ -74,3 +74,20 @@ def test_postings_of_a_block_stay_where_they_were_made(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     files = built.postings.select("block", F.input_file_name().alias("file")).groupBy("block").agg(F.countDistinct("file").alias("n"))
     assert files.count() >= 10 and files.where("n > 1").count() == 0
+
+
+def test_sets_that_resemble_no_other_are_not_stored(spark, monkeypatch):
+    from dockmill.operators import similarity
+
+    stored, write = [], similarity.materialize
+
+    def seen(df, name):
+        out = write(df, name)
+        if {"f", "seq"} & set(out.columns):
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(similarity, "materialize", seen)
+    rows = [(k, [f"w{k}-{i}" for i in range(20)]) for k in range(50)] + [(k, [f"same{i}" for i in range(20)]) for k in (60, 61)]
+    df = spark.createDataFrame(rows, "k long, f array<string>")
+    assert [(r.a, r.b) for r in similarity.similar_pairs(df, "k", "f", 0.8).collect()] == [(60, 61)] and sum(stored) == 0
