@@ -6,7 +6,7 @@ distinct word.  Words get their numbers in the whole corpus by a join of these
 rows, so no vocabulary is ever broadcast.
 
 Counts of n-grams are summed in parts: a shard deals the keys it has by a hash,
-as sorted columns of numbers; a part adds up what it got from all shards, and
+as columns of numbers, squeezed; a part adds up what it got from all shards, and
 answers each of them in the order that it asked in.  Shards are bounded by
 ``SHARD``, parts by the number that is chosen for them, so neither a frequent word
 nor a long document makes a large group.
@@ -70,7 +70,7 @@ def deal(columns: list[np.ndarray], parts: int) -> tuple[np.ndarray, np.ndarray]
         for c in columns:
             h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-    part = (h % np.uint64(parts)).astype(np.int64)
+    part = (h % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)  # short numbers are sorted by radix
     return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
 
 
@@ -80,32 +80,42 @@ def width(largest: int) -> np.dtype:
 
 
 def packed(n: np.ndarray) -> bytes:
-    """Counts as a byte each; those from 255 on follow in full."""
-    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes()
+    """Counts as a byte each, squeezed; those from 255 on follow in full."""
+    return zstandard.compress(np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes(), 1)
 
 
 def unpacked(blob: bytes, size: int) -> np.ndarray:
     """``size`` counts."""
+    blob = zstandard.decompress(blob)
     n = np.frombuffer(blob, dtype=np.uint8, count=size).astype(np.int64)
     n[n == 255] = np.frombuffer(blob, dtype=np.int64, offset=size)
     return n
 
 
 def squeezed(x: np.ndarray) -> bytes:
-    """An array in less space than the exchange's own compression takes."""
-    return zstandard.compress(x.tobytes(), 1)
+    """An array in less space than the exchange's own compression takes: all first bytes of its numbers, all second ones and so on."""
+    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
 
 
-def expanded(blob: bytes, form: type) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), dtype=form)
+def expanded(blob: bytes, form: type | np.dtype) -> np.ndarray:
+    form = np.dtype(form)
+    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(form.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(form).reshape(-1)
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Each number's distance from the one before, in the same form (it wraps around); ``np.cumsum`` in that form undoes it."""
+    out = x.copy()
+    out[1:] -= x[:-1]
+    return out
 
 
 def asked(shard: int, columns: list[np.ndarray], n: np.ndarray, parts: int, form: np.dtype) -> list[tuple]:
-    """Rows (part, shard, keys, n) that send a shard's keys and counts to their parts; keys are the columns one after the other."""
+    """Rows (part, shard, keys, n) that send a shard's keys and counts to their parts; keys are the columns' steps one after the other."""
     order, begin = deal(columns, parts)
     keys, n = [c[order].astype(form) for c in columns], n[order]
     full = np.flatnonzero(np.diff(begin))
-    return [(int(p), shard, b"".join(c[begin[p] : begin[p + 1]].tobytes() for c in keys), packed(n[begin[p] : begin[p + 1]])) for p in full]
+    return [(int(p), shard, squeezed(np.concatenate([steps(c[begin[p] : begin[p + 1]]) for c in keys])), packed(n[begin[p] : begin[p + 1]])) for p in full]
 
 
 ASKED = "part int, shard long, keys binary, n binary"
@@ -118,7 +128,7 @@ def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 def added(rows: pa.Table, n_columns: int, form: np.dtype) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys by column, their sums, for each key as sent its place among them, where each row's keys begin)."""
-    blobs = [np.frombuffer(b, dtype=form).reshape(n_columns, -1) for b in rows.column("keys").to_pylist()]
+    blobs = [np.cumsum(expanded(b, form).reshape(n_columns, -1), axis=1, dtype=form) for b in rows.column("keys").to_pylist()]
     begin = np.concatenate([[0], np.cumsum([b.shape[1] for b in blobs])]).astype(np.int64)
     columns = [np.concatenate([b[j] for b in blobs]) for j in range(n_columns)]
     n = np.concatenate([unpacked(x, b.shape[1]) for x, b in zip(rows.column("n").to_pylist(), blobs, strict=True)])
